@@ -11,7 +11,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from tickloom.functions.scalars import PRICE_SCALE, mean_of_steps, pct_change, price_steps
+from tickloom.functions.scalars import (
+    PRICE_SCALE,
+    half_up_ratio,
+    mean_of_steps,
+    pct_change,
+    price_steps,
+)
 
 SMA_PERIODS = (5, 20, 50)
 EMA_PERIODS = (12, 26)
@@ -66,18 +72,21 @@ def log_return(series: Series = DAILY, price: str = "close_price") -> Column:
 
 def sma(n: int, series: Series = DAILY, price: str = "close_price", min_periods: int = 1) -> Column:
     """Mean of the last ``n`` rows, NULLs ignored; NULL below ``min_periods`` values."""
-    frame = series.last(n)
-    total, count = F.sum(price_steps(price)).over(frame), F.count(price).over(frame)
+    frame, steps = series.last(n), price_steps(price)
+    total, count = F.sum(steps).over(frame), F.count(steps).over(frame)
     return F.when(count >= min_periods, mean_of_steps(total, count))
 
 
 def ema_simple(n: int, series: Series = DAILY, price: str = "close_price") -> Column:
-    """Weighted mean of the current price and the plain mean of the last ``n`` rows."""
-    frame = series.last(n)
-    k = 2.0 / (n + 1)
-    mean = F.sum(price_steps(price)).over(frame) / float(PRICE_SCALE) / F.count(price).over(frame)
+    """``mean * k + price * (1 - k)`` with ``k = 2 / (n + 1)`` and the mean of the last ``n`` rows.
+
+    Brought to one fraction of whole numbers, so that rounding sees the exact value.
+    """
+    frame, steps = series.last(n), price_steps(price)
+    total, count = F.sum(steps).over(frame), F.count(steps).over(frame)
+    numerator = total * 2 + count * steps * (n - 1)
     return F.when(
-        F.col(price).isNotNull(), F.round(mean * k + F.col(price) * (1.0 - k), 4)
+        steps.isNotNull(), half_up_ratio(numerator, count * (n + 1)) / float(PRICE_SCALE)
     )
 
 

@@ -8,6 +8,8 @@ from pyspark.sql import Column, functions as F
 
 # Price steps per unit: prices carry four decimals.
 PRICE_SCALE = 10_000
+# Below this a double shows four decimals exactly, and rolling sums fit a long.
+PRICE_LIMIT = 1e11
 
 
 BLANKS = " \t\r\n\f\v"
@@ -64,27 +66,39 @@ def parseable_timestamp(column: Column | str) -> Column:
 
 
 def price_steps(price: Column | str) -> Column:
-    """Price as a whole number of 1/10000 steps.
+    """Price as a whole number of 1/10000 steps; NULL beyond what steps can hold.
 
-    Sums of whole numbers do not depend on the order in which rows arrive, so rolling
-    means come out the same however Spark partitions the work.
+    Sums of whole numbers do not depend on the order in which rows arrive, so means come out
+    the same however Spark partitions the work.
     """
     price = F.col(price) if isinstance(price, str) else price
-    return F.floor(price * float(PRICE_SCALE) + 0.5)
+    return F.when(F.abs(price) < PRICE_LIMIT, F.floor(price * float(PRICE_SCALE) + 0.5))
 
 
 def mean_of_steps(total: Column, n: Column, decimals: int = 4) -> Column:
     """Mean price of ``n`` prices from their summed steps, rounded half up; NULL for no prices."""
     unit = PRICE_SCALE // 10**decimals
-    magnitude = F.call_function("div", F.abs(total) * 2 + n * unit, n * (2 * unit))
-    return F.when(n > 0, F.signum(total) * magnitude / float(10**decimals))
+    return F.when(n > 0, half_up_ratio(total, n * unit) / float(10**decimals))
+
+
+def half_up_ratio(numerator: Column, denominator: Column) -> Column:
+    """The whole number nearest to a ratio of whole numbers, halves away from zero."""
+    magnitude = F.call_function("div", F.abs(numerator) * 2 + denominator, denominator * 2)
+    return F.signum(numerator) * magnitude
 
 
 def mean_price(price: str) -> Column:
     """Aggregate: the mean price, not rounded, the same for any order of the rows."""
-    return F.sum(price_steps(price)) / float(PRICE_SCALE) / F.count(price)
+    steps = price_steps(price)
+    return _wide_sum(steps).cast("double") / float(PRICE_SCALE) / F.count(steps)
 
 
 def rounded_mean_price(price: str, decimals: int) -> Column:
     """Aggregate: the mean price rounded half up from the exact sum."""
-    return mean_of_steps(F.sum(price_steps(price)), F.count(price), decimals)
+    steps = price_steps(price)
+    return mean_of_steps(_wide_sum(steps), F.count(steps), decimals)
+
+
+def _wide_sum(steps: Column) -> Column:
+    """A sum over any number of rows: a long would overflow on a large group."""
+    return F.sum(steps.cast("decimal(16,0)"))

@@ -72,7 +72,7 @@ def with_salted_key(
 
 
 def salted_totals(
-    df: DataFrame, value: str, row_id: Column, symbol: str = "symbol", buckets: int = SALT_BUCKETS
+    df: DataFrame, value: str, symbol: str = "symbol", buckets: int = SALT_BUCKETS
 ) -> DataFrame:
     """Per symbol: rows, sum, least, greatest and number of different values, in two stages.
 

@@ -112,11 +112,11 @@ def sma(n: int, order: str = "trade_date", min_periods: int = 1) -> str:
 
 
 def ema_simple(n: int, order: str = "trade_date") -> str:
-    k = f"(CAST(2 AS DOUBLE) / {n + 1})"
-    mean = f"CAST(sum({steps()}) {frame(n, order)} AS DOUBLE) / 10000 / count(close_price) {frame(n, order)}"
-    return (
-        f"CASE WHEN close_price IS NOT NULL THEN round({mean} * {k} + close_price * (1 - {k}), 4) END"
-    )
+    """mean * 2/(n+1) + close * (n-1)/(n+1) as one fraction, rounded half up; prices are not negative."""
+    total, count = f"sum({steps()}) {frame(n, order)}", f"count(close_price) {frame(n, order)}"
+    numerator = f"(2 * {total} + {count} * {steps()} * {n - 1})"
+    rounded = f"(2 * {numerator} + {count} * {n + 1}) // (2 * {count} * {n + 1})"
+    return f"CASE WHEN close_price IS NOT NULL THEN CAST({rounded} AS DOUBLE) / 10000 END"
 
 
 def previous(column: str, order: str = "trade_date") -> str:
