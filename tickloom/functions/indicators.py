@@ -46,6 +46,26 @@ class Series:
 DAILY = Series()
 
 
+def rolling_sums(
+    periods: Iterable[int], series: Series = DAILY, price: str = "close_price"
+) -> dict[str, Column]:
+    """Per period the summed price steps and the number of prices in its last rows.
+
+    They are columns of their own because an indicator uses each several times, and Spark
+    evaluates a window function once per mention.
+    """
+    steps = price_steps(price)
+    sums = {}
+    for n in periods:
+        sums[f"_total_{n}"] = F.sum(steps).over(series.last(n))
+        sums[f"_count_{n}"] = F.count(steps).over(series.last(n))
+    return sums
+
+
+def previous_values(series: Series = DAILY) -> dict[str, Column]:
+    return {f"_previous_{c}": F.lag(c, 1).over(series.ordered()) for c in ("close_price", "volume")}
+
+
 def daily_range() -> Column:
     return F.col("high_price") - F.col("low_price")
 
@@ -55,87 +75,110 @@ def daily_range_pct() -> Column:
     return F.when(close > 0, (F.col("high_price") - F.col("low_price")) / close * 100.0)
 
 
-def daily_return(series: Series = DAILY, price: str = "close_price") -> Column:
-    return pct_change(F.col(price), F.lag(price, 1).over(series.ordered()))
+def daily_return() -> Column:
+    """Change of the close against ``_previous_close_price`` in percent."""
+    return pct_change(F.col("close_price"), F.col("_previous_close_price"))
 
 
-def volume_change_pct(series: Series = DAILY) -> Column:
-    previous = F.lag("volume", 1).over(series.ordered())
+def volume_change_pct() -> Column:
+    """Change of the volume against ``_previous_volume`` in percent."""
+    previous = F.col("_previous_volume")
     change = (F.col("volume") - previous).cast("double")
     return F.when(previous > 0, change / previous.cast("double") * 100.0)
 
 
-def log_return(series: Series = DAILY, price: str = "close_price") -> Column:
-    previous = F.lag(price, 1).over(series.ordered())
-    return F.when((previous > 0) & (F.col(price) > 0), F.log(F.col(price) / previous))
+def log_return() -> Column:
+    """Logarithm of the close over ``_previous_close_price``, where both are positive."""
+    close, previous = F.col("close_price"), F.col("_previous_close_price")
+    return F.when((previous > 0) & (close > 0), F.log(close / previous))
 
 
-def sma(n: int, series: Series = DAILY, price: str = "close_price", min_periods: int = 1) -> Column:
-    """Mean of the last ``n`` rows, NULLs ignored; NULL below ``min_periods`` values."""
-    frame, steps = series.last(n), price_steps(price)
-    total, count = F.sum(steps).over(frame), F.count(steps).over(frame)
+def sma(n: int, min_periods: int = 1) -> Column:
+    """Mean of the last ``n`` rows from ``rolling_sums``; NULL below ``min_periods`` prices."""
+    total, count = F.col(f"_total_{n}"), F.col(f"_count_{n}")
     return F.when(count >= min_periods, mean_of_steps(total, count))
 
 
-def ema_simple(n: int, series: Series = DAILY, price: str = "close_price") -> Column:
+def ema_simple(n: int, price: str = "close_price") -> Column:
     """``mean * k + price * (1 - k)`` with ``k = 2 / (n + 1)`` and the mean of the last ``n`` rows.
 
     Brought to one fraction of whole numbers, so that rounding sees the exact value.
     """
-    frame, steps = series.last(n), price_steps(price)
-    total, count = F.sum(steps).over(frame), F.count(steps).over(frame)
+    total, count, steps = F.col(f"_total_{n}"), F.col(f"_count_{n}"), price_steps(price)
     numerator = total * 2 + count * steps * (n - 1)
     return F.when(
         steps.isNotNull(), half_up_ratio(numerator, count * (n + 1)) / float(PRICE_SCALE)
     )
 
 
-def volatility(
-    n: int = VOLATILITY_WINDOW,
-    series: Series = DAILY,
-    returns: str = "daily_return",
-    min_periods: int = 2,
-) -> Column:
-    """Sample standard deviation of the last ``n`` returns; NULL below ``min_periods`` values."""
-    frame = series.last(n)
-    spread = F.round(F.stddev_samp(returns).over(frame), 4)
-    if min_periods <= 2:
-        return spread
-    return F.when(F.count(returns).over(frame) >= min_periods, spread)
+def derived_metrics() -> dict[str, Column]:
+    return {
+        "daily_range": daily_range(),
+        "daily_range_pct": daily_range_pct(),
+        "daily_return": daily_return(),
+        "volume_change_pct": volume_change_pct(),
+    }
+
+
+def _from_parts(df: DataFrame, parts: dict[str, Column], results: dict[str, Column]) -> DataFrame:
+    return df.withColumns(parts).withColumns(results).drop(*parts)
 
 
 def with_derived_metrics(df: DataFrame, series: Series = DAILY) -> DataFrame:
-    return df.withColumns(
-        {
-            "daily_range": daily_range(),
-            "daily_range_pct": daily_range_pct(),
-            "daily_return": daily_return(series),
-            "volume_change_pct": volume_change_pct(series),
-        }
-    )
+    return _from_parts(df, previous_values(series), derived_metrics())
+
+
+def with_log_returns(df: DataFrame, series: Series = DAILY) -> DataFrame:
+    """Add ``log_return`` and ``change``, the fraction of the previous close."""
+    results = {"log_return": log_return(), "change": daily_return() / 100.0}
+    return _from_parts(df, previous_values(series), results)
 
 
 def with_moving_averages(
     df: DataFrame, periods: Iterable[int] = SMA_PERIODS, series: Series = DAILY, min_periods: int = 1
 ) -> DataFrame:
     """``min_periods=1`` averages partial windows at the start of a series."""
-    return df.withColumns({f"sma_{n}": sma(n, series, min_periods=min_periods) for n in periods})
+    averages = {f"sma_{n}": sma(n, min_periods) for n in periods}
+    return _from_parts(df, rolling_sums(periods, series), averages)
 
 
 def with_full_window_averages(
     df: DataFrame, periods: Iterable[int] = SMA_PERIODS, series: Series = DAILY
 ) -> DataFrame:
-    """Averages that stay NULL until their window holds all its rows."""
-    return df.withColumns({f"sma_{n}": sma(n, series, min_periods=n) for n in periods})
+    """Averages that stay NULL until their window holds all its prices."""
+    averages = {f"sma_{n}": sma(n, min_periods=n) for n in periods}
+    return _from_parts(df, rolling_sums(periods, series), averages)
 
 
 def with_simple_ema(
     df: DataFrame, periods: Iterable[int] = EMA_PERIODS, series: Series = DAILY
 ) -> DataFrame:
-    return df.withColumns({f"ema_{n}": ema_simple(n, series) for n in periods})
+    averages = {f"ema_{n}": ema_simple(n) for n in periods}
+    return _from_parts(df, rolling_sums(periods, series), averages)
 
 
 def with_volatility(
-    df: DataFrame, n: int = VOLATILITY_WINDOW, series: Series = DAILY, min_periods: int = 2
+    df: DataFrame,
+    n: int = VOLATILITY_WINDOW,
+    series: Series = DAILY,
+    min_periods: int = 2,
+    returns: str = "daily_return",
 ) -> DataFrame:
-    return df.withColumn(f"volatility_{n}d", volatility(n, series, min_periods=min_periods))
+    """Sample standard deviation of the last ``n`` returns; NULL below ``min_periods`` of them."""
+    frame = series.last(n)
+    spread = F.round(F.stddev_samp(returns).over(frame), 4)
+    if min_periods > 2:
+        spread = F.when(F.count(returns).over(frame) >= min_periods, spread)
+    return df.withColumn(f"volatility_{n}d", spread)
+
+
+def with_indicators(df: DataFrame, series: Series = DAILY) -> DataFrame:
+    """All fact indicators: one exchange, one sort, and two windows.
+
+    The second window is for the volatility, which needs the returns of the first.
+    """
+    parts = previous_values(series) | rolling_sums((*SMA_PERIODS, *EMA_PERIODS), series)
+    results = derived_metrics()
+    results |= {f"sma_{n}": sma(n) for n in SMA_PERIODS}
+    results |= {f"ema_{n}": ema_simple(n) for n in EMA_PERIODS}
+    return with_volatility(_from_parts(df, parts, results), VOLATILITY_WINDOW, series)

@@ -50,15 +50,6 @@ def with_metadata(df: DataFrame, run_time: datetime | Column | None = None) -> D
     )
 
 
-def with_indicators(df: DataFrame, series: Series = BAR_SERIES) -> DataFrame:
-    return (
-        ind.with_derived_metrics(df, series)
-        .transform(ind.with_moving_averages, ind.SMA_PERIODS, series)
-        .transform(ind.with_simple_ema, ind.EMA_PERIODS, series)
-        .transform(ind.with_volatility, ind.VOLATILITY_WINDOW, series)
-    )
-
-
 def enrich(
     cleansed: DataFrame,
     run_time: datetime | Column | None = None,
@@ -66,14 +57,15 @@ def enrich(
     week_start: str = "sunday",
 ) -> DataFrame:
     """Cleansed bars to fact rows, for series short enough for one task each."""
-    return finish(with_indicators(standardise_dates(cleansed), series), run_time, week_start)
+    return finish(ind.with_indicators(standardise_dates(cleansed), series), run_time, week_start)
 
 
 def finish(
-    with_indicators: DataFrame,
+    rows: DataFrame,
     run_time: datetime | Column | None = None,
     week_start: str = "sunday",
 ) -> DataFrame:
+    """Rows with indicators to fact rows: date dimensions, metadata, the fixed columns."""
     return select_fact_columns(
-        with_metadata(with_date_dimensions(with_indicators, week_start), run_time)
+        with_metadata(with_date_dimensions(rows, week_start), run_time)
     )

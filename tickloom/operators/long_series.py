@@ -83,10 +83,12 @@ def cut_long_series(
         .drop("_position")
     )
     body = blocked.drop("_cuts").withColumn("_lead_in", F.lit(False))
-    lead_in = _lead_in_rows(blocked.filter(F.col("_cuts").isNotNull()).drop("_cuts"), series, depth)
-    return BlockedSeries(
-        body.unionByName(lead_in), replace(series, keys=(*series.keys, "_block")), True
-    )
+    series = replace(series, keys=(*series.keys, "_block"))
+    if depth == 0:
+        return BlockedSeries(body, series, True)
+    long_rows = blocked.filter(F.col("_cuts").isNotNull()).drop("_cuts")
+    lead_in = _lead_in_rows(long_rows, keys, series.order, depth)
+    return BlockedSeries(body.unionByName(lead_in), series, True)
 
 
 def _cut_points(
@@ -124,10 +126,11 @@ def _cuts_below(cuts: Column, position: Column, most_cuts: int) -> Column:
     return F.when(cuts.isNull(), F.lit(0)).otherwise(found)
 
 
-def _lead_in_rows(blocked: DataFrame, series: Series, depth: int) -> DataFrame:
+def _lead_in_rows(
+    blocked: DataFrame, keys: list[str], order: tuple[str, ...], depth: int
+) -> DataFrame:
     """For every block the ``depth`` rows before it, however many blocks they come from."""
-    keys = list(series.keys)
-    latest_first = Window.partitionBy(*keys, "_block").orderBy(*[F.col(c).desc() for c in series.order])
+    latest_first = Window.partitionBy(*keys, "_block").orderBy(*[F.col(c).desc() for c in order])
     tails = store(
         blocked.withColumn("_from_end", F.row_number().over(latest_first)).filter(
             F.col("_from_end") <= depth

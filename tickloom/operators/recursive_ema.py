@@ -1,34 +1,33 @@
 """Exponential moving average by its true recursion.
 
 ``e[t] = k*x[t] + (1-k)*e[t-1]`` starting at the first price; a missing price carries the
-average on while its weight decays. A recursion has no window frame, so each series (or each
-block of a long one) is one Arrow batch in a task. Series too long for one task are cut into
-blocks; a first pass reduces every block to one row, from which the state at each block's
-start follows exactly, and a second pass continues each block from that state.
+average on while its weight decays. No window frame expresses a recursion, so it runs over
+sorted partitions in Arrow batches: a batch is averaged at once for all its series, and only
+the state at its end is kept for the next batch.
+
+Series too long for one task are cut into blocks. The recursion is linear in the average it
+starts from, so a first pass reduces each block to one row, from which the state at the
+start of every block follows exactly, and a second pass continues each block from there.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
 from tickloom.functions.indicators import DAILY, EMA_PERIODS, Series
 from tickloom.operators.long_series import BlockedSeries
 
+NULLS_SINCE = "_nulls_since"
 
-def _average(prices: pd.Series, span: int, start: float, nulls_since: float) -> np.ndarray:
-    """The recursion over one block, from the average ``start`` of ``nulls_since`` rows ago."""
-    if pd.isna(start):
-        return prices.ewm(span=span, adjust=False).mean().to_numpy()
-    # Beyond this many missing rows the old average weighs less than a double can show.
-    limit = math.ceil(-50.0 / math.log(1.0 - 2.0 / (span + 1)))
-    nulls = int(min(nulls_since, limit))
-    lead = np.concatenate([[start], np.full(nulls, np.nan)])
-    joined = pd.Series(np.concatenate([lead, prices.to_numpy(dtype="float64")]))
-    return joined.ewm(span=span, adjust=False).mean().to_numpy()[len(lead):]
+
+def _start_column(span: int) -> str:
+    return f"_start_{span}"
 
 
 def with_recursive_ema(
@@ -38,28 +37,8 @@ def with_recursive_ema(
     price: str = "close_price",
 ) -> DataFrame:
     """Add ``ema_recursive_<span>``, four decimals, for series short enough for one task each."""
-    return _averaged(df, spans, series, price)
-
-
-def _averaged(df: DataFrame, spans: tuple[int, ...], series: Series, price: str) -> DataFrame:
-    names = {span: f"ema_recursive_{span}" for span in spans}
-    order = list(series.order)
-    carried = {span: f"_start_{span}" for span in spans}
-    has_start = "_nulls_since" in df.columns
-    helpers = {"_block", "_nulls_since", *carried.values()}
-    kept = [f for f in df.schema if f.name not in helpers]
-    out = T.StructType(kept + [T.StructField(n, T.DoubleType()) for n in names.values()])
-
-    def block(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(order, kind="stable", na_position="first")
-        for span, name in names.items():
-            start = rows[carried[span]].iloc[0] if has_start else np.nan
-            nulls = rows["_nulls_since"].iloc[0] if has_start else 0
-            rows[name] = _average(rows[price], span, start, nulls)
-        return rows[out.names]
-
-    averaged = df.groupBy(*series.keys).applyInPandas(block, out)
-    return averaged.withColumns({n: F.round(n, 4) for n in names.values()})
+    averages = {f"ema_recursive_{s}": (s, price) for s in spans}
+    return _run(df, averages, series).withColumns({n: F.round(n, 4) for n in averages})
 
 
 def with_recursive_ema_blocked(
@@ -70,83 +49,149 @@ def with_recursive_ema_blocked(
         return with_recursive_ema(blocked.rows, spans, blocked.series, price)
     starts = _block_starts(blocked, spans, price)
     # One row per block of a long series, so its size is bounded by the cuts.
-    keys = list(blocked.series.keys)
-    rows = blocked.rows.drop("_lead_in").join(F.broadcast(starts), keys, "left")
-    return _averaged(rows, spans, blocked.series, price)
+    rows = blocked.rows.drop("_lead_in").join(F.broadcast(starts), list(blocked.series.keys), "left")
+    averaged = with_recursive_ema(rows, spans, blocked.series, price)
+    return averaged.drop("_block", NULLS_SINCE, *[_start_column(s) for s in spans])
+
+
+def _run(
+    df: DataFrame, averages: dict[str, tuple[int, str]], series: Series, arranged: bool = False
+) -> DataFrame:
+    """Add each average, a span over a price column, along the sorted series.
+
+    ``arranged`` says that a window over the series has already brought its rows together.
+    """
+    keys = list(series.keys)
+    schema = T.StructType(df.schema.fields + [T.StructField(n, T.DoubleType()) for n in averages])
+    started = NULLS_SINCE in df.columns
+
+    def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last_key, state = None, {}
+        for frame in frames:
+            if frame.empty:
+                continue
+            new = np.ones(len(frame), dtype=bool)
+            new[1:] = (frame[keys].iloc[1:].to_numpy() != frame[keys].iloc[:-1].to_numpy()).any(axis=1)
+            firsts = np.flatnonzero(new)
+            continues = last_key is not None and tuple(frame[keys].iloc[0]) == last_key
+            last_key = tuple(frame[keys].iloc[-1])
+            for name, (span, price) in averages.items():
+                prices = frame[price].to_numpy(dtype="float64")
+                start, nulls = np.full(len(firsts), np.nan), np.zeros(len(firsts))
+                if started:
+                    start = frame[_start_column(span)].to_numpy(dtype="float64")[firsts]
+                    nulls = np.nan_to_num(frame[NULLS_SINCE].to_numpy(dtype="float64")[firsts])
+                if continues:
+                    start[0], nulls[0] = state[name]
+                frame[name] = _averages(prices, firsts, start, nulls, span)
+                state[name] = _end_state(prices, frame[name].to_numpy(), firsts, nulls)
+            yield frame[schema.names]
+
+    together = df if arranged else df.repartition(*keys)
+    return together.sortWithinPartitions(*keys, *series.order).mapInPandas(batches, schema)
+
+
+def _averages(
+    prices: np.ndarray, firsts: np.ndarray, start: np.ndarray, nulls: np.ndarray, span: int
+) -> np.ndarray:
+    """The recursion over the runs of rows beginning at ``firsts``.
+
+    A run that continues an average ``start`` of ``nulls`` rows ago gets it put in front.
+    """
+    # After this many missing rows the old average weighs less than a double can show.
+    limit = math.ceil(-50.0 / math.log(1.0 - 2.0 / (span + 1)))
+    lead = np.where(np.isnan(start), 0, 1 + np.minimum(nulls, limit)).astype(np.int64)
+    run = np.zeros(len(prices), dtype=np.int64)
+    run[firsts[1:]] = 1
+    run = np.cumsum(run)
+    place = np.arange(len(prices)) + np.cumsum(lead)[run]
+    padded = np.full(len(prices) + lead.sum(), np.nan)
+    padded[place] = prices
+    led = np.flatnonzero(lead)
+    padded[place[firsts[led]] - lead[led]] = start[led]
+    runs = np.repeat(np.arange(len(firsts)), np.bincount(run, minlength=len(firsts)) + lead)
+    return (
+        pd.Series(padded).groupby(runs).ewm(span=span, adjust=False).mean().to_numpy()[place]
+    )
+
+
+def _end_state(
+    prices: np.ndarray, averages: np.ndarray, firsts: np.ndarray, nulls: np.ndarray
+) -> tuple[float, float]:
+    """The average after the last row, and how many rows ago its last price was."""
+    tail = prices[firsts[-1]:]
+    valid = np.flatnonzero(~np.isnan(tail))
+    since = len(tail) - 1 - valid[-1] if len(valid) else nulls[-1] + len(tail)
+    return float(averages[-1]), float(since)
+
 
+def _block_starts(blocked: BlockedSeries, spans: Iterable[int], price: str) -> DataFrame:
+    """Per block of a cut series the average it starts from and how many nulls ago that was.
 
-def _block_starts(blocked: BlockedSeries, spans: tuple[int, ...], price: str) -> DataFrame:
-    """Per block of a cut series the average it starts from and how many nulls ago that was."""
+    From its first price on, a block turns the average there, ``a``, into ``decay * a + local``.
+    ``local`` is the recursion with a first price of 0; ``decay`` is that with a first price of
+    1 and all later prices 0.
+    """
     keys, order = list(blocked.series.keys), list(blocked.series.order)
     series_keys = keys[:-1]
-    schema = blocked.rows.schema
-    key_fields = [schema[k] for k in keys]
-    summary = T.StructType(
-        key_fields
-        + [T.StructField(n, T.LongType()) for n in ["rows", "nulls_before", "nulls_after"]]
-        + [T.StructField("first_price", T.DoubleType())]
-        + [T.StructField(f"{n}_{s}", T.DoubleType()) for s in spans for n in ("decay", "local")]
+    ordered = Window.partitionBy(*keys).orderBy(*order)
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    is_first = F.col(price).isNotNull() & (F.col("_seen") == 1)
+    # Only cut series have a block above 0; the others start from nothing anyway.
+    cut = blocked.rows.filter(F.col("_block") > 0).select(*series_keys).distinct()
+    rows = (
+        blocked.rows.join(F.broadcast(cut), series_keys, "left_semi")
+        .select(*dict.fromkeys([*keys, *order, price]))
+        .withColumns(
+            {
+                "_seen": F.count(price).over(ordered),
+                "_prices": F.count(price).over(whole),
+                "_is_last": F.lead(F.lit(True), 1, False).over(ordered) == F.lit(False),
+            }
+        )
+        .withColumns(
+            {
+                "_local": F.when(is_first, 0.0).otherwise(F.col(price)),
+                "_decay": F.when(is_first, 1.0).when(F.col(price).isNotNull(), 0.0),
+            }
+        )
     )
-
-    def summarise(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(order, kind="stable", na_position="first")
-        prices = rows[price].to_numpy(dtype="float64")
-        valid = np.flatnonzero(~np.isnan(prices))
-        line = {k: [rows[k].iloc[0]] for k in keys}
-        line["rows"] = [len(prices)]
-        if len(valid) == 0:
-            line.update(nulls_before=[len(prices)], nulls_after=[len(prices)], first_price=[np.nan])
-            line.update({f"{n}_{s}": [np.nan] for s in spans for n in ("decay", "local")})
-            return pd.DataFrame(line)[summary.names]
-        first, last = valid[0], valid[-1]
-        line.update(
-            nulls_before=[first], nulls_after=[len(prices) - 1 - last], first_price=[prices[first]]
+    averages = {f"{n}_{s}": (s, f"_{n}") for s in spans for n in ("local", "decay")}
+    after = F.count_if(F.col(price).isNull() & (F.col("_seen") == F.col("_prices")))
+    summaries = (
+        _run(rows, averages, blocked.series, arranged=True)
+        .groupBy(*keys)
+        .agg(
+            F.count("*").alias("rows"),
+            F.count_if(F.col("_seen") == 0).alias("nulls_before"),
+            after.alias("nulls_after"),
+            F.max(F.when(is_first, F.col(price))).alias("first_price"),
+            *[F.max(F.when(F.col("_is_last"), F.col(n))).alias(n) for n in averages],
         )
-        rest = prices[first : last + 1].copy()
-        gaps = np.diff(valid)
-        for s in spans:
-            k = 2.0 / (s + 1)
-            faded = np.power(1.0 - k, gaps)
-            line[f"decay_{s}"] = [float(np.prod(faded / (faded + k)))]
-            # What the block adds on its own: the recursion started from zero.
-            rest[0] = 0.0
-            line[f"local_{s}"] = [float(pd.Series(rest).ewm(span=s, adjust=False).mean().iloc[-1])]
-        return pd.DataFrame(line)[summary.names]
-
+    )
+    fields = [blocked.rows.schema[k] for k in keys]
     starts = T.StructType(
-        key_fields
-        + [T.StructField("_nulls_since", T.LongType())]
-        + [T.StructField(f"_start_{s}", T.DoubleType()) for s in spans]
+        fields
+        + [T.StructField(NULLS_SINCE, T.LongType())]
+        + [T.StructField(_start_column(s), T.DoubleType()) for s in spans]
     )
 
     def chain(blocks: pd.DataFrame) -> pd.DataFrame:
         blocks = blocks.sort_values("_block")
-        nulls, average = 0, dict.fromkeys(spans, np.nan)
-        lines = []
-        for b in blocks.itertuples(index=False):
-            lines.append([*[getattr(b, k) for k in series_keys], nulls, *average.values()])
-            if np.isnan(b.first_price):
-                nulls += b.rows
+        nulls, average, lines = 0, dict.fromkeys(spans, np.nan), []
+        for b in blocks.to_dict("records"):
+            lines.append([*[b[k] for k in keys], nulls, *average.values()])
+            if np.isnan(b["first_price"]):
+                nulls += b["rows"]
                 continue
             for s in spans:
                 k = 2.0 / (s + 1)
-                faded = (1.0 - k) ** (nulls + b.nulls_before + 1)
-                entered = b.first_price
+                faded = (1.0 - k) ** (nulls + b["nulls_before"] + 1)
+                entered = b["first_price"]
                 if not np.isnan(average[s]):
-                    entered = (faded * average[s] + k * b.first_price) / (faded + k)
-                average[s] = getattr(b, f"decay_{s}") * entered + getattr(b, f"local_{s}")
-            nulls = b.nulls_after
-        out = pd.DataFrame(lines, columns=[*series_keys, *starts.names[len(keys):]])
-        out["_block"] = blocks["_block"].to_numpy()
-        return out[starts.names]
+                    entered = (faded * average[s] + k * entered) / (faded + k)
+                average[s] = b[f"decay_{s}"] * entered + b[f"local_{s}"]
+            nulls = b["nulls_after"]
+        return pd.DataFrame(lines, columns=starts.names)
 
-    # Only cut series have a block above 0; the others start from nothing anyway.
-    cut = blocked.rows.filter(F.col("_block") > 0).select(*series_keys).distinct()
-    summaries = (
-        blocked.rows.join(F.broadcast(cut), series_keys, "left_semi")
-        .select(*keys, *[o for o in order if o not in keys], price)
-        .groupBy(*keys)
-        .applyInPandas(summarise, summary)
-    )
     return summaries.groupBy(*series_keys).applyInPandas(chain, starts)
-

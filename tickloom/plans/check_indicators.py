@@ -6,9 +6,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import indicators as ind
 from tickloom.operators.cleanse import cleanse
-from tickloom.operators.enrich import (
-    BAR_SERIES, INDICATOR_DEPTH, finish, standardise_dates, with_indicators,
-)
+from tickloom.operators.enrich import BAR_SERIES, INDICATOR_DEPTH, finish, standardise_dates
 from tickloom.operators.long_series import cut_long_series
 from tickloom.operators.quality import check_return_behaviour
 from tickloom.operators.recursive_ema import with_recursive_ema, with_recursive_ema_blocked
@@ -111,8 +109,8 @@ def full_window_volatility(spark, sf_dir):
       THEN round(ln(close_price / {previous("close_price")}), 10) END AS log_return FROM ship_bars""",
 )
 def log_returns(spark, sf_dir):
-    rows = dated(ship_bars(spark, sf_dir))
-    return rows.select(*KEY, F.round(ind.log_return(), 10).alias("log_return"))
+    rows = ind.with_log_returns(dated(ship_bars(spark, sf_dir)))
+    return rows.select(*KEY, F.round("log_return", 10).alias("log_return"))
 
 
 @checked(
@@ -139,7 +137,7 @@ def enriched_long_series(spark, sf_dir):
     bars = store(standardise_dates(cleanse(dirty_bars(spark, sf_dir))), "dated")
     blocked = cut_long_series(bars, BAR_SERIES, INDICATOR_DEPTH, rows_per_block=16)
     return finish(
-        blocked.apply(with_indicators), F.to_timestamp(F.lit("2024-02-01 00:00:00"))
+        blocked.apply(ind.with_indicators), F.to_timestamp(F.lit("2024-02-01 00:00:00"))
     )
 
 
@@ -151,7 +149,7 @@ def enriched_long_series(spark, sf_dir):
 def recursive_ema_long_series(spark, sf_dir):
     bars = standardise_dates(cleanse(dirty_bars(spark, sf_dir))).filter("close_price IS NOT NULL")
     rows = store(bars.select("symbol", "timestamp", "trade_date", "trade_timestamp", "close_price"), "closes")
-    blocked = cut_long_series(rows, BAR_SERIES, 0, rows_per_block=16)
+    blocked = cut_long_series(rows, BAR_SERIES, 0, rows_per_block=32)
     return with_recursive_ema_blocked(blocked, (12,)).select("symbol", "timestamp", "ema_recursive_12")
 
 
@@ -169,13 +167,7 @@ def recursive_ema_long_series(spark, sf_dir):
     FROM moves GROUP BY 1""",
 )
 def return_diagnostics(spark, sf_dir):
-    rows = dated(ship_bars(spark, sf_dir)).select(
-        "symbol",
-        "close_price",
-        ind.log_return().alias("log_return"),
-        (ind.daily_return() / 100.0).alias("change"),
-    )
-    return check_return_behaviour(rows)
+    return check_return_behaviour(ind.with_log_returns(dated(ship_bars(spark, sf_dir))))
 
 
 @checked(

@@ -10,6 +10,7 @@ from datetime import date, datetime
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
+from tickloom.functions.indicators import with_indicators
 from tickloom.operators import quality, reports, skew
 from tickloom.operators.cleanse import cleanse
 from tickloom.operators.enrich import (
@@ -17,7 +18,6 @@ from tickloom.operators.enrich import (
     INDICATOR_DEPTH,
     finish,
     standardise_dates,
-    with_indicators,
 )
 from tickloom.operators.long_series import ROWS_PER_BLOCK, cut_long_series
 from tickloom.schema import to_warehouse_types
