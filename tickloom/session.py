@@ -18,6 +18,8 @@ JOB_SETTINGS = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256MB",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
     "spark.sql.autoBroadcastJoinThreshold": "10MB",
+    # Lets the planner use the row counts that statistics refreshes leave in the catalog.
+    "spark.sql.cbo.enabled": "true",
     "spark.sql.parquet.compression.codec": "snappy",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }

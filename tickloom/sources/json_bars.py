@@ -97,8 +97,9 @@ def scan_directory(spark: SparkSession, path: str, pattern: str = "*.json") -> D
 
 
 def unreadable_documents(documents: DataFrame) -> DataFrame:
+    """Documents that are no JSON, or only in part; ``flatten`` leaves them out."""
     return documents.filter(F.col(CORRUPT).isNotNull()).select(
-        "source_file", F.col(CORRUPT).alias("record")
+        "source_file", F.col(CORRUPT).alias("record"), F.col("data").isNotNull().alias("partly_read")
     )
 
 
