@@ -24,7 +24,7 @@ EVENT_FACT = f"{EVENT_BARS}, {fact('event_bars')}"
 @checked("e1_curate", f"WITH {EVENT_FACT} SELECT * FROM fact")
 def curate_job(spark, sf_dir):
     source = landing.land_envelopes(event_bars(spark, sf_dir), RUN_DATE)
-    config = JobConfig(source, scratch_path(spark, "target"), RUN_DATE)
+    config = JobConfig(source, scratch_path(spark, "target"), RUN_DATE, multi_line=False)
     summary = curate(spark, config, RUN_TIME)
     return spark.read.schema(FACT_SCHEMA).parquet(summary["processed_path"]).select(FACT_COLUMNS)
 
@@ -33,7 +33,7 @@ def curate_job(spark, sf_dir):
 def transform_job(spark, sf_dir):
     source = landing.land_envelopes(event_bars(spark, sf_dir), RUN_DATE)
     target = scratch_path(spark, "target")
-    transform_directory(spark, source, target, run_time=RUN_TIME)
+    transform_directory(spark, source, target, run_time=RUN_TIME, multi_line=False)
     return spark.read.parquet(target).select(FACT_COLUMNS)
 
 
@@ -46,9 +46,8 @@ def load_job(spark, sf_dir):
     source = landing.land_envelopes(event_bars(spark, sf_dir), RUN_DATE)
     target = scratch_path(spark, "target")
     table = f"{target}/warehouse"
-    validate_and_load(
-        spark, JobConfig(source, target, RUN_DATE), table, f"{target}/audit", FULL_SUITE, run_time=RUN_TIME
-    )
+    config = JobConfig(source, target, RUN_DATE, multi_line=False)
+    validate_and_load(spark, config, table, f"{target}/audit", FULL_SUITE, run_time=RUN_TIME)
     rows = spark.read.parquet(table).withColumn("close_price", F.col("close_price").cast("double"))
     return rows.select("price_id", "symbol", "trade_date", "close_price", "volume", "year", "month")
 
@@ -61,5 +60,6 @@ def incremental_ingest(spark, sf_dir):
     earlier = bars.filter("timestamp < '2024-01-20'").withColumn("volume", F.col("volume") + 1000)
     for run_date, rows in (("2024-01-30", earlier), (RUN_DATE, bars)):
         landing.land_envelopes(rows, run_date, base)
-        ingest_new_files(spark, base, f"{base}-table", f"{base}-progress").awaitTermination()
+        progress = f"{base}-progress"
+        ingest_new_files(spark, base, f"{base}-table", progress, multi_line=False).awaitTermination()
     return spark.read.parquet(f"{base}-table").select(RAW_COLUMNS)

@@ -21,12 +21,19 @@ from tickloom.sources import files, json_bars, payloads
 RUN_DATE = "2024-01-31"
 
 
-@checked("s1_date_partition_scan", f"WITH {EVENT_BARS} SELECT {RAW_LIST} FROM event_bars")
+@checked("s1_date_partition_scan", f"WITH {TYPE_BARS} SELECT {RAW_LIST} FROM type_bars")
 def date_partition_scan(spark, sf_dir):
-    base = landing.land_envelopes(event_bars(spark, sf_dir), RUN_DATE)
+    """One multi-line file per symbol."""
+    base = landing.land_envelope_files(type_bars(spark, sf_dir), RUN_DATE)
     return json_bars.read_date_partition(spark, base, RUN_DATE).select(RAW_COLUMNS)
 
 
+@checked("s1_date_partition_lines", f"WITH {EVENT_BARS} SELECT {RAW_LIST} FROM event_bars")
+def date_partition_lines(spark, sf_dir):
+    base = landing.land_envelopes(event_bars(spark, sf_dir), RUN_DATE)
+    return json_bars.read_date_partition(spark, base, RUN_DATE, multi_line=False).select(RAW_COLUMNS)
+
+
 @checked("s2_envelope_flatten", f"WITH {SHIP_BARS} SELECT {RAW_LIST} FROM ship_bars")
 def envelope_flatten(spark, sf_dir):
     """Envelopes as JSON lines, many to a file, so that Spark can split the files."""
@@ -37,13 +44,13 @@ def envelope_flatten(spark, sf_dir):
 
 @checked(
     "s3_directory_scan",
-    f"""WITH {EVENT_BARS}, {TYPE_BARS} SELECT {RAW_LIST} FROM event_bars
-    UNION ALL SELECT {RAW_LIST} FROM type_bars""",
+    f"""WITH {TYPE_BARS} SELECT {RAW_LIST} FROM type_bars UNION ALL SELECT {RAW_LIST} FROM type_bars""",
 )
 def directory_scan(spark, sf_dir):
     """Envelopes and top-level arrays at different depths, beside a file that is no JSON."""
-    base = landing.land_envelopes(event_bars(spark, sf_dir), RUN_DATE)
-    landing.land_arrays(type_bars(spark, sf_dir), f"{base}/arrays")
+    bars = type_bars(spark, sf_dir)
+    base = landing.land_envelope_files(bars, RUN_DATE)
+    landing.land_arrays(bars, f"{base}/arrays")
     table(spark, sf_dir, "region").select(F.concat(F.lit("{ no json "), "r_name")).coalesce(1).write.text(
         f"{base}/arrays/broken"
     )
@@ -52,12 +59,12 @@ def directory_scan(spark, sf_dir):
 
 @checked(
     "s4_read_by_extension",
-    f"""WITH {SHIP_BARS} SELECT format, count(*) AS row_count, CAST(sum(volume) AS BIGINT) AS volume,
+    f"""WITH {TYPE_BARS} SELECT format, count(*) AS row_count, CAST(sum(volume) AS BIGINT) AS volume,
     CAST(sum({steps()}) AS BIGINT) AS close_steps
-    FROM ship_bars, (VALUES ('csv'), ('json'), ('parquet'), ('unknown')) f(format) GROUP BY 1""",
+    FROM type_bars, (VALUES ('csv'), ('json'), ('parquet'), ('unknown')) f(format) GROUP BY 1""",
 )
 def read_by_extension(spark, sf_dir):
-    bars = ship_bars(spark, sf_dir)
+    bars = type_bars(spark, sf_dir)
     base = scratch_path(spark, "formats")
     bars.write.parquet(f"{base}/bars.parquet")
     stored = spark.read.parquet(f"{base}/bars.parquet")

@@ -33,6 +33,7 @@ class JobConfig:
     target_path: str
     execution_date: str
     prefix: str = "stock_data"
+    multi_line: bool = True
     partition_by: tuple[str, ...] = curated.PARTITION_COLUMNS
     enable_skew_handling: bool = True
     salt_buckets: int = skew.SALT_BUCKETS
@@ -63,7 +64,7 @@ def curate(spark: SparkSession, config: JobConfig, run_time: datetime | None = N
     layer is written from the stored snapshot: no step is computed twice.
     """
     try:
-        raw = read_date_partition(spark, config.source_path, config.execution_date, config.prefix)
+        raw = _raw_bars(spark, config)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -71,6 +72,12 @@ def curate(spark: SparkSession, config: JobConfig, run_time: datetime | None = N
     return _curate(spark, raw, config, run_time or datetime.now())
 
 
+def _raw_bars(spark: SparkSession, config: JobConfig) -> DataFrame:
+    return read_date_partition(
+        spark, config.source_path, config.execution_date, config.prefix, config.multi_line
+    )
+
+
 def _curate(spark, raw, config, run_time):
     read, kept, made = Observation("read"), Observation("cleansed"), Observation("enriched")
     rows = F.count(F.lit(1)).alias("rows")
@@ -109,9 +116,10 @@ def transform_directory(
     partition_by: tuple[str, ...] = (),
     export_csv: bool = False,
     run_time: datetime | None = None,
+    multi_line: bool = True,
 ) -> dict:
     """Transform all JSON files of a folder; returns statistics and the newest daily rollup."""
-    cleansed = store(cleanse(scan_directory(spark, source_path)), "cleansed")
+    cleansed = store(cleanse(scan_directory(spark, source_path, multi_line=multi_line)), "cleansed")
     fact = store(fact_rows(cleansed, run_time or datetime.now()), "fact")
     curated.write_curated(fact, target_path, partition_by)
     if export_csv:
@@ -132,9 +140,7 @@ def validate_and_load(
     run_time: datetime | None = None,
 ) -> dict:
     """Validate every file, stop if the gate fails, else curate, load and verify."""
-    raw = store(
-        read_date_partition(spark, config.source_path, config.execution_date, config.prefix), "raw"
-    )
+    raw = store(_raw_bars(spark, config), "raw")
     results = store(quality.evaluate(raw, suite, by=["source_file"]), "validation")
     curated.write_audit(results, audit_path, config.execution_date)
     checked = quality.gate(results, max_failed_ratio)
@@ -171,6 +177,9 @@ def parse_arguments(arguments: list[str]) -> JobConfig:
     parser.add_argument("--target-path", required=True)
     parser.add_argument("--execution-date", default=date.today().isoformat())
     parser.add_argument("--prefix", default=JobConfig.prefix)
+    parser.add_argument(
+        "--json-lines", dest="multi_line", action="store_false", help="one document per line, not per file"
+    )
     parser.add_argument(
         "--enable-skew-handling", type=lambda v: v.lower() == "true", default=True, metavar="true|false"
     )

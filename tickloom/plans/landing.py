@@ -26,11 +26,18 @@ def envelopes(bars: DataFrame) -> DataFrame:
 
 
 def land_envelopes(bars: DataFrame, execution_date: str, base: str | None = None) -> str:
-    """One file per symbol under ``stock_data/date=/symbol=``."""
+    """Envelopes as JSON lines under ``stock_data/date=``: many to a file, and no file per symbol."""
     base = base or scratch_path(bars.sparkSession, "landed")
-    envelopes(bars).withColumn("date", F.lit(execution_date)).write.mode("append").partitionBy(
-        "date", "symbol"
-    ).json(f"{base}/stock_data")
+    documents = envelopes(bars).drop("symbol").withColumn("date", F.lit(execution_date))
+    documents.write.mode("append").partitionBy("date").json(f"{base}/stock_data")
+    return base
+
+
+def land_envelope_files(bars: DataFrame, execution_date: str) -> str:
+    """One file per symbol under ``stock_data/date=/symbol=``, for few symbols."""
+    base = scratch_path(bars.sparkSession, "landed")
+    documents = envelopes(bars).withColumn("date", F.lit(execution_date))
+    documents.write.partitionBy("date", "symbol").json(f"{base}/stock_data")
     return base
 
 

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tickloom.session import apply_settings
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -19,11 +21,11 @@ def checked(name: str, sql: str | None = None) -> Callable[[Query], Query]:
         if name in QUERIES:
             raise ValueError(f"query {name!r} is registered twice")
 
-        def in_utc(spark: SparkSession, sf_dir: str) -> DataFrame:
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
+        def with_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
+            apply_settings(spark)
             return query(spark, sf_dir)
 
-        QUERIES[name] = in_utc
+        QUERIES[name] = with_settings
         if sql is not None:
             ORACLE[name] = sql
         return query

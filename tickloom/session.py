@@ -20,6 +20,9 @@ JOB_SETTINGS = {
     "spark.sql.autoBroadcastJoinThreshold": "10MB",
     # Lets the planner use the row counts that statistics refreshes leave in the catalog.
     "spark.sql.cbo.enabled": "true",
+    # Raw JSON numbers are read as text. Copying their exact spelling would read each of them
+    # from the file once more; the spelling does not matter, since they become numbers.
+    "spark.sql.json.enableExactStringParsing": "false",
     "spark.sql.parquet.compression.codec": "snappy",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
@@ -34,6 +37,12 @@ def job_session(app_name: str, master: str | None = None, **settings: str) -> Sp
     return builder.getOrCreate()
 
 
+def apply_settings(spark: SparkSession) -> None:
+    """Give a session made elsewhere the settings of the jobs."""
+    for key, value in JOB_SETTINGS.items():
+        spark.conf.set(key, value)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 

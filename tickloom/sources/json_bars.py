@@ -72,13 +72,17 @@ def date_path(base_path: str, execution_date: str, prefix: str = "stock_data") -
 
 
 def read_date_partition(
-    spark: SparkSession, base_path: str, execution_date: str, prefix: str = "stock_data"
+    spark: SparkSession,
+    base_path: str,
+    execution_date: str,
+    prefix: str = "stock_data",
+    multi_line: bool = True,
 ) -> DataFrame:
     """Raw bars of one execution date, all symbols, with ``source_file``.
 
     The execution date is when the files were fetched, not the date of the bars in them.
     """
-    return read_bars(spark, date_path(base_path, execution_date, prefix))
+    return read_bars(spark, date_path(base_path, execution_date, prefix), multi_line=multi_line)
 
 
 def read_bars(
@@ -88,9 +92,11 @@ def read_bars(
     return coerce_types(flatten(documents))
 
 
-def scan_directory(spark: SparkSession, path: str, pattern: str = "*.json") -> DataFrame:
+def scan_directory(
+    spark: SparkSession, path: str, pattern: str = "*.json", multi_line: bool = True
+) -> DataFrame:
     """All JSON files below a folder. Unreadable ones are skipped; nothing readable is an error."""
-    bars = read_bars(spark, path, pattern=pattern)
+    bars = read_bars(spark, path, pattern=pattern, multi_line=multi_line)
     if bars.isEmpty():
         raise ValueError(f"no valid JSON data found in {path}")
     return bars

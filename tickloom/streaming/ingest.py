@@ -30,6 +30,7 @@ def ingest_new_files(
     table_path: str,
     checkpoint_path: str,
     files_per_batch: int = 1_000,
+    multi_line: bool = True,
 ) -> StreamingQuery:
     """Start reading the files that arrived since the last run; it stops when all are merged."""
 
@@ -40,7 +41,7 @@ def ingest_new_files(
             upsert(rows, table_path, BAR_KEYS, check_unique=False)
 
     documents = (
-        json_options(spark.readStream)
+        json_options(spark.readStream, multi_line=multi_line)
         .option("maxFilesPerTrigger", files_per_batch)
         .json(source_path)
         .withColumn("source_file", F.col("_metadata.file_path"))
