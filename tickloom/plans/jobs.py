@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import math
 import sys
 from dataclasses import dataclass
 from datetime import date, datetime
@@ -21,10 +22,13 @@ from tickloom.operators.enrich import (
 )
 from tickloom.operators.long_series import ROWS_PER_BLOCK, cut_long_series
 from tickloom.schema import to_warehouse_types
-from tickloom.session import job_session, store
+from tickloom.session import job_session, partitions_for, store, stored_bytes
 from tickloom.sinks import curated, warehouse
 from tickloom.sources.files import read_snapshot, require_output
-from tickloom.sources.json_bars import read_date_partition, scan_directory
+from tickloom.sources.json_bars import date_path, read_date_partition, scan_directory
+
+
+SMALLEST_BLOCK = 100_000
 
 
 @dataclass(frozen=True)
@@ -59,11 +63,14 @@ def fact_rows(
 def curate(spark: SparkSession, config: JobConfig, run_time: datetime | None = None) -> dict | None:
     """Read, cleanse, enrich, and write the snapshot and the curated layer.
 
+    Shuffles get as many partitions as the input's size asks for.
+
     Returns the run's counts, or None without writing anything if there was no input.
     Everything downstream of the cleansed rows reads them from storage, and the curated
     layer is written from the stored snapshot: no step is computed twice.
     """
     try:
+        _size_shuffles(spark, config)
         raw = _raw_bars(spark, config)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
@@ -72,6 +79,12 @@ def curate(spark: SparkSession, config: JobConfig, run_time: datetime | None = N
     return _curate(spark, raw, config, run_time or datetime.now())
 
 
+def _size_shuffles(spark: SparkSession, config: JobConfig) -> None:
+    path = date_path(config.source_path, config.execution_date, config.prefix)
+    partitions = partitions_for(spark, stored_bytes(spark, path))
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+
+
 def _raw_bars(spark: SparkSession, config: JobConfig) -> DataFrame:
     return read_date_partition(
         spark, config.source_path, config.execution_date, config.prefix, config.multi_line
@@ -87,7 +100,9 @@ def _curate(spark, raw, config, run_time):
     verdict = (
         skew.skew_verdict(cleansed).first().asDict() if config.enable_skew_handling else None
     )
-    fact = fact_rows(cleansed, run_time, config.enable_skew_handling, config.rows_per_block)
+    fact = fact_rows(
+        cleansed, run_time, config.enable_skew_handling, _block_rows(config, verdict)
+    )
     snapshot_path = curated.write_snapshot(
         fact.observe(made, rows), config.target_path, config.execution_date, kept.get["rows"]
     )
@@ -109,6 +124,18 @@ def _curate(spark, raw, config, run_time):
     }
 
 
+def _block_rows(config: JobConfig, verdict: dict | None) -> int:
+    """How many rows a symbol may have before it is cut.
+
+    Of skewed data the largest symbol is cut into about ``salt_buckets`` blocks, unless
+    these would be too small to be worth it.
+    """
+    if not verdict or not verdict["is_skewed"]:
+        return config.rows_per_block
+    share = math.ceil(verdict["max_records"] / config.salt_buckets)
+    return min(config.rows_per_block, max(share, SMALLEST_BLOCK))
+
+
 def transform_directory(
     spark: SparkSession,
     source_path: str,
@@ -140,6 +167,7 @@ def validate_and_load(
     run_time: datetime | None = None,
 ) -> dict:
     """Validate every file, stop if the gate fails, else curate, load and verify."""
+    _size_shuffles(spark, config)
     raw = store(_raw_bars(spark, config), "raw")
     results = store(quality.evaluate(raw, suite, by=["source_file"]), "validation")
     curated.write_audit(results, audit_path, config.execution_date)
@@ -151,13 +179,16 @@ def validate_and_load(
     snapshot = read_snapshot(spark, config.target_path, config.execution_date)
     output = require_output(snapshot)
     loaded = warehouse.upsert(to_warehouse_types(snapshot), table_path, partition_by=config.partition_by)
-    verified = verify_load(loaded, snapshot)
+    verified = verify_load(loaded, snapshot, config.partition_by)
     return {**checked, **summary, **output, **verified}
 
 
-def verify_load(table: DataFrame, staged: DataFrame) -> dict:
+def verify_load(
+    table: DataFrame, staged: DataFrame, partition_by: tuple[str, ...] = curated.PARTITION_COLUMNS
+) -> dict:
     """Every loaded key must be in the table; raises otherwise."""
-    missing = staged.join(table.select("price_id"), "price_id", "left_anti").limit(5).collect()
+    loaded = warehouse.touched(table, staged, partition_by).select("price_id")
+    missing = staged.join(loaded, "price_id", "left_anti").limit(5).collect()
     if missing:
         raise warehouse.LoadError(f"not loaded: {[r['price_id'] for r in missing]}")
     return {"table_rows": table.count()}

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Settings the jobs rely on. Shuffle partitions are only a starting point: adaptive
 # execution coalesces small ones and splits skewed joins and rebalanced writes.
@@ -43,6 +44,26 @@ def apply_settings(spark: SparkSession) -> None:
         spark.conf.set(key, value)
 
 
+SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def stored_bytes(spark: SparkSession, path: str, pattern: str = "*") -> int:
+    """Size of all files below a path; only the file listing is read, no content."""
+    listing = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", pattern)
+        .load(path)
+    )
+    return listing.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+
+
+def partitions_for(spark: SparkSession, size: int) -> int:
+    """Enough partitions that one fits a task's memory, and never fewer than configured."""
+    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(configured, math.ceil(size / SHUFFLE_PARTITION_BYTES))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 

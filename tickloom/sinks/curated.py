@@ -51,8 +51,7 @@ def write_snapshot(
     path = f"{target_path}/daily_snapshots/date={execution_date}"
     if rows is None:
         rows = df.count()
-    files = df.coalesce(1) if rows <= SINGLE_FILE_ROWS else df.hint("rebalance")
-    files.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    _few_files(df, rows).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
     return path
 
 
@@ -60,8 +59,12 @@ def write_csv(df: DataFrame, path: str, rows: int | None = None) -> None:
     """CSV with a header: one file while small, else balanced files with a header each."""
     if rows is None:
         rows = df.count()
-    files = df.coalesce(1) if rows <= SINGLE_FILE_ROWS else df.hint("rebalance")
-    files.write.mode("overwrite").option("header", True).csv(path)
+    _few_files(df, rows).write.mode("overwrite").option("header", True).csv(path)
+
+
+def _few_files(df: DataFrame, rows: int) -> DataFrame:
+    """One partition while small. The shuffle keeps the work before it parallel."""
+    return df.repartition(1) if rows <= SINGLE_FILE_ROWS else df.hint("rebalance")
 
 
 def write_audit(results: DataFrame, path: str, execution_date: str) -> None:

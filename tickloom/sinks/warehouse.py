@@ -14,7 +14,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tickloom.operators.cleanse import deduplicate
-from tickloom.session import store
+from tickloom.session import partitions_for, store, stored_bytes
 from tickloom.sinks.curated import PARTITION_COLUMNS, write_curated
 from tickloom.sources.files import output_summary
 
@@ -35,7 +35,7 @@ def _existing(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
         return like.limit(0)
 
 
-def _touched(target: DataFrame, incoming: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+def touched(target: DataFrame, incoming: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """The part of the target that lies in partitions the incoming rows fall in."""
     if not partition_by:
         return target
@@ -97,7 +97,7 @@ def upsert(
     """
     if check_unique:
         require_unique(staging, keys)
-    target = _touched(_existing(staging.sparkSession, path, staging), staging, partition_by)
+    target = touched(_existing(staging.sparkSession, path, staging), staging, partition_by)
     return _replace(merged(target, staging, keys), path, partition_by)
 
 
@@ -111,7 +111,7 @@ def replace_date(
         raise LoadError(
             f"{scope['n']} rows given for {trade_date}, of which {scope['other']} have another date"
         )
-    target = _touched(_existing(rows.sparkSession, path, rows), rows, partition_by)
+    target = touched(_existing(rows.sparkSession, path, rows), rows, partition_by)
     kept = target.filter(F.col("trade_date") != day).select(rows.columns)
     return _replace(kept.unionByName(rows), path, partition_by)
 
@@ -129,7 +129,7 @@ def insert_if_absent(
     partition_by: Sequence[str] = PARTITION_COLUMNS,
 ) -> int:
     """Append the rows whose key the table lacks; returns the table's row count."""
-    target = _touched(_existing(staging.sparkSession, path, staging), staging, partition_by)
+    target = touched(_existing(staging.sparkSession, path, staging), staging, partition_by)
     # Stored first, so that the append does not read the files it adds.
     return append(store(absent(target, staging, keys), "inserts"), path, partition_by)
 
@@ -146,7 +146,10 @@ def compact(
     Rows are spread by ranges of the sort key: one hot date or symbol spans many tasks.
     """
     table = spark.read.parquet(path)
-    rows = table.repartitionByRange(*partition_by, *sort_by).sortWithinPartitions(*partition_by, *sort_by)
+    spread = partitions_for(spark, stored_bytes(spark, path, "*.parquet"))
+    rows = table.repartitionByRange(spread, *partition_by, *sort_by).sortWithinPartitions(
+        *partition_by, *sort_by
+    )
     if not partition_by:
         rows = store(rows, "compacted")
     writer = rows.write.mode("overwrite").option("compression", compression)
