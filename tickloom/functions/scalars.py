@@ -22,9 +22,8 @@ def standard_symbol(symbol: Column | str) -> Column:
 def to_number(column: Column | str, dtype: str) -> Column:
     """Numeric coercion: text that is no number, and NaN, become NULL."""
     column = F.col(column) if isinstance(column, str) else column
-    if dtype in ("double", "float"):
-        number = column.try_cast(dtype)
-        return F.when(~F.isnan(number), number)
+    if dtype == "double":
+        return F.nanvl(column.try_cast(dtype), F.lit(None).cast(dtype))
     # Whole numbers may be written as "1200.0".
     return F.coalesce(column.try_cast(dtype), column.try_cast("double").try_cast(dtype))
 
@@ -32,7 +31,7 @@ def to_number(column: Column | str, dtype: str) -> Column:
 def non_negative(column: Column | str) -> Column:
     """NULL for negative values and NaN; zero is kept."""
     column = F.col(column) if isinstance(column, str) else column
-    return F.when((column >= 0) & ~F.isnan(column), column)
+    return F.nanvl(F.when(column >= 0, column), F.lit(None).cast("double"))
 
 
 def pct_change(current: Column, base: Column) -> Column:
