@@ -159,3 +159,20 @@ def test_indicators_need_one_exchange(spark, closes):
     plan = ind.with_indicators(df)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1
     assert plan.count("Sort [") == 1
+
+
+def test_rounding_is_half_up_on_the_exact_value(spark):
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from tickloom.functions.scalars import mean_of_steps, rounded_mean_price
+
+    rng = random.Random(2)
+    rows = [(rng.randrange(-10**9, 10**12), rng.randrange(1, 60)) for _ in range(2000)]
+    df = spark.createDataFrame(rows, "total long, n long")
+    for decimals in (2, 4):
+        got = df.select(mean_of_steps(F.col("total"), F.col("n"), decimals)).collect()
+        exact = [(Decimal(t) / n / 10000).quantize(Decimal(10) ** -decimals, ROUND_HALF_UP) for t, n in rows]
+        assert [r[0] for r in got] == [float(e) for e in exact]
+    # Sums of many large prices do not overflow.
+    large = spark.range(2000).select(F.lit(9.9e10).alias("p"))
+    assert large.agg(rounded_mean_price("p", 2)).first()[0] == 9.9e10

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tickloom.functions.scalars import to_number
+from tickloom.functions.scalars import surrogate_key, to_number
 from tickloom.operators import cleanse as c
 from tickloom.operators.enrich import standardise_dates, with_date_dimensions
 from tickloom.operators.reports import trend
-from tickloom.functions.scalars import surrogate_key
-from tickloom.plans.derived import daily_fact, dirty_bars, event_bars, ship_bars, table
+from tickloom.plans.derived import (
+    customer_orders, daily_fact, dirty_bars, event_bars, ship_bars, table,
+)
 from tickloom.plans.oracle import (
     CLEANSED, DATE_PARTS, DIRTY_BARS, EVENT_BARS, RAW_LIST, SHIP_BARS, fact, letters, positive,
 )
@@ -140,8 +141,6 @@ def date_dimensions(spark, sf_dir):
     count(*) AS row_count FROM orders GROUP BY 1""",
 )
 def surrogate_keys(spark, sf_dir):
-    from tickloom.plans.derived import customer_orders
-
     rows = customer_orders(spark, sf_dir).select(surrogate_key().alias("price_id"))
     return rows.groupBy("price_id").agg(F.count("*").alias("row_count"))
 

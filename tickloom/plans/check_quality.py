@@ -14,16 +14,14 @@ OUTCOME = ["rule_no", "expectation_type", "column_name", "success", "considered"
 
 
 def _between(number, column, low, high, mostly):
+    """A rule as the SQL of its considered rows and of its violations."""
     outside = [f"{column} < {low}"] if low is not None else []
     outside += [f"{column} > {high}"] if high is not None else []
-    present = " AND ".join(
-        [f"{c} IS NOT NULL" for c in [column, low, high] if isinstance(c, str) and "_" in c or c == column]
-    )
-    return (number, q.BETWEEN, column, mostly, present, " OR ".join(outside))
+    return (number, q.BETWEEN, column, mostly, f"{column} IS NOT NULL", " OR ".join(outside))
 
 
 def _not_null(number, column):
-    return (number, q.NOT_NULL, column, 1.0, "TRUE", f"{column} IS NULL")
+    return (number, q.NOT_NULL, column, 1.0, "TRUE", f'"{column}" IS NULL')
 
 
 BOTH = "high_price IS NOT NULL AND low_price IS NOT NULL"
@@ -60,18 +58,10 @@ CORE_RULES = [
 ]
 
 
-def _quoted(column: str) -> str:
-    return '"timestamp"' if column == "timestamp" else column
-
-
 def outcomes(bars: str, rules: list, by: str | None = None) -> str:
     """The row-level rules of a suite, one SELECT each."""
     lines = []
     for number, kind, column, mostly, present, violated in rules:
-        present, violated = (
-            text.replace("timestamp IS", '"timestamp" IS') if '"' not in text else text
-            for text in (present, violated)
-        )
         share = "CASE WHEN n > 0 THEN 1 - bad / CAST(n AS DOUBLE) ELSE 1 END"
         group = f"{by}, " if by else ""
         lines.append(
@@ -143,9 +133,6 @@ def null_percentages(spark, sf_dir):
     return results.select("column_name", details.alias("d")).select("column_name", "d.*")
 
 
-ROW_CHECKS = [r for r in FULL_RULES]
-
-
 @checked(
     "v25_results_per_symbol",
     f"WITH {DIRTY_BARS} {outcomes('dirty_bars', FULL_RULES[2:8], by='symbol')}",
@@ -206,13 +193,7 @@ def ohlc_relation(spark, sf_dir):
 
 
 def _any_error() -> str:
-    return " OR ".join(
-        f"coalesce(({_fix(p)}) AND ({_fix(v)}), FALSE)" for _, _, _, _, p, v in FULL_RULES
-    )
-
-
-def _fix(text: str) -> str:
-    return text if '"' in text else text.replace("timestamp IS", '"timestamp" IS')
+    return " OR ".join(f"coalesce(({p}) AND ({v}), FALSE)" for _, _, _, _, p, v in FULL_RULES)
 
 
 @checked(

@@ -119,8 +119,8 @@ def quotes(spark, sf_dir):
 @checked(
     "s7_intraday_payloads",
     f"""SELECT {sql_letters("user_id")} AS symbol, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS "timestamp",
-    value AS open_price, value AS high_price, value AS low_price, value AS close_price,
-    CAST(1 AS BIGINT) AS volume FROM events""",
+    max(value) AS open_price, max(value) AS high_price, max(value) AS low_price, max(value) AS close_price,
+    CAST(1 AS BIGINT) AS volume FROM events GROUP BY user_id, ts""",
 )
 def intraday_payloads(spark, sf_dir):
     path = landing.land_intraday_payloads(table(spark, sf_dir, "events"), letters("user_id"), "5min")

@@ -49,12 +49,12 @@ class JobConfig:
 def fact_rows(
     cleansed: DataFrame,
     run_time: datetime,
-    handle_skew: bool = True,
+    cut_long: bool = True,
     rows_per_block: int = ROWS_PER_BLOCK,
 ) -> DataFrame:
     """Stored cleansed bars to fact rows; series too long for one task are cut into blocks."""
     dated = standardise_dates(cleansed)
-    if not handle_skew:
+    if not cut_long:
         return finish(with_indicators(dated, BAR_SERIES), run_time)
     blocked = cut_long_series(dated, BAR_SERIES, INDICATOR_DEPTH, rows_per_block=rows_per_block)
     return finish(blocked.apply(with_indicators), run_time)
@@ -100,9 +100,9 @@ def _curate(spark, raw, config, run_time):
     verdict = (
         skew.skew_verdict(cleansed).first().asDict() if config.enable_skew_handling else None
     )
-    fact = fact_rows(
-        cleansed, run_time, config.enable_skew_handling, _block_rows(config, verdict)
-    )
+    block_rows = _block_rows(config, verdict)
+    has_long_series = verdict is not None and verdict["max_records"] > block_rows
+    fact = fact_rows(cleansed, run_time, has_long_series, block_rows)
     snapshot_path = curated.write_snapshot(
         fact.observe(made, rows), config.target_path, config.execution_date, kept.get["rows"]
     )

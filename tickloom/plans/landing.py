@@ -8,6 +8,8 @@ from tickloom.schema import RAW_COLUMNS
 from tickloom.session import scratch_path
 from tickloom.sources.payloads import DAILY_KEYS
 
+PAYLOAD_EVENTS = 10_000
+
 
 def envelopes(bars: DataFrame) -> DataFrame:
     """One envelope document per symbol. Daily bars: a document is bounded by the calendar."""
@@ -66,7 +68,11 @@ def land_daily_payloads(bars: DataFrame) -> str:
 
 
 def land_intraday_payloads(events: DataFrame, symbol: Column, interval: str) -> str:
-    """One payload per symbol and day; every event is a bar of its own."""
+    """Payloads in which every event is a bar of its own; of a symbol's events at one time one stays.
+
+    A payload takes the events of one symbol whose numbers fall in one run of ``PAYLOAD_EVENTS``,
+    so none is larger than that, however many events a symbol has.
+    """
     path = scratch_path(events.sparkSession, "intraday")
     value = F.col("value").cast("string")
     bar = F.create_map(
@@ -75,10 +81,18 @@ def land_intraday_payloads(events: DataFrame, symbol: Column, interval: str) ->
     )
     stamp = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
     meta = F.create_map(F.lit("2. Symbol"), F.col("symbol"))
-    events.withColumn("symbol", symbol).groupBy("symbol", F.to_date("ts").alias("day")).agg(
-        meta.alias("Meta Data"),
-        F.map_from_entries(F.collect_list(F.struct(stamp, bar))).alias(f"Time Series ({interval})"),
-    ).drop("symbol", "day").write.json(path)
+    run = F.floor(F.col("event_id") / PAYLOAD_EVENTS)
+    (
+        events.groupBy(symbol.alias("symbol"), "ts")
+        .agg(F.max("value").alias("value"), F.max("event_id").alias("event_id"))
+        .groupBy("symbol", run.alias("run"))
+        .agg(
+            meta.alias("Meta Data"),
+            F.map_from_entries(F.collect_list(F.struct(stamp, bar))).alias(f"Time Series ({interval})"),
+        )
+        .drop("symbol", "run")
+        .write.json(path)
+    )
     return path
 
 
