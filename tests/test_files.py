@@ -5,9 +5,12 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from tickloom.functions.indicators import DAILY
+from tickloom.operators.cleanse import cleanse
+from tickloom.operators.enrich import enrich
 from tickloom.operators.quality import QualityGateError
 from tickloom.plans.jobs import JobConfig, curate, main, parse_arguments, require_date, transform_directory, validate_and_load
-from tickloom.schema import FACT_COLUMNS, RAW_COLUMNS
+from tickloom.schema import FACT_COLUMNS, RAW_COLUMNS, WAREHOUSE_SCHEMA, decimal_overflows, to_warehouse_types
 from tickloom.sinks import curated, warehouse
 from tickloom.sources import files, json_bars, payloads
 from tickloom.streaming.ingest import ingest_new_files
@@ -236,6 +239,39 @@ def test_insert_if_absent(spark, tmp_path):
     assert volumes(spark.read.parquet(path)) == {"a": 1, "b": 3}
 
 
+def test_declared_table_sees_what_was_upserted(spark, raw, tmp_path):
+    fact = to_warehouse_types(enrich(cleanse(raw({}, {"timestamp": "2024-02-05"}))))
+    assert fact.schema.simpleString() == WAREHOUSE_SCHEMA.simpleString()
+    path = f"{tmp_path}/fact"
+    warehouse.create_table(spark, "declared_bars", path)
+    assert spark.table("declared_bars").count() == 0
+    warehouse.upsert(fact, path)
+    warehouse.refresh_partitions(spark, "declared_bars")
+    assert {str(r["close_price"]) for r in spark.table("declared_bars").collect()} == {"11.0000"}
+    assert spark.table("declared_bars").filter("year = 2024 AND month = 2").count() == 1
+
+
+def test_percentages_too_large_for_their_decimals_are_counted(spark):
+    df = spark.createDataFrame([(1e9, 1.0), (5.0, None)], "daily_return double, sma_5 double")
+    assert decimal_overflows(df).first().asDict() == {"sma_5": 0, "daily_return": 1}
+    assert [r["daily_return"] for r in to_warehouse_types(df).collect()][0] is None
+
+
+def test_bucketed_table_spares_the_shuffle(spark, tmp_path, closes):
+    warehouse.save_bucketed(closes([1.0, 2.0, 4.0]), "bucketed_bars", f"{tmp_path}/b", 4)
+    lagged = spark.table("bucketed_bars").withColumn("p", F.lag("close_price").over(DAILY.ordered()))
+    assert "Exchange" not in lagged._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r["p"] or 0 for r in lagged.collect()) == [0, 1.0, 2.0]
+
+
+def test_json_paths_of_a_load(spark, tmp_path):
+    write(f"{tmp_path}/a.json", '{"s": "A", "bar": {"c": 1.5}}\n{"s": "B"}\n')
+    rows = files.read_for_load(spark, f"{tmp_path}/a.json", "JSON", json_paths={"symbol": "$.s", "close": "$.bar.c"})
+    assert [tuple(r) for r in rows.orderBy("symbol").collect()] == [("A", "1.5"), ("B", None)]
+    with pytest.raises(ValueError):
+        files.read_for_load(spark, f"{tmp_path}/a.json", "ORC")
+
+
 def test_statistics_reach_the_optimizer(spark, tmp_path):
     path = f"{tmp_path}/t"
     warehouse.append(keyed(spark, [("a", "2024-01-01", 1), ("b", "2024-01-01", 1)]), path, ())

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tickloom.functions.indicators import DAILY
 from tickloom.operators import quality
+from tickloom.operators.enrich import standardise_dates
 from tickloom.plans.derived import daily_fact, event_bars, ship_bars, type_bars
 from tickloom.plans.oracle import EVENT_BARS, RAW_LIST, SHIP_BARS, TYPE_BARS, fact
 from tickloom.plans.registry import checked
@@ -88,7 +90,7 @@ def audit_trail(spark, sf_dir):
 
 
 def _warehouse_columns() -> str:
-    types = {c: t for t, columns in WAREHOUSE_DECIMALS.items() for c in columns}
+    types = {c: t.simpleString() for t, columns in WAREHOUSE_DECIMALS.items() for c in columns}
     return ", ".join(
         f"CAST(TRY_CAST({c} AS {types[c]}) AS DOUBLE) AS {c}" if c in types else c for c in FACT_COLUMNS
     )
@@ -102,6 +104,21 @@ def warehouse_types(spark, sf_dir):
     return rows.withColumns({c: F.col(c).cast("double") for c in decimals})
 
 
+@checked(
+    "k7_bucketed_table",
+    f"WITH {SHIP_BARS} SELECT symbol, trade_date, lag(close_price) OVER (PARTITION BY symbol ORDER BY trade_date)"
+    " AS previous_close FROM ship_bars",
+)
+def bucketed_table(spark, sf_dir):
+    """Distributed by symbol, so that the window reads its buckets without a shuffle."""
+    path = scratch_path(spark, "bucketed")
+    name = "bucketed_" + path.rsplit("-", 1)[-1]
+    rows = standardise_dates(ship_bars(spark, sf_dir)).select("symbol", "trade_date", "close_price")
+    warehouse.save_bucketed(rows, name, path, buckets=8)
+    previous = F.lag("close_price").over(DAILY.ordered())
+    return spark.table(name).select("symbol", "trade_date", previous.alias("previous_close"))
+
+
 @checked(
     "k8_append_load",
     f"""WITH {EVENT_FACT} SELECT trade_date, 2 * count(*) AS row_count FROM fact GROUP BY 1""",

@@ -52,9 +52,9 @@ FACT_COLUMNS = FACT_SCHEMA.fieldNames()
 
 # Warehouse types that differ from the fact layer.
 WAREHOUSE_DECIMALS = {
-    "decimal(18,4)": PRICE_COLUMNS
+    T.DecimalType(18, 4): PRICE_COLUMNS
     + ["dividend_amount", "daily_range", "sma_5", "sma_20", "sma_50", "ema_12", "ema_26"],
-    "decimal(10,4)": [
+    T.DecimalType(10, 4): [
         "split_coefficient",
         "daily_return",
         "daily_range_pct",
@@ -77,6 +77,16 @@ DIM_SYMBOLS_SCHEMA = T.StructType(
 )
 
 
+_DECIMAL_OF = {c: dtype for dtype, columns in WAREHOUSE_DECIMALS.items() for c in columns}
+
+WAREHOUSE_SCHEMA = T.StructType(
+    [
+        T.StructField(f.name, _DECIMAL_OF.get(f.name, f.dataType))
+        for f in FACT_SCHEMA
+    ]
+)
+
+
 def select_fact_columns(df: DataFrame) -> DataFrame:
     """Keep the fact columns that exist, in their fixed order."""
     return df.select([c for c in FACT_COLUMNS if c in df.columns])
@@ -87,13 +97,7 @@ def to_warehouse_types(df: DataFrame) -> DataFrame:
 
     ``decimal_overflows`` counts those values so that a load can report them.
     """
-    casts = {
-        c: F.col(c).try_cast(dtype)
-        for dtype, columns in WAREHOUSE_DECIMALS.items()
-        for c in columns
-        if c in df.columns
-    }
-    return df.withColumns(casts)
+    return df.withColumns({c: F.col(c).try_cast(t) for c, t in _DECIMAL_OF.items() if c in df.columns})
 
 
 def decimal_overflows(df: DataFrame) -> DataFrame:
@@ -101,8 +105,7 @@ def decimal_overflows(df: DataFrame) -> DataFrame:
     return df.agg(
         *[
             F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(dtype).isNull()).alias(c)
-            for dtype, columns in WAREHOUSE_DECIMALS.items()
-            for c in columns
+            for c, dtype in _DECIMAL_OF.items()
             if c in df.columns
         ]
     )

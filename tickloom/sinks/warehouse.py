@@ -12,8 +12,10 @@ from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import StructType
 
 from tickloom.operators.cleanse import deduplicate
+from tickloom.schema import WAREHOUSE_SCHEMA
 from tickloom.session import partitions_for, store, stored_bytes
 from tickloom.sinks.curated import PARTITION_COLUMNS, write_curated
 from tickloom.sources.files import output_summary
@@ -159,13 +161,53 @@ def compact(
     spark.catalog.refreshByPath(path)
 
 
+def create_table(
+    spark: SparkSession,
+    name: str,
+    path: str,
+    schema: StructType = WAREHOUSE_SCHEMA,
+    partition_by: Sequence[str] = PARTITION_COLUMNS,
+) -> None:
+    """Declare a catalog table over a path, if there is none of that name yet."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    partitions = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet {partitions} LOCATION '{path}'")
+
+
 def register(spark: SparkSession, name: str, path: str) -> None:
-    """Make a path a catalog table."""
+    """Make the table at a path, as it is, a catalog table and let it see all its partitions."""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{path}'")
-    if spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter(
-        (F.col("col_name") == "Partition Provider") & (F.col("data_type") == "Catalog")
-    ).count():
+    refresh_partitions(spark, name)
+
+
+def refresh_partitions(spark: SparkSession, name: str) -> None:
+    """Make partitions known that were written to the path of a catalog table."""
+    if any(column.isPartition for column in spark.catalog.listColumns(name)):
         spark.sql(f"MSCK REPAIR TABLE {name}")
+    spark.catalog.refreshTable(name)
+
+
+def save_bucketed(
+    df: DataFrame,
+    name: str,
+    path: str,
+    buckets: int,
+    key: str = "symbol",
+    sort_by: Sequence[str] = ("symbol", "trade_date"),
+) -> None:
+    """A catalog table distributed by key: windows and joins on the key then need no shuffle.
+
+    For daily bars. A bucket is one task's work, so a symbol with a large share of all
+    rows belongs into a table partitioned by date instead.
+    """
+    (
+        df.repartition(buckets, key)
+        .write.mode("overwrite")
+        .option("path", path)
+        .bucketBy(buckets, key)
+        .sortBy(*sort_by)
+        .saveAsTable(name)
+    )
 
 
 def analyze(spark: SparkSession, name: str, columns: Sequence[str] = ()) -> None:

@@ -38,12 +38,19 @@ def read_for_load(
     path: str,
     file_format: str = "PARQUET",
     delimiter: str = ",",
+    json_paths: dict[str, str] | None = None,
 ) -> DataFrame:
-    """What a table load reads: Parquet, CSV with a header line, or JSON lines."""
+    """What a table load reads: Parquet, CSV with a header line, or JSON lines.
+
+    JSON goes by field names, or by a JSON path per column, such as ``{"close": "$.bar.c"}``.
+    """
     if file_format == "PARQUET":
         return spark.read.parquet(path)
     if file_format == "CSV":
         return spark.read.option("header", True).option("sep", delimiter).csv(path)
+    if file_format == "JSON" and json_paths:
+        picked = [F.get_json_object("value", p).alias(c) for c, p in json_paths.items()]
+        return spark.read.text(path).select(picked)
     if file_format == "JSON":
         return spark.read.json(path)
     raise ValueError(f"file format must be PARQUET, CSV or JSON, not {file_format!r}")
