@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from tickloom.operators.quality import FULL_SUITE
+from tickloom.operators.quality import CORE_SUITE, Suite, row_count
 from tickloom.plans import landing
 from tickloom.plans.derived import event_bars
 from tickloom.plans.jobs import JobConfig, curate, transform_directory, validate_and_load
@@ -21,6 +21,10 @@ RUN_TIME = datetime(2024, 2, 1)
 EVENT_FACT = f"{EVENT_BARS}, {fact('event_bars')}"
 
 
+# The core rules without their upper bound on rows, which is meant for files of one symbol.
+LOAD_SUITE = Suite("load_suite", (*CORE_SUITE.rules[:-1], row_count(1, None)))
+
+
 @checked("e1_curate", f"WITH {EVENT_FACT} SELECT * FROM fact")
 def curate_job(spark, sf_dir):
     source = landing.land_envelopes(event_bars(spark, sf_dir), RUN_DATE)
@@ -47,7 +51,7 @@ def load_job(spark, sf_dir):
     target = scratch_path(spark, "target")
     table = f"{target}/warehouse"
     config = JobConfig(source, target, RUN_DATE, multi_line=False)
-    validate_and_load(spark, config, table, f"{target}/audit", FULL_SUITE, run_time=RUN_TIME)
+    validate_and_load(spark, config, table, f"{target}/audit", LOAD_SUITE, run_time=RUN_TIME)
     rows = spark.read.parquet(table).withColumn("close_price", F.col("close_price").cast("double"))
     return rows.select("price_id", "symbol", "trade_date", "close_price", "volume", "year", "month")
 

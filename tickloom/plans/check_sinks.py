@@ -11,7 +11,7 @@ from tickloom.plans.derived import daily_fact, event_bars, ship_bars, type_bars
 from tickloom.plans.oracle import EVENT_BARS, RAW_LIST, SHIP_BARS, TYPE_BARS, fact
 from tickloom.plans.registry import checked
 from tickloom.schema import FACT_COLUMNS, WAREHOUSE_DECIMALS, to_warehouse_types
-from tickloom.session import scratch_path, store
+from tickloom.session import partitions_for, scratch_path, store, stored_bytes
 from tickloom.sinks import curated, warehouse
 from tickloom.sources.files import file_inventory, read_csv_bars
 
@@ -50,11 +50,12 @@ def sized_files(spark, sf_dir):
     )
 
 
-@checked("k3_daily_snapshot", f"WITH {EVENT_FACT} SELECT count(*) AS row_count, CAST(1 AS BIGINT) AS files FROM fact")
+@checked("k3_daily_snapshot", f"WITH {EVENT_FACT} SELECT count(*) AS row_count, TRUE AS one_file_if_small FROM fact")
 def daily_snapshot(spark, sf_dir):
     path = curated.write_snapshot(event_fact(spark, sf_dir), scratch_path(spark, "target"), RUN_DATE)
     return file_inventory(spark.read.parquet(path)).agg(
-        F.sum("row_count").alias("row_count"), F.count("*").alias("files")
+        F.sum("row_count").alias("row_count"),
+        ((F.count("*") == 1) | (F.sum("row_count") > curated.SINGLE_FILE_ROWS)).alias("one_file_if_small"),
     )
 
 
@@ -114,7 +115,8 @@ def bucketed_table(spark, sf_dir):
     path = scratch_path(spark, "bucketed")
     name = "bucketed_" + path.rsplit("-", 1)[-1]
     rows = standardise_dates(ship_bars(spark, sf_dir)).select("symbol", "trade_date", "close_price")
-    warehouse.save_bucketed(rows, name, path, buckets=8)
+    buckets = partitions_for(spark, stored_bytes(spark, f"{sf_dir}/lineitem.parquet"))
+    warehouse.save_bucketed(rows, name, path, buckets)
     previous = F.lag("close_price").over(DAILY.ordered())
     return spark.table(name).select("symbol", "trade_date", previous.alias("previous_close"))
 
