@@ -176,3 +176,24 @@ def test_rounding_is_half_up_on_the_exact_value(spark):
     # Sums of many large prices do not overflow.
     large = spark.range(2000).select(F.lit(9.9e10).alias("p"))
     assert large.agg(rounded_mean_price("p", 2)).first()[0] == 9.9e10
+
+
+def test_executors_need_not_have_the_package(tmp_path):
+    import os
+    import subprocess
+    import sys
+
+    script = f"""
+import sys
+sys.path.insert(0, {os.path.dirname(os.path.dirname(os.path.abspath(__file__)))!r})
+from pyspark.sql import SparkSession
+from tickloom.operators.recursive_ema import with_recursive_ema
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").getOrCreate()
+df = spark.createDataFrame([("A", i, float(i)) for i in range(3)], "symbol string, trade_date int, close_price double")
+print([r[-1] for r in with_recursive_ema(df, (3,)).orderBy("trade_date").collect()])
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run(
+        [sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=120
+    )
+    assert "[0.0, 0.5, 1.25]" in done.stdout, done.stderr[-2000:]

@@ -13,16 +13,21 @@ start of every block follows exactly, and a second pass continues each block fro
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
 from tickloom.functions.indicators import DAILY, EMA_PERIODS, Series
 from tickloom.operators.long_series import BlockedSeries
 
+# Send the functions below with the tasks, so that executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 NULLS_SINCE = "_nulls_since"
 
 

@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 
 from tickloom.operators import order_statistics, reports, skew
 from tickloom.plans.derived import (
-    customer_orders, daily_fact, event_bars, pipeline_metrics, ship_bars, supplier_dimension, table,
+    customer_orders, event_bars, event_fact, letters, pipeline_metrics, ship_bars, ship_fact,
+    supplier_dimension, table,
 )
 from tickloom.plans.oracle import (
-    CUSTOMER_ORDERS, EVENT_BARS, SHIP_BARS, fact, half_up_mean, letters, steps,
+    CUSTOMER_ORDERS, EVENT_BARS, SHIP_BARS, fact, half_up_mean, steps,
 )
+from tickloom.plans.oracle import letters as sql_letters
 from tickloom.plans.registry import checked
 from tickloom.session import store
 
@@ -19,14 +21,6 @@ SHIP_FACT = f"{SHIP_BARS}, {fact('ship_bars')}"
 MEAN_CLOSE = f"CAST(sum({steps()}) AS DOUBLE) / 10000 / count(close_price)"
 
 
-def event_fact(spark, sf_dir):
-    return daily_fact(event_bars(spark, sf_dir))
-
-
-def ship_fact(spark, sf_dir):
-    return daily_fact(ship_bars(spark, sf_dir))
-
-
 COUNTS = f"{CUSTOMER_ORDERS}, counts AS (SELECT symbol, count(*) AS record_count FROM customer_orders GROUP BY 1)"
 
 
@@ -81,7 +75,7 @@ def salted_keys(spark, sf_dir):
 
 @checked(
     "a4_salted_totals",
-    f"""WITH {SHIP_BARS}, priced AS (SELECT {letters("l_suppkey")} AS symbol, steps FROM ship_lines)
+    f"""WITH {SHIP_BARS}, priced AS (SELECT {sql_letters("l_suppkey")} AS symbol, steps FROM ship_lines)
     SELECT symbol, count(*) AS record_count, CAST(sum(steps) AS BIGINT) AS total, min(steps) AS least,
     max(steps) AS greatest, count(DISTINCT steps) AS different_values FROM priced GROUP BY 1""",
 )
@@ -89,7 +83,7 @@ def salted_totals(spark, sf_dir):
     cents = F.floor(F.col("l_extendedprice") * 100.0 + 0.5)
     quantity = F.col("l_quantity").cast("long")
     rows = table(spark, sf_dir, "lineitem").select(
-        F.translate(F.col("l_suppkey").cast("string"), "0123456789", "ABCDEFGHIJ").alias("symbol"),
+        letters("l_suppkey").alias("symbol"),
         F.call_function("div", cents * 200 + quantity, quantity * 2).alias("steps"),
     )
     return skew.salted_totals(rows, "steps")
@@ -266,7 +260,7 @@ def semi_and_anti_join(spark, sf_dir):
     f"""WITH {SHIP_BARS} SELECT b.symbol, b.trade_date, b.close_price, s.s_name AS company_name,
     r.r_name AS sector, n.n_name AS industry, 'LOCAL' AS exchange,
     CAST(floor(s.s_acctbal * 100 + 0.5) AS BIGINT) AS market_cap
-    FROM ship_bars b LEFT JOIN supplier s ON b.symbol = {letters("s.s_suppkey")}
+    FROM ship_bars b LEFT JOIN supplier s ON b.symbol = {sql_letters("s.s_suppkey")}
     LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey LEFT JOIN region r ON n.n_regionkey = r.r_regionkey""",
 )
 def symbol_details(spark, sf_dir):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tickloom.functions.indicators import DAILY
 from tickloom.operators import quality
 from tickloom.operators.enrich import standardise_dates
-from tickloom.plans.derived import daily_fact, event_bars, ship_bars, type_bars
+from tickloom.plans.derived import event_bars, event_fact, ship_bars, ship_fact, type_bars
 from tickloom.plans.oracle import EVENT_BARS, RAW_LIST, SHIP_BARS, TYPE_BARS, fact
 from tickloom.plans.registry import checked
 from tickloom.schema import FACT_COLUMNS, WAREHOUSE_DECIMALS, to_warehouse_types
@@ -20,14 +20,6 @@ SHIP_FACT = f"{SHIP_BARS}, {fact('ship_bars')}"
 RUN_DATE = "2024-01-31"
 
 
-def event_fact(spark, sf_dir):
-    return daily_fact(event_bars(spark, sf_dir))
-
-
-def ship_fact(spark, sf_dir):
-    return daily_fact(ship_bars(spark, sf_dir))
-
-
 @checked("k1_curated_write", f"WITH {SHIP_FACT} SELECT * FROM fact")
 def curated_write(spark, sf_dir):
     """Written by year and month; a second write replaces only the partitions it brings."""

@@ -146,6 +146,14 @@ def daily_fact(bars: DataFrame) -> DataFrame:
     return finish(with_indicators(standardise_dates(bars), BAR_SERIES), run_time)
 
 
+def event_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return daily_fact(event_bars(spark, sf_dir))
+
+
+def ship_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return daily_fact(ship_bars(spark, sf_dir))
+
+
 def supplier_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Symbol dimension of ``ship_bars``: suppliers with their nation and region."""
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")

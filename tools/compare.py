@@ -1,5 +1,7 @@
 """Run the registered queries and their SQL on the same tables and report differences.
 
+Values must be equal to the last digit, and column types must correspond.
+
 Usage: python tools/compare.py [sf_dir] [name ...]
 """
 
@@ -21,6 +23,18 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from tickloom.plans import registry  # noqa: E402
 
 
+SQL_TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "timestamp": "TIMESTAMP",
+    "timestamp_ntz": "TIMESTAMP",
+    "boolean": "BOOLEAN",
+}
+
+
 def plain(value):
     if isinstance(value, decimal.Decimal):
         value = float(value)
@@ -68,15 +82,15 @@ def main():
                 continue
             cursor = con.execute(oracle[name])
             sql_names = [d[0] for d in cursor.description]
-            types = dict(zip(sql_names, [str(d[1]) for d in cursor.description]))
             want = cursor.fetchall()
         except Exception as error:  # noqa: BLE001
             bad += 1
             print(f"ERROR {name}: {type(error).__name__} {str(error)[:1500]}")
             continue
-        if sorted(df.columns) != sorted(sql_names):
+        types = [(n, str(d[1])) for n, d in zip(sql_names, cursor.description)]
+        if sorted((c, SQL_TYPES.get(t, t)) for c, t in df.dtypes) != sorted(types):
             bad += 1
-            print(f"BAD   {name}: columns {df.columns} / {sql_names}")
+            print(f"BAD   {name}: columns {df.dtypes} / {types}")
             continue
         a, b = rows_of(df.columns, got), rows_of(sql_names, want)
         if a == b:
@@ -89,7 +103,6 @@ def main():
             print("   spark ", x)
         for x in only_b[:3]:
             print("   sql   ", x)
-        del types
     print(f"{bad} bad of {len(names)}")
 
 
