@@ -11,10 +11,10 @@ cost, and a pair becomes a candidate only with as many common prefix shingles as
 of the two. Candidates are verified on their whole sets.
 
 A group of many near copies would meet in many long posting lists with all its pairs. Each
-class therefore names the longest list that it is in, and the members of these lists are
-compared all at once: blocks of whole sets are multiplied as 0/1 matrices, and a pair of blocks
+class therefore has a home, the longest list that it is in, and is compared there with all
+members at once: blocks of whole sets are multiplied as 0/1 matrices, and a pair of blocks
 only reports links that connect what was not connected yet. Other lists then leave out all
-pairs that were compared in this way.
+pairs that met at the home of one of them.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ FREQUENT_SHINGLES = 1 << 19
 # Lists with more members than this are long.
 LONG_LIST = 32
 # Blocks of a long list hold so many members or shingles, whichever is reached first.
-BLOCK_MEMBERS = 256
+BLOCK_MEMBERS = 512
 BLOCK_SHINGLES = 1 << 20
 
 
@@ -55,8 +55,8 @@ def _identity(found: np.ndarray) -> bytes:
 
 
 def _known_limit(threshold: int) -> int:
-    """Shingles with a smaller hash have their frequency counted: a quarter more than a prefix needs."""
-    return min((1 << 64) - 1, int((1 << 64) * 1.25 * (100 - threshold) / 100))
+    """Shingles with a smaller hash have their frequency counted: twice what a prefix needs."""
+    return min((1 << 64) - 1, int((1 << 64) * 2 * (100 - threshold) / 100))
 
 
 def _profiles(size: int, threshold: int):
@@ -206,11 +206,12 @@ def _verify(threshold: int):
 
 
 def _compare_blocks(threshold: int):
-    """Links between all sets of two blocks, as a forest with the same connections."""
+    """Links between the sets of two blocks, as a forest with the same connections."""
 
     def run(_key, table):
-        names = table.column("set_id").to_pylist()
-        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("members")]
+        given = dict(zip(table.column("set_id").to_pylist(), table.column("members")))
+        names = list(given)
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in given.values()]
         sizes = np.array([len(x) for x in sets])
         values, at = np.unique(np.concatenate(sets), return_inverse=True)
         rows = np.repeat(np.arange(len(sets)), sizes)
@@ -261,12 +262,11 @@ class JaccardJoin:
         self.threshold, self.size = threshold, size
         self.spark = documents.sparkSession
         self.texts = documents.select(F.col(ids).cast("long").alias("id"), F.col(text).alias("text"))
-        self.profiles = store(
-            self.texts.mapInArrow(_profiles(size, threshold), "id long, n long, set_id binary, first binary"),
-            "jaccard-profiles",
-        )
+        profiles = self.texts.mapInArrow(_profiles(size, threshold), "id long, n long, set_id binary, first binary")
+        # Two passes over the texts cost less space than keeping the shingles of every copy.
+        self.profiles = store(profiles.select("id", "n", "set_id"), "jaccard-profiles")
         self.classes = store(
-            self.profiles.where("n > 0").groupBy("set_id").agg(F.first("n").alias("n"), F.first("first").alias("first")),
+            profiles.where("n > 0").groupBy("set_id").agg(F.first("n").alias("n"), F.first("first").alias("first")),
             "jaccard-classes",
         )
         self._candidates()
@@ -291,15 +291,16 @@ class JaccardJoin:
         joined = pairs.select("a", "b").join(two, "b").join(one, "a").select("a", "b", "left", "right")
         return joined.mapInArrow(_verify(self.threshold), "a binary, b binary")
 
-    def _pairs(self, postings: DataFrame, compared: DataFrame | None = None) -> DataFrame:
-        """All members of a list that may link, block by block, but for those compared before."""
+    def _pairs(self, postings: DataFrame, homes: DataFrame | None = None) -> DataFrame:
+        """All members of a list that may link, block by block, but for those that met at a home."""
         blocks = F.ceil(F.col("length") / BLOCK_MEMBERS).cast("int")
-        if compared is None:
-            postings = postings.withColumn("done", F.array().cast("array<long>"))
+        if homes is None:
+            postings = postings.withColumn("home", F.lit(None).cast("long")).withColumn("visits", F.array().cast("array<long>"))
         else:
-            postings = postings.join(compared, "set_id", "left")
+            postings = postings.join(homes, "set_id", "left")
         left = postings.withColumn("block", F.pmod(F.hash("set_id"), blocks))
         right = postings.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        met = F.array_contains("q.visits", F.col("p.home")) | F.array_contains("p.visits", F.col("q.home"))
         pair = left.alias("p").join(
             right.alias("q"),
             (F.col("p.token") == F.col("q.token"))
@@ -308,7 +309,7 @@ class JaccardJoin:
             & (F.greatest("p.level", "q.level") <= F.least("p.matches", "q.matches"))
             & (F.col("p.n") * 100 >= F.col("q.n") * self.threshold)
             & (F.col("q.n") * 100 >= F.col("p.n") * self.threshold)
-            & ~F.coalesce(F.arrays_overlap("p.done", "q.done"), F.lit(False)),
+            & ~F.coalesce(met, F.lit(False)),
         )
         return pair.select(
             F.col("p.set_id").alias("a"), F.col("q.set_id").alias("b"), F.least("p.matches", "q.matches").alias("asked")
@@ -325,25 +326,31 @@ class JaccardJoin:
     def _connections(self) -> DataFrame:
         """Links that connect the same classes as all links do."""
         long_lists = self.postings.where(F.col("length") > LONG_LIST)
-        chosen = long_lists.groupBy("set_id").agg(F.max(F.struct("length", "token")).alias("longest"))
-        chosen = chosen.select(F.col("longest.token").alias("token")).distinct()
-        inside = store(long_lists.join(chosen, "token"), "jaccard-inside")
-        blocks = F.greatest(F.ceil(F.col("length") / BLOCK_MEMBERS), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int")
-        spread = inside.select(
-            "token",
-            "set_id",
-            F.pmod(F.hash("set_id"), blocks).alias("own"),
-            F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"),
-        ).select("token", "set_id", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
+        homes = long_lists.groupBy("set_id").agg(F.max(F.struct("length", "token"))["token"].alias("home"))
+        visits = store(long_lists.select("token", "set_id", "n", "length", "total").join(homes, "set_id"), "jaccard-visits")
+        at_home = visits.where("token = home").groupBy("token").agg(F.count("*").alias("homes"), F.sum("n").alias("home_total"))
+        inside = store(visits.join(at_home, "token"), "jaccard-inside")
+
+        def parts(count: str, total: str):
+            return F.greatest(F.ceil(F.col(count) / BLOCK_MEMBERS), F.ceil(F.col(total) / BLOCK_SHINGLES)).cast("int")
+
+        rows, columns = parts("homes", "home_total"), parts("length", "total")
+        own_row, own_column = F.pmod(F.hash("set_id"), rows), F.pmod(F.hash("set_id"), columns)
+        hosts = inside.where("token = home").select(
+            "token", "set_id", own_row.alias("x"), F.explode(F.sequence(F.lit(0), columns - 1)).alias("y")
+        )
+        guests = inside.select(
+            "token", "set_id", F.explode(F.sequence(F.lit(0), rows - 1)).alias("x"), own_column.alias("y")
+        )
         forest = (
-            spread.join(self.sets, "set_id")
+            hosts.union(guests)
+            .distinct()
+            .join(self.sets, "set_id")
             .groupBy("token", "x", "y")
             .applyInArrow(_compare_blocks(self.threshold), "a binary, b binary")
         )
-        done = inside.groupBy("set_id").agg(F.collect_list("token").alias("done"))
-        processed = chosen.withColumn("processed", F.lit(True))
-        rest = self.postings.join(processed, "token", "left").where("processed IS NULL").drop("processed")
-        return forest.union(self._verified(self._pairs(rest, done)))
+        met = inside.groupBy("set_id").agg(F.first("home").alias("home"), F.collect_list("token").alias("visits"))
+        return forest.union(self._verified(self._pairs(self.postings, met)))
 
     def components(self) -> DataFrame:
         """One row per document: id, n_shingles, component_id (smallest id reachable by links)."""

@@ -74,21 +74,29 @@ def slices(texts: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int
         start = stop
 
 
-def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words in order, and for each text where its words start (one end more)."""
+def word_spans(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words in order: hashes, where each starts and ends in the bytes; text bounds among them; the bytes."""
     data, offsets = raw_bytes(texts)
-    if len(data) == 0:
-        return np.zeros(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
+    none = np.zeros(0, np.int64)
     inside = _IS_WORD[data]
+    if not inside.any():
+        return np.zeros(0, np.uint64), none, none, np.zeros(len(texts) + 1, np.int64), data
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     firsts = offsets[:-1][offsets[:-1] < len(data)]
     begins[firsts] = inside[firsts]
+    finishes = inside.copy()
+    finishes[:-1] &= ~inside[1:] | begins[1:]
     at = np.flatnonzero(begins)
-    if len(at) == 0:
-        return np.zeros(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
     sums = np.add.reduceat(_BYTES[data] * _power("up", len(data)), at)
-    return mix(sums * _power("down", len(data))[at]), np.searchsorted(at, offsets)
+    hashes = mix(sums * _power("down", len(data))[at])
+    return hashes, at, np.flatnonzero(finishes) + 1, np.searchsorted(at, offsets), data
+
+
+def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words in order, and for each text where its words start (one end more)."""
+    hashes, _, _, bounds, _ = word_spans(texts)
+    return hashes, bounds
 
 
 def shingles(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
