@@ -8,7 +8,7 @@ follows the data: beyond its capacity it lets more hashes pass, which costs time
 from __future__ import annotations
 
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -95,16 +95,13 @@ def passes(packed: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (packed[at >> np.uint64(3)] >> (np.uint8(7) - (at & np.uint64(7)).astype(np.uint8))) & 1 == 1
 
 
-def of_column(df: DataFrame, column: str, bits: int = DEFAULT_BITS) -> np.ndarray:
-    """The filter of a long column's values."""
+def of_names(df: DataFrame, column: str, bits: int = DEFAULT_BITS) -> np.ndarray:
+    """The filter of a binary column of hashes, by the first 8 bytes of each."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = Gathered(bits)
         for batch in batches:
-            found.add(batch.column(0).to_numpy(zero_copy_only=False))
+            found.add(np.frombuffer(b"".join(x[:8] for x in batch.column(0).to_pylist()), np.uint64))
         yield from found.blocks()
 
     return build(df.select(column).mapInArrow(gather, SCHEMA), bits)[0]
-
-
-Probe = Callable[[np.ndarray], np.ndarray]

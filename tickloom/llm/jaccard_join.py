@@ -278,8 +278,7 @@ class JaccardJoin:
         lists = made.groupBy("token").agg(F.count("*").alias("length"), F.sum("n").alias("total")).where("length > 1")
         self.postings = store(made.join(lists, "token"), "jaccard-postings")
         names = self.postings.select("set_id").distinct()
-        leading = F.conv(F.hex(F.reverse(F.substring("set_id", 1, 8))), 16, -10).cast("long")
-        wanted = self.spark.sparkContext.broadcast(bloom.of_column(names.select(leading.alias("h")), "h", 24))
+        wanted = self.spark.sparkContext.broadcast(bloom.of_names(names, "set_id", 24))
         sets = self.texts.select("text").mapInArrow(_whole_sets(self.size, wanted), "set_id binary, members binary")
         self.sets = store(sets.groupBy("set_id").agg(F.first("members").alias("members")), "jaccard-sets")
 
