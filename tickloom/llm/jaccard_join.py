@@ -55,8 +55,8 @@ def _identity(found: np.ndarray) -> bytes:
 
 
 def _known_limit(threshold: int) -> int:
-    """Shingles with a smaller hash have their frequency counted: twice what a prefix needs."""
-    return min((1 << 64) - 1, int((1 << 64) * 2 * (100 - threshold) / 100))
+    """Shingles with a smaller hash have their frequency counted: half more than a prefix needs."""
+    return min((1 << 64) - 1, int((1 << 64) * 1.5 * (100 - threshold) / 100))
 
 
 def _profiles(size: int, threshold: int):
@@ -86,21 +86,40 @@ def _profiles(size: int, threshold: int):
     return run
 
 
-def _known(threshold: int):
+def _known(batches: Iterator[pa.RecordBatch], limit: np.uint64) -> Iterator[np.ndarray]:
+    for batch in batches:
+        tokens = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint64)
+        yield tokens[tokens < limit]
+
+
+def _repeats(threshold: int, bits: int):
+    """Gathers which known shingles more than one class may have; known hashes are spread over the filter."""
     limit = np.uint64(_known_limit(threshold))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            tokens = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint64)
-            yield pa.RecordBatch.from_arrays([pa.array(tokens[tokens < limit].view(np.int64))], names=["token"])
+        found = bloom.Gathered(bits)
+        for tokens in _known(batches, limit):
+            found.add(mix(tokens))
+        yield from found.blocks()
+
+    return run
+
+
+def _counted(threshold: int, repeats):
+    limit = np.uint64(_known_limit(threshold))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for tokens in _known(batches, limit):
+            kept = tokens[bloom.passes(repeats.value, mix(tokens))]
+            yield pa.RecordBatch.from_arrays([pa.array(kept.view(np.int64))], names=["token"])
 
     return run
 
 
-def _frequencies(classes: DataFrame, threshold: int) -> tuple[np.ndarray, np.ndarray]:
+def _frequencies(classes: DataFrame, threshold: int, repeats) -> tuple[np.ndarray, np.ndarray]:
     """The most frequent of the known shingles, sorted, with the number of classes of each."""
     counts = (
-        classes.select("first").mapInArrow(_known(threshold), "token long").groupBy("token").count().where("count > 1")
+        classes.select("first").mapInArrow(_counted(threshold, repeats), "token long").groupBy("token").count().where("count > 1")
     )
     counts = store(counts, "shingle-counts")
     sizes = counts.groupBy("count").agg(F.count("*").alias("tokens")).orderBy(F.desc("count"))
@@ -118,7 +137,7 @@ def _frequencies(classes: DataFrame, threshold: int) -> tuple[np.ndarray, np.nda
 
 
 def _prefix(first: np.ndarray, n: int, threshold: int, limit: np.uint64, tokens: np.ndarray, counts: np.ndarray):
-    """Prefix shingles in the global order, the level of each, and the matches asked for."""
+    """Places of the prefix shingles in the global order, the level of each, the matches asked for, the cost."""
     others = np.zeros(len(first), np.int64)
     if len(tokens):
         at = np.minimum(np.searchsorted(tokens, first), len(tokens) - 1)
@@ -139,10 +158,10 @@ def _prefix(first: np.ndarray, n: int, threshold: int, limit: np.uint64, tokens:
     best = int(np.argmin(postings * (1 + VERIFY_COST / matches) + matches)) + 1
     order = order[: spare + best]
     levels = np.maximum(np.arange(len(order)) - spare + 1, 1)
-    return first[order], levels, best, float(postings[best - 1])
+    return order, levels, best, float(postings[best - 1])
 
 
-def _postings(threshold: int, frequent):
+def _postings(threshold: int, frequent, repeats):
     limit = np.uint64(_known_limit(threshold))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,10 +169,14 @@ def _postings(threshold: int, frequent):
         for batch in batches:
             names, ns, firsts = (batch.column(i).to_pylist() for i in range(3))
             for start in range(0, len(names), 500):
-                parts = [
-                    _prefix(np.frombuffer(f, np.uint64), n, threshold, limit, tokens, counts)
-                    for f, n in zip(firsts[start : start + 500], ns[start : start + 500])
-                ]
+                parts = []
+                for packed, n in zip(firsts[start : start + 500], ns[start : start + 500]):
+                    first = np.frombuffer(packed, np.uint64)
+                    order, levels, best, cost = _prefix(first, n, threshold, limit, tokens, counts)
+                    kept = first[order]
+                    # A known shingle that no other class has leads to nobody.
+                    shared = (kept >= limit) | bloom.passes(repeats.value, mix(kept))
+                    parts.append((kept[shared], levels[shared], best, cost))
                 lengths = np.array([len(p[0]) for p in parts])
                 who = np.repeat(np.arange(start, start + len(parts)), lengths)
                 yield pa.RecordBatch.from_arrays(
@@ -174,14 +197,25 @@ def _postings(threshold: int, frequent):
 POSTINGS = "token long, set_id binary, n long, level int, matches int, weight double"
 
 
+def _place(name: bytes, row: int | None) -> bytes:
+    """A hash of a class and one of its documents."""
+    return mix(np.frombuffer(name[:8], np.uint64) + np.array([row or 0]).astype(np.uint64)).tobytes()
+
+
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = [_place(name, row) for name, row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+        yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], names=["place"])
+
+
 def _whole_sets(size: int, wanted):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, sets = [], []
-            for found in shingle_sets(batch.column(0), size):
+            for row, found in zip(batch.column(1).to_pylist(), shingle_sets(batch.column(0), size)):
                 if len(found):
                     name = _identity(found)
-                    if bloom.passes(wanted.value, np.frombuffer(name[:8], np.uint64))[0]:
+                    if bloom.passes(wanted.value, np.frombuffer(_place(name, row), np.uint64))[0]:
                         ids.append(name)
                         sets.append(found.tobytes())
             yield pa.RecordBatch.from_arrays(
@@ -273,13 +307,17 @@ class JaccardJoin:
 
     def _candidates(self) -> None:
         """Postings of shingles that more than one class has, and the whole sets of their classes."""
-        frequent = self.spark.sparkContext.broadcast(_frequencies(self.classes, self.threshold))
-        made = self.classes.select("set_id", "n", "first").mapInArrow(_postings(self.threshold, frequent), POSTINGS)
+        seen = self.classes.select("first").mapInArrow(_repeats(self.threshold, bloom.DEFAULT_BITS), bloom.SCHEMA)
+        repeats = self.spark.sparkContext.broadcast(bloom.build(seen, bloom.DEFAULT_BITS)[1])
+        frequent = self.spark.sparkContext.broadcast(_frequencies(self.classes, self.threshold, repeats))
+        made = self.classes.select("set_id", "n", "first").mapInArrow(_postings(self.threshold, frequent, repeats), POSTINGS)
         lists = made.groupBy("token").agg(F.count("*").alias("length"), F.sum("n").alias("total")).where("length > 1")
         self.postings = store(made.join(lists, "token"), "jaccard-postings")
-        names = self.postings.select("set_id").distinct()
-        wanted = self.spark.sparkContext.broadcast(bloom.of_names(names, "set_id", 24))
-        sets = self.texts.select("text").mapInArrow(_whole_sets(self.size, wanted), "set_id binary, members binary")
+        # One document of each class gives its set; the filter keeps the others out of the shuffle.
+        one = self.profiles.where("n > 0").groupBy("set_id").agg(F.min("id").alias("id"))
+        places = self.postings.select("set_id").distinct().join(one, "set_id").mapInArrow(_places, "place binary")
+        wanted = self.spark.sparkContext.broadcast(bloom.of_names(places, "place", 24))
+        sets = self.texts.select("text", "id").mapInArrow(_whole_sets(self.size, wanted), "set_id binary, members binary")
         self.sets = store(sets.groupBy("set_id").agg(F.first("members").alias("members")), "jaccard-sets")
 
     def _verified(self, met: DataFrame) -> DataFrame:
