@@ -31,13 +31,15 @@ from tickloom.llm.shingles import mix, shingle_sets, slices
 from tickloom.session import store
 
 # The longest prefix asks for so many common shingles.
-MOST_MATCHES = 8
+MOST_MATCHES = 16
 # What the verification of a candidate costs, in postings read.
-VERIFY_COST = 20
+VERIFY_COST = 300
+# A known shingle of so many other classes stands behind all of unknown frequency.
+HOT_CLASSES = 16
 # Frequencies of at most so many shingles are sent to the tasks, those of the most frequent.
 FREQUENT_SHINGLES = 1 << 19
 # Lists with more members than this are long.
-LONG_LIST = 32
+LONG_LIST = 64
 # Blocks of a long list hold so many members or shingles, whichever is reached first.
 BLOCK_MEMBERS = 512
 BLOCK_SHINGLES = 1 << 20
@@ -55,8 +57,8 @@ def _identity(found: np.ndarray) -> bytes:
 
 
 def _known_limit(threshold: int) -> int:
-    """Shingles with a smaller hash have their frequency counted: half more than a prefix needs."""
-    return min((1 << 64) - 1, int((1 << 64) * 1.5 * (100 - threshold) / 100))
+    """Shingles with a smaller hash have their frequency counted: twice what a prefix needs."""
+    return min((1 << 64) - 1, int((1 << 64) * 2 * (100 - threshold) / 100))
 
 
 def _profiles(size: int, threshold: int):
@@ -72,7 +74,8 @@ def _profiles(size: int, threshold: int):
                     wanted = n - common + min(common, MOST_MATCHES)
                     counts.append(n)
                     ids.append(_identity(found) if n else None)
-                    first.append(found[: max(wanted, int(np.searchsorted(found, limit)))].tobytes())
+                    # All known shingles may be hot, so as many unknown ones as a prefix takes go along.
+                    first.append(found[: int(np.searchsorted(found, limit)) + wanted].tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(start, stop - start),
@@ -144,7 +147,8 @@ def _prefix(first: np.ndarray, n: int, threshold: int, limit: np.uint64, tokens:
         hit = tokens[at] == first
         others[hit] = counts[at[hit]] - 1
     unknown = first >= limit
-    rank = np.where(unknown, 64, np.ceil(np.log2(others + 1)).astype(np.int64))
+    rank = np.ceil(np.log2(others + 1)).astype(np.int64)
+    rank = np.where(unknown, 64, np.where(others >= HOT_CLASSES, 64 + rank, rank))
     order = np.lexsort((first, rank))
     common = _least_common(n, threshold)
     spare = n - common
@@ -152,9 +156,12 @@ def _prefix(first: np.ndarray, n: int, threshold: int, limit: np.uint64, tokens:
     order = order[: spare + most]
     estimate = others.astype(np.float64)
     if unknown.any():
-        estimate[unknown] = others[~unknown].mean() if (~unknown).any() else 1.0
+        known = others[~unknown & (others < HOT_CLASSES)]
+        estimate[unknown] = known.mean() if len(known) else float(HOT_CLASSES)
     postings = np.cumsum(estimate[order])[spare : spare + most]
     matches = np.arange(1, most + 1)
+    # Shingles that nobody is known to share may still be shared.
+    postings = postings + 0.1 * (spare + matches)
     best = int(np.argmin(postings * (1 + VERIFY_COST / matches) + matches)) + 1
     order = order[: spare + best]
     levels = np.maximum(np.arange(len(order)) - spare + 1, 1)
@@ -283,6 +290,10 @@ def _compare_blocks(threshold: int):
     return run
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("set_id")).union(pairs.select("b"))
+
+
 class JaccardJoin:
     """The join over one table of documents; intermediate tables are in the shared folder.
 
@@ -303,29 +314,37 @@ class JaccardJoin:
             profiles.where("n > 0").groupBy("set_id").agg(F.first("n").alias("n"), F.first("first").alias("first")),
             "jaccard-classes",
         )
-        self._candidates()
+        self.postings = self._shared_postings()
 
-    def _candidates(self) -> None:
-        """Postings of shingles that more than one class has, and the whole sets of their classes."""
+    def _shared_postings(self) -> DataFrame:
+        """Prefix shingles that more than one class has."""
         seen = self.classes.select("first").mapInArrow(_repeats(self.threshold, bloom.DEFAULT_BITS), bloom.SCHEMA)
         repeats = self.spark.sparkContext.broadcast(bloom.build(seen, bloom.DEFAULT_BITS)[1])
         frequent = self.spark.sparkContext.broadcast(_frequencies(self.classes, self.threshold, repeats))
         made = self.classes.select("set_id", "n", "first").mapInArrow(_postings(self.threshold, frequent, repeats), POSTINGS)
         lists = made.groupBy("token").agg(F.count("*").alias("length"), F.sum("n").alias("total")).where("length > 1")
-        self.postings = store(made.join(lists, "token"), "jaccard-postings")
+        return store(made.join(lists, "token"), "jaccard-postings")
+
+    def _sets(self, names: DataFrame) -> DataFrame:
+        """The whole shingle sets of the classes named."""
         # One document of each class gives its set; the filter keeps the others out of the shuffle.
         one = self.profiles.where("n > 0").groupBy("set_id").agg(F.min("id").alias("id"))
-        places = self.postings.select("set_id").distinct().join(one, "set_id").mapInArrow(_places, "place binary")
+        names = store(names.select("set_id").distinct(), "jaccard-names")
+        places = names.join(one, "set_id").mapInArrow(_places, "place binary")
         wanted = self.spark.sparkContext.broadcast(bloom.of_names(places, "place", 24))
         sets = self.texts.select("text", "id").mapInArrow(_whole_sets(self.size, wanted), "set_id binary, members binary")
-        self.sets = store(sets.groupBy("set_id").agg(F.first("members").alias("members")), "jaccard-sets")
-
-    def _verified(self, met: DataFrame) -> DataFrame:
-        """Linked pairs among rows (a, b, asked), one row for each common prefix shingle."""
-        pairs = met.groupBy("a", "b").agg(F.count("*").alias("met"), F.first("asked").alias("asked")).where("met >= asked")
-        one = self.sets.select(F.col("set_id").alias("a"), F.col("members").alias("left"))
-        two = self.sets.select(F.col("set_id").alias("b"), F.col("members").alias("right"))
-        joined = pairs.select("a", "b").join(two, "b").join(one, "a").select("a", "b", "left", "right")
+        return store(sets.groupBy("set_id").agg(F.first("members").alias("members")), "jaccard-sets")
+
+    def _candidates(self, met: DataFrame) -> DataFrame:
+        """Pairs of rows (a, b, asked), one row for each common prefix shingle, that have enough."""
+        pairs = met.groupBy("a", "b").agg(F.count("*").alias("met"), F.first("asked").alias("asked"))
+        return store(pairs.where("met >= asked").select("a", "b"), "jaccard-pairs")
+
+    def _verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        """The linked ones among pairs (a, b)."""
+        one = sets.select(F.col("set_id").alias("a"), F.col("members").alias("left"))
+        two = sets.select(F.col("set_id").alias("b"), F.col("members").alias("right"))
+        joined = pairs.join(two, "b").join(one, "a").select("a", "b", "left", "right")
         return joined.mapInArrow(_verify(self.threshold), "a binary, b binary")
 
     def _pairs(self, postings: DataFrame, homes: DataFrame | None = None) -> DataFrame:
@@ -354,7 +373,8 @@ class JaccardJoin:
 
     def links(self) -> DataFrame:
         """All linked pairs of classes: a, b, the set_id of ``members``."""
-        return self._verified(self._pairs(self.postings))
+        pairs = self._candidates(self._pairs(self.postings))
+        return self._verified(pairs, self._sets(_ends(pairs)))
 
     def members(self) -> DataFrame:
         """Each document with the name of its class: id, n_shingles, set_id (null without shingles)."""
@@ -379,15 +399,17 @@ class JaccardJoin:
         guests = inside.select(
             "token", "set_id", F.explode(F.sequence(F.lit(0), rows - 1)).alias("x"), own_column.alias("y")
         )
+        met = inside.groupBy("set_id").agg(F.first("home").alias("home"), F.collect_list("token").alias("visits"))
+        pairs = self._candidates(self._pairs(self.postings, met))
+        sets = self._sets(_ends(pairs).union(inside.select("set_id")))
         forest = (
             hosts.union(guests)
             .distinct()
-            .join(self.sets, "set_id")
+            .join(sets, "set_id")
             .groupBy("token", "x", "y")
             .applyInArrow(_compare_blocks(self.threshold), "a binary, b binary")
         )
-        met = inside.groupBy("set_id").agg(F.first("home").alias("home"), F.collect_list("token").alias("visits"))
-        return forest.union(self._verified(self._pairs(self.postings, met)))
+        return forest.union(self._verified(pairs, sets))
 
     def components(self) -> DataFrame:
         """One row per document: id, n_shingles, component_id (smallest id reachable by links)."""
