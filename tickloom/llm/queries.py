@@ -5,11 +5,20 @@ The parameters are those of production; nothing is cut, sampled or left out.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import decontaminate, line_dedup
+from tickloom.llm import (
+    cross_polytope,
+    decontaminate,
+    html_text,
+    line_dedup,
+    quality_classifier,
+    sentencepiece_nbest,
+    token_files,
+)
 from tickloom.llm.jaccard_join import JaccardJoin
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +26,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
+TOKENIZERS = "/opt/tokenizers"
+
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
@@ -62,12 +73,62 @@ def component_sql(size: int, threshold: int, source: str = "documents") -> str:
     FROM sets JOIN (SELECT doc_id, min(near) AS least FROM reach GROUP BY doc_id) r ON r.doc_id = sets.doc_id"""
 
 
+def tokenizer_path(spark: SparkSession, name: str) -> str:
+    """A vocabulary file; its folder, the same on all executors, is the setting llm.tokenizers."""
+    return os.path.join(spark.conf.get("llm.tokenizers", TOKENIZERS), name)
+
+
+@query("op1_cross_polytope_neighbours")
+def cross_polytope_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_polytope.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, count=20)
+
+
+@query("op3_html_extraction")
+def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 @query("op4_ngram_jaccard_join", component_sql(3, 90))
 def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     join = JaccardJoin(table(spark, sf_dir, "documents"), "doc_id", "text", size=3, threshold=90)
     return join.components().withColumnRenamed("id", "doc_id")
 
 
+@query("op5_sentencepiece_nbest")
+def sentencepiece_nbest_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = sentencepiece_nbest.encode(documents, tokenizer_path(spark, "piece_bpe_32k.model"), n_best=4)
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.xxhash64("ids").alias("ids_hash"),
+        "score",
+        F.transform("n_best", lambda x: x["score"]).alias("n_best_scores"),
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
+    )
+
+
+@query("op7_quality_classifier")
+def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality_classifier.score_documents(
+        table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    )
+    return scored.select(
+        "doc_id",
+        quality_classifier.held_out("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
+@query("op8_token_files")
+def token_file_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder, shards = token_files.write_shards(
+        table(spark, sf_dir, "documents"), tokenizer_path(spark, "word_bpe_49k.json"), end_id=2
+    )
+    return token_files.read_documents(folder, shards).withColumnRenamed("id", "doc_id")
+
+
 def line_sql(select: str, source: str = "documents", min_documents: int = 10) -> str:
     """SQL over kept(doc_id, n_lines, n_dropped, kept) of the line dedup, and its source."""
     return f"""WITH lines AS (

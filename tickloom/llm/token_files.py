@@ -30,7 +30,7 @@ from tickloom.llm.shingles import slices, word_spans
 from tickloom.session import partitions_for, scratch_path, store
 
 MAGIC = b"EFTOK001"
-HEADER = struct.Struct("<8sQQQQqQQ")
+HEADER = "<8sQQQQqQQ"
 SAMPLE = 256
 # Words whose ids a task remembers before it starts anew.
 REMEMBERED_WORDS = 4_000_000
@@ -41,11 +41,11 @@ ENCODED_BYTES = 8 << 20
 class EliasFano:
     """A sequence of whole numbers that never falls, in compressed form."""
 
-    PART = struct.Struct("<QBQQ")
+    PART = "<QBQQ"
 
     def __init__(self, data: bytes | memoryview) -> None:
-        self.count, self.low_bits, low, high = self.PART.unpack_from(data)
-        at = self.PART.size
+        self.count, self.low_bits, low, high = struct.unpack_from(self.PART, data)
+        at = struct.calcsize(self.PART)
         self.low = np.frombuffer(data, np.uint8, low, at)
         self.high = np.frombuffer(data, np.uint8, high, at + low)
         self.samples = np.frombuffer(data, np.uint32, -(-self.count // SAMPLE), at + low + high)
@@ -63,7 +63,7 @@ class EliasFano:
         high[places] = 1
         packed = [np.packbits(x, bitorder="little").tobytes() for x in (low.reshape(-1), high)]
         samples = places[::SAMPLE].astype(np.uint32).tobytes()
-        return cls.PART.pack(n, bits, len(packed[0]), len(packed[1])) + packed[0] + packed[1] + samples
+        return struct.pack(cls.PART, n, bits, len(packed[0]), len(packed[1])) + packed[0] + packed[1] + samples
 
     def _low(self, start: int, stop: int) -> np.ndarray:
         out = np.zeros(stop - start, np.uint64)
@@ -100,7 +100,7 @@ def encode_shard(ids: list[int | None], counts: np.ndarray, tokens: bytes, width
     least = int(known[0]) if len(known) else 0
     ends = EliasFano.encode(np.cumsum(counts))
     names = EliasFano.encode((known - least).astype(np.uint64))
-    head = HEADER.pack(MAGIC, width, len(ids), len(tokens) // width, len(ids) - len(known), least, len(ends), len(names))
+    head = struct.pack(HEADER, MAGIC, width, len(ids), len(tokens) // width, len(ids) - len(known), least, len(ends), len(names))
     return head + ends + names + tokens
 
 
@@ -108,10 +108,10 @@ class Shard:
     """A shard file read back."""
 
     def __init__(self, data: bytes | memoryview) -> None:
-        magic, width, self.documents, self.ids, self.nulls, self.least, ends, names = HEADER.unpack_from(data)
+        magic, width, self.documents, self.ids, self.nulls, self.least, ends, names = struct.unpack_from(HEADER, data)
         if magic != MAGIC:
             raise ValueError("not a token shard")
-        at = HEADER.size
+        at = struct.calcsize(HEADER)
         self.ends = EliasFano(memoryview(data)[at : at + ends])
         self.names = EliasFano(memoryview(data)[at + ends : at + ends + names])
         self.tokens = np.frombuffer(data, f"<u{width}", self.ids, at + ends + names)
