@@ -1,6 +1,8 @@
-"""A corpus pipeline: documents that a language model may be trained on.
+"""A corpus pipeline: documents that a language model may be trained on, and their tokens.
 
-Quality filter, line dedup, near-duplicate removal, benchmark decontamination and tokens.
+Quality filter, line dedup, near-duplicate removal, benchmark decontamination and encoding. Every
+stage takes all that its predecessor kept and returns the columns of ``documents``, the last one
+with the piece ids added.
 """
 
 from __future__ import annotations
@@ -9,25 +11,42 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import decontaminate, line_dedup
+from tickloom.llm import decontaminate, line_dedup, quality_classifier, sentencepiece_nbest
 from tickloom.llm.jaccard_join import JaccardJoin
+from tickloom.llm.queries import tokenizer_path
 from tickloom.session import scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier scores below 0.7 go; it learns from the labels at hand."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scored = quality_classifier.score_documents(docs.withColumn("row", F.struct(*docs.columns)).select("doc_id", "text", "row"), labels)
+    return scored.where(F.col("score") >= 0.7).select("row.*")
+
+
 def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that ten or more documents have go; a document left without any text goes too."""
+    """Lines that ten or more documents have go, and n_chars follows; every document stays."""
     kept = line_dedup.drop_common_lines(docs, min_documents=10, least_chars=1)
-    cut = kept.where((F.col("n_dropped") == 0) | (F.trim("text") != "")).withColumn("n_chars", F.length("text").cast("long"))
-    return cut.select(*docs.columns)
+    length = F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return kept.withColumn("n_chars", length).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by five-word shingles at 0.8 stays: that with the smallest id."""
+    """One document of each group linked by five-word shingles at 0.8 stays: that with the smallest id.
+
+    Of fully repeated rows one stays. A row with a null id cannot be named as a duplicate and stays.
+    """
     groups = JaccardJoin(docs, "doc_id", "text", size=5, threshold=80).components()
-    first = groups.where("id = component_id").select(F.col("id").alias("doc_id")).distinct()
-    return docs.join(first, "doc_id").select(*docs.columns)
+    first = groups.where("id = component_id").groupBy(F.col("id").alias("first_id")).agg(F.count("*").alias("copies"))
+    kept = docs.join(first, F.col("doc_id") == F.col("first_id"))
+    single = kept.where("copies = 1").select(*docs.columns)
+    repeated = first.where("copies > 1")
+    if not repeated.isEmpty():
+        several = docs.join(repeated, F.col("doc_id") == F.col("first_id")).select(*docs.columns)
+        single = single.unionByName(several.dropDuplicates(["doc_id", "text"]))
+    return single.unionByName(docs.where("doc_id IS NULL"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,12 +54,21 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return decontaminate.clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Piece ids of every text, and its best segmentations."""
+    model = tokenizer_path(spark, "piece_bpe_32k.model")
+    return sentencepiece_nbest.encode(docs, model, n_best=4).drop("decoded")
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("quality", drop_low_quality),
     ("line dedup", drop_common_lines),
     ("near duplicates", drop_near_duplicates),
     ("decontamination", drop_contaminated),
+    ("pieces", encode_pieces),
 ]
 
+# A trained classifier decides first, which SQL cannot express; tests compare with a brute-force version.
 ORACLE_SQL = None
 
 

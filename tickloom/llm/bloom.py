@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-DEFAULT_BITS = 26
+DEFAULT_BITS = 25
 # Filters are merged block by block, so that no task ever holds a whole column of filters.
 BLOCK_BITS = 16
 

@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tickloom.llm.batches import bound_batches
 from tickloom.session import store
 
 TABLES = 8
@@ -142,6 +143,7 @@ def nearest(
     of another length than most. Repeated rows count once. Other columns are not read. No usable
     rows, or no queries, give no rows.
     """
+    bound_batches(rows.sparkSession)
     usable = store(usable_vectors(rows, ids, vector).distinct(), "ann-vectors")
     small = Window.partitionBy("vector").orderBy("id")
     # Of a class only the smallest ids can be among the nearest; Spark cuts them before the shuffle too.

@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from tickloom.llm.batches import bound_batches
 from tickloom.llm.shingles import shingle_sets, shingles, slices
 from tickloom.session import store
 
@@ -134,6 +135,7 @@ def contained_items(
     count. With an empty table on either side nothing is contained.
     """
     spark = documents.sparkSession
+    bound_batches(spark)
     documents = documents.drop(*[c for c in ("items",) if c != text])
     kind = "array<struct<item_id:bigint,common:bigint,item_shingles:bigint>>"
     numbered, blocks = item_blocks(items, item_id, item_text, size)

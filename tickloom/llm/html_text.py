@@ -18,6 +18,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tickloom.llm.batches import bound_batches
+
 # HTML's element names.
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form "
@@ -272,6 +274,7 @@ def extract_text(pages: DataFrame, page: str = "html") -> DataFrame:
     """
     if page in ("text", "n_chars"):
         raise ValueError(f"the page's column cannot be named {page!r}")
+    bound_batches(pages.sparkSession)
     pages = pages.drop("text", "n_chars")
     schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in pages.schema)}, text string, n_chars long"
     return pages.mapInArrow(_extract(pages.columns.index(page)), schema)

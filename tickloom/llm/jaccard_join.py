@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from tickloom.llm.batches import bound_batches
 from tickloom.llm import bloom
 from tickloom.llm.components import connected_components
 from tickloom.llm.shingles import mix, shingle_sets, slices
@@ -306,6 +307,7 @@ class JaccardJoin:
     def __init__(self, documents: DataFrame, ids: str, text: str, size: int = 5, threshold: int = 80) -> None:
         self.threshold, self.size = threshold, size
         self.spark = documents.sparkSession
+        bound_batches(self.spark)
         self.texts = documents.select(F.col(ids).cast("long").alias("id"), F.col(text).alias("text"))
         profiles = self.texts.mapInArrow(_profiles(size, threshold), "id long, n long, set_id binary, first binary")
         # Two passes over the texts cost less space than keeping the shingles of every copy.

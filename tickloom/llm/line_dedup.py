@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from tickloom.llm.batches import bound_batches
 from tickloom.llm import bloom
 from tickloom.llm.shingles import _IS_WORD, _power, mix, raw_bytes, slices
 from tickloom.session import store
@@ -154,6 +155,7 @@ def drop_common_lines(
     rows each keeps the first occurrence. An empty table gives an empty table.
     """
     spark = documents.sparkSession
+    bound_batches(spark)
     documents = documents.drop(*[c for c in ("n_lines", "n_dropped") if c not in (ids, text)])
     key = F.xxhash64(F.col(ids), F.col(text))
     gathered = documents.select(text).mapInArrow(_gather(least_chars, bits), bloom.SCHEMA)

@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from tickloom.llm.batches import bound_batches
 from tickloom.llm.shingles import _power, mix, raw_bytes, slices
 
 VOCABULARY_BITS = 15
@@ -251,6 +252,7 @@ def score_documents(
     named ``score`` is replaced. An empty table gives an empty table.
     """
     spark = documents.sparkSession
+    bound_batches(spark)
     documents = documents.drop(*[c for c in ("score",) if c not in (ids, text)])
     vectors = spark.sparkContext.broadcast(word_vectors(documents.select(text)))
     draw = F.xxhash64(F.col(ids).cast("string"))

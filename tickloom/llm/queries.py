@@ -14,7 +14,9 @@ from tickloom.llm import (
     cross_polytope,
     decontaminate,
     html_text,
+    license_scan,
     line_dedup,
+    preference_chat,
     quality_classifier,
     sentencepiece_nbest,
     token_files,
@@ -83,6 +85,11 @@ def cross_polytope_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cross_polytope.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, count=20)
 
 
+@query("op2_license_scan", license_scan.scan_sql())
+def license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.find_licenses(table(spark, sf_dir, "documents"))
+
+
 @query("op3_html_extraction")
 def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
@@ -108,6 +115,78 @@ def sentencepiece_nbest_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _rendered_sql(roles: str, texts: str) -> str:
+    """SQL of rendered turns, of lists of roles and texts."""
+    escaped = f"regexp_replace({texts}[i], '<\\|(im_start|im_end)\\|>', '<| \\1 |>', 'g')"
+    return (
+        f"array_to_string(list_transform(range(1, len({roles}) + 1), lambda i: "
+        f"'<|im_start|>' || {roles}[i] || chr(10) || {escaped} || '<|im_end|>' || chr(10)), '')"
+    )
+
+
+def _learned_sql(roles: str, texts: str) -> str:
+    """SQL of the spans of assistant turns as start+length, joined."""
+    escaped = f"regexp_replace({texts}[j], '<\\|(im_start|im_end)\\|>', '<| \\1 |>', 'g')"
+    before = (
+        f"coalesce(list_sum(list_transform(range(1, i), lambda j: length({roles}[j]) + length({escaped}) + 24)), 0) "
+        f"+ 13 + length({roles}[i])"
+    )
+    own = escaped.replace("[j]", "[i]")
+    return (
+        f"array_to_string(list_transform(list_filter(range(1, len({roles}) + 1), lambda i: {roles}[i] = 'assistant'), "
+        f"lambda i: CAST({before} AS BIGINT) || '+' || (length({own}) + 10)), ' ')"
+    )
+
+
+PREFERENCE_SQL = f"""WITH t AS (
+        SELECT DISTINCT conv_id, turn, coalesce(lower(trim(role)), 'user') AS role, coalesce(text, '') AS text
+        FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+    c AS (SELECT conv_id, list(role ORDER BY turn, role, text) AS r, list(text ORDER BY turn, role, text) AS x FROM t GROUP BY conv_id),
+    g AS (SELECT *, lead(conv_id) OVER (PARTITION BY r[1], x[1] ORDER BY conv_id) AS next_id,
+                 count(*) OVER (PARTITION BY r[1], x[1]) AS members FROM c),
+    p AS (
+        SELECT a.conv_id AS a_id, b.conv_id AS b_id, a.r AS ar, a.x AS ax,
+               CASE WHEN a.conv_id = b.conv_id THEN b.r[1:len(b.r) - 1] ELSE b.r END AS br,
+               CASE WHEN a.conv_id = b.conv_id THEN b.x[1:len(b.x) - 1] ELSE b.x END AS bx
+        FROM g a JOIN c b ON b.conv_id = CASE WHEN a.members = 1 THEN a.conv_id ELSE a.next_id END),
+    q AS (
+        SELECT CASE WHEN len(br) > len(ar) THEN b_id ELSE a_id END AS chosen_id,
+               CASE WHEN len(br) > len(ar) THEN a_id ELSE b_id END AS rejected_id,
+               CASE WHEN len(br) > len(ar) THEN br ELSE ar END AS cr, CASE WHEN len(br) > len(ar) THEN bx ELSE ax END AS cx,
+               CASE WHEN len(br) > len(ar) THEN ar ELSE br END AS rr, CASE WHEN len(br) > len(ar) THEN ax ELSE bx END AS rx FROM p),
+    k AS (
+        SELECT *, coalesce(list_filter(range(1, least(len(cr), len(rr))), lambda i: cr[i] <> rr[i] OR cx[i] <> rx[i])[1] - 1,
+                           greatest(least(len(cr), len(rr)) - 1, 0)) AS n FROM q),
+    parts AS (
+        SELECT *, cr[1:n] AS pr, cx[1:n] AS px, cr[n + 1:] AS cr2, cx[n + 1:] AS cx2, rr[n + 1:] AS rr2, rx[n + 1:] AS rx2 FROM k)
+    SELECT chosen_id, rejected_id, CAST(n AS BIGINT) AS prompt_turns, sha256({_rendered_sql("pr", "px")}) AS prompt_sha256,
+        CASE WHEN len(cr) > 0 THEN sha256({_rendered_sql("cr2", "cx2")}) END AS chosen_sha256,
+        CASE WHEN len(cr) > 0 THEN {_learned_sql("cr2", "cx2")} END AS chosen_learned,
+        CASE WHEN len(rr) > 0 THEN sha256({_rendered_sql("rr2", "rx2")}) END AS rejected_sha256,
+        CASE WHEN len(rr) > 0 THEN {_learned_sql("rr2", "rx2")} END AS rejected_learned
+    FROM parts"""
+
+
+@query("op6_preference_chat", PREFERENCE_SQL)
+def preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = preference_chat.format_pairs(preference_chat.neighbour_pairs(table(spark, sf_dir, "conversations")))
+
+    def spans(side: str):
+        shown = F.transform(f"{side}_mask", lambda s: F.concat_ws("+", s["start"], s["length"]))
+        return F.array_join(shown, " ").alias(f"{side}_learned")
+
+    return pairs.select(
+        "chosen_id",
+        "rejected_id",
+        F.col("prompt_turns").cast("long").alias("prompt_turns"),
+        F.sha2("prompt", 256).alias("prompt_sha256"),
+        F.sha2("chosen_completion", 256).alias("chosen_sha256"),
+        spans("chosen"),
+        F.sha2("rejected_completion", 256).alias("rejected_sha256"),
+        spans("rejected"),
+    )
+
+
 @query("op7_quality_classifier")
 def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality_classifier.score_documents(

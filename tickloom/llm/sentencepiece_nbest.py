@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tickloom.llm.batches import bound_batches
 from tickloom.llm.shingles import _power, mix, slices
 
 UNKNOWN_PENALTY = 10.0
@@ -367,6 +368,7 @@ def encode(documents: DataFrame, model: str, text: str = "text", n_best: int = 4
     empty text has no ids, score 0 and one segmentation. All input columns return; those with the
     name of a result are replaced. Repeated rows are answered alike; texts are whole, whatever their length.
     """
+    bound_batches(documents.sparkSession)
     documents = documents.drop(*[c for c in ("ids", "score", "n_best", "decoded") if c != text])
     own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema)
     return documents.mapInArrow(_encode(model, n_best, documents.columns.index(text)), f"{own}, {RESULT}")

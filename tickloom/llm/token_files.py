@@ -26,6 +26,7 @@ import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tickloom.llm.batches import bound_batches
 from tickloom.llm.shingles import slices, word_spans
 from tickloom.session import partitions_for, scratch_path, store
 
@@ -266,6 +267,7 @@ def write_shards(
     An empty table writes no file. Shards are sized by the bytes of the texts.
     """
     spark = documents.sparkSession
+    bound_batches(spark)
     rows = documents.select(F.col(ids).cast("long").alias("id"), F.col(text).alias("text"))
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     folder = scratch_path(spark, "token-shards")
