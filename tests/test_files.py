@@ -316,3 +316,24 @@ def test_stream_reads_each_file_once_and_repeats_safely(spark, landed, tmp_path)
 def test_command_line(spark, landed, tmp_path, capsys):
     assert main(["--source-path", landed, "--target-path", f"{tmp_path}/out", "--execution-date", "2024-01-31"]) == 0
     assert "rows_enriched" in capsys.readouterr().out
+
+
+def test_upsert_keeps_the_null_partition_beyond_the_limit(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warehouse, "MAX_PARTITION_LITERALS", 1)
+    kind = "price_id string, part string, close_price double"
+    old = spark.createDataFrame([("a", None, 1.0), ("b", "p", 2.0), ("c", "q", 3.0)], kind)
+    path = f"{tmp_path}/table"
+    warehouse.upsert(old, path, ["price_id"], partition_by=["part"])
+    new = spark.createDataFrame([("d", None, 4.0), ("e", "p", 5.0)], kind)
+    warehouse.upsert(new, path, ["price_id"], partition_by=["part"])
+    assert sorted(r.price_id for r in spark.read.parquet(path).collect()) == ["a", "b", "c", "d", "e"]
+    with pytest.raises(warehouse.LoadError):
+        warehouse.upsert(new.drop("close_price"), path, ["price_id"], partition_by=["part"])
+
+
+def test_the_newest_file_of_a_batch_wins(spark):
+    from tickloom.streaming.ingest import newest_bars
+
+    rows = [("X", "2024-01-01", 11.0, "/raw/date=2024-01-01/a.json"), (" x", "2024-01-01", 12.0, "/raw/date=2024-01-02/a.json")]
+    frame = spark.createDataFrame(rows, "symbol string, timestamp string, close_price double, source_file string")
+    assert [r.close_price for r in newest_bars(frame).collect()] == [12.0]

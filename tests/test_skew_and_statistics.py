@@ -91,3 +91,15 @@ def test_top_rows_are_not_fully_sorted(spark):
     fact = spark.createDataFrame([("A", None, 1.0, 1.0, 1.0)], "symbol string, trade_date date, close_price double, sma_20 double, daily_return double")
     plan = reports.latest_prices(fact)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
+
+
+def test_totals_beyond_a_long(spark):
+    df = spark.createDataFrame([("A", 5 * 10**18), ("A", 5 * 10**18), ("A", None)], "symbol string, n long")
+    assert [int(r.total) for r in skew.salted_totals(df, "n").collect()] == [10**19]
+
+
+def test_quantiles_with_infinities_end(spark):
+    values = [None, 1.0, 2.0, 3.0, float("inf"), float("-inf"), float("inf")]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    found = order_statistics.exact_quantiles(df, ["x"], [0.0, 0.4, 0.5, 1.0])
+    assert found["x"] == [float("-inf"), 2.0, 2.5, float("inf")]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.functions import indicators as ind
 from tickloom.functions.indicators import Series
-from tickloom.functions.scalars import day_of_week, surrogate_key
+from tickloom.functions.scalars import day_of_week, parseable_timestamp, surrogate_key
 from tickloom.schema import select_fact_columns
 
 # After de-duplication (symbol, timestamp) is unique, so this order has no ties.
@@ -19,13 +19,12 @@ INDICATOR_DEPTH = max(*ind.SMA_PERIODS, *ind.EMA_PERIODS, ind.VOLATILITY_WINDOW
 
 
 def standardise_dates(df: DataFrame) -> DataFrame:
-    """Add trade_date and trade_timestamp; rows whose date does not parse are dropped."""
-    return df.withColumns(
-        {
-            "trade_date": F.try_to_date(F.col("timestamp")),
-            "trade_timestamp": F.try_to_timestamp(F.col("timestamp")),
-        }
-    ).filter(F.col("trade_date").isNotNull())
+    """Add trade_date and trade_timestamp; rows whose date does not parse are dropped.
+
+    Dates parse by the same formats that the quality rule for them accepts.
+    """
+    dated = df.withColumn("trade_timestamp", parseable_timestamp("timestamp"))
+    return dated.withColumn("trade_date", F.to_date("trade_timestamp")).filter(F.col("trade_date").isNotNull())
 
 
 def with_date_dimensions(df: DataFrame, week_start: str = "sunday") -> DataFrame:

@@ -9,6 +9,7 @@ sees bucket counts.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -48,6 +49,15 @@ def exact_quantiles(
     return _quantiles(df, _bounds(df, columns), probabilities)
 
 
+# Infinities count as the greatest finite numbers, so that every interval has a width.
+LARGEST = sys.float_info.max
+INFINITIES = {LARGEST: math.inf, -LARGEST: -math.inf}
+
+
+def _finite(value: float) -> float:
+    return max(-LARGEST, min(LARGEST, value))
+
+
 def _quantiles(
     df: DataFrame, bounds: dict[str, dict], probabilities: list[float]
 ) -> dict[str, list[float | None]]:
@@ -56,8 +66,8 @@ def _quantiles(
         n = known["count"]
         for p in probabilities if n else []:
             for rank in {math.floor((n - 1) * p), math.ceil((n - 1) * p)}:
-                ranks[c, rank] = (_Interval(c, known["min"], known["max"]), rank)
-    values = _select_ranks(df, ranks)
+                ranks[c, rank] = (_Interval(c, _finite(known["min"]), _finite(known["max"])), rank)
+    values = {key: INFINITIES.get(v, v) for key, v in _select_ranks(df, ranks).items()}
 
     result: dict[str, list[float | None]] = {}
     for c, known in bounds.items():
@@ -69,7 +79,7 @@ def _quantiles(
                 continue
             at = (n - 1) * p
             low, high = values[c, math.floor(at)], values[c, math.ceil(at)]
-            result[c].append(low + (high - low) * (at - math.floor(at)))
+            result[c].append(low if low == high else low + (high - low) * (at - math.floor(at)))
     return result
 
 
@@ -100,6 +110,7 @@ def _histogram(df, intervals):
     entries = []
     for i, iv in enumerate(intervals):
         value = F.col(iv.column).cast("double")
+        value = F.when(value > LARGEST, LARGEST).when(value < -LARGEST, -LARGEST).otherwise(value)
         # Halved, so that the difference cannot overflow.
         share = (value / 2 - iv.low / 2) / (iv.high / 2 - iv.low / 2)
         bucket = F.least(F.lit(BUCKETS - 1), F.floor(share * BUCKETS).cast("int"))

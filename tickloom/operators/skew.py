@@ -78,13 +78,16 @@ def salted_totals(
 
     Different values cannot be combined before the shuffle when nearly all differ, so the
     rows of a hot symbol would meet in one task. Here the value itself takes part in the
-    key: equal values meet, and a symbol spreads over all tasks.
+    key: equal values meet, and a symbol spreads over all tasks. The sum of whole numbers is a
+    decimal, which no group overflows.
     """
+    whole = df.schema[value].dataType.typeName() in ("byte", "short", "integer", "long")
+    exact = F.col(value).cast("decimal(19,0)") * F.col("_n").cast("decimal(18,0)") if whole else F.col(value) * F.col("_n")
     salt = F.pmod(F.xxhash64(value), F.lit(buckets))
     per_value = df.groupBy(symbol, value).agg(F.count("*").alias("_n"))
     per_salt = per_value.groupBy(symbol, salt.alias("_salt")).agg(
         F.sum("_n").alias("_n"),
-        F.sum(F.col(value) * F.col("_n")).alias("_sum"),
+        F.sum(exact.cast("decimal(38,0)") if whole else exact).alias("_sum"),
         F.min(value).alias("_min"),
         F.max(value).alias("_max"),
         F.count(value).alias("_distinct"),

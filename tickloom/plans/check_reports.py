@@ -86,7 +86,7 @@ def salted_totals(spark, sf_dir):
         letters("l_suppkey").alias("symbol"),
         F.call_function("div", cents * 200 + quantity, quantity * 2).alias("steps"),
     )
-    return skew.salted_totals(rows, "steps")
+    return skew.salted_totals(rows, "steps").withColumn("total", F.col("total").cast("long"))
 
 
 @checked(

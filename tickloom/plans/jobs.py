@@ -42,7 +42,8 @@ class JobConfig:
     enable_skew_handling: bool = True
     salt_buckets: int = skew.SALT_BUCKETS
     rows_per_block: int = ROWS_PER_BLOCK
-    merge: bool = False
+    # A run brings some days of a month; the others stay unless the run replaces whole partitions.
+    merge: bool = True
     export_csv: bool = False
 
 
@@ -216,7 +217,7 @@ def parse_arguments(arguments: list[str]) -> JobConfig:
     )
     parser.add_argument("--salt-buckets", type=int, default=JobConfig.salt_buckets)
     parser.add_argument("--rows-per-block", type=int, default=JobConfig.rows_per_block)
-    parser.add_argument("--merge", action="store_true")
+    parser.add_argument("--replace-partitions", action="store_false", dest="merge")
     parser.add_argument("--export-csv", action="store_true")
     return JobConfig(**vars(parser.parse_args(arguments)))
 

@@ -28,8 +28,14 @@ class LoadError(Exception):
 
 
 def _existing(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
-    """The table, or an empty one of the incoming schema if it does not exist yet."""
+    """The table, or an empty one of the incoming schema if it does not exist yet.
+
+    A stored column that the incoming rows lack would be lost from the partitions they touch.
+    """
     try:
+        lacking = [c for c in spark.read.parquet(path).columns if c not in like.columns]
+        if lacking:
+            raise LoadError(f"the table at {path} has columns the incoming rows lack: {lacking}")
         return spark.read.schema(like.schema).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
@@ -44,7 +50,10 @@ def touched(target: DataFrame, incoming: DataFrame, partition_by: Sequence[str])
     values = incoming.select(*partition_by).distinct()
     few = values.limit(MAX_PARTITION_LITERALS + 1).collect()
     if len(few) > MAX_PARTITION_LITERALS:
-        return target.join(values, list(partition_by), "left_semi")
+        # NULL is a partition like any other, so it must match here as it does below.
+        values = values.select([F.col(c).alias(f"_{c}") for c in partition_by])
+        same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in partition_by]
+        return target.join(values, reduce(lambda a, b: a & b, same), "left_semi")
     wanted = [
         reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(row[c])) for c in partition_by])
         for row in few

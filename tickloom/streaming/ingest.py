@@ -6,9 +6,10 @@ batch that is repeated after a failure leaves the table as it was.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tickloom.functions.scalars import standard_symbol
 from tickloom.operators.cleanse import cleanse, coerce_types
 from tickloom.operators.enrich import standardise_dates
 from tickloom.session import store
@@ -18,9 +19,20 @@ from tickloom.sources.json_bars import flatten, json_options
 BAR_KEYS = ("symbol", "timestamp")
 
 
+def newest_bars(bars: DataFrame) -> DataFrame:
+    """Of bars with the same key those of the newest file: by the date in its path, then by its path.
+
+    Spark applies the rank limit before the shuffle too.
+    """
+    key = (standard_symbol("symbol"), F.col("timestamp"))
+    day = F.regexp_extract("source_file", r"date=(\d{4}-\d{2}-\d{2})", 1)
+    ranked = Window.partitionBy(*key).orderBy(day.desc(), F.col("source_file").desc())
+    return bars.withColumn("_rank", F.rank().over(ranked)).filter("_rank <= 1").drop("_rank")
+
+
 def bar_rows(documents: DataFrame) -> DataFrame:
     """Cleansed, dated bars with the partition columns of their table."""
-    dated = standardise_dates(cleanse(coerce_types(flatten(documents))))
+    dated = standardise_dates(cleanse(newest_bars(coerce_types(flatten(documents)))))
     return dated.withColumns({"year": F.year("trade_date"), "month": F.month("trade_date")})
 
 
