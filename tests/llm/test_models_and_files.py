@@ -89,13 +89,13 @@ PAGE = (
 def test_main_text_of_pages(spark):
     want = "Big & small\nFirst para is long <enough> to count, with a link.\nSecond para follows it closely.\none\ntwo"
     pages = [(1, PAGE, "u"), (2, None, None), (3, "", ""), (4, "plain < text", ""), (5, "<p>open <b>tags<p>next", ""), (1, PAGE, "u")]
-    pages += [(6, "<script>only();", ""), (7, "<div>" * 3000 + "deep", ""), (8, "<a title=it's>x</a> y", "")]
+    pages += [(6, "<script>only();", ""), (7, "<div>" * 3000 + "deep", ""), (8, "<a title=it's>x</a> y <b title='a>b'>it's</b>", "")]
     frame = spark.createDataFrame(pages, "page_id long, html string, text string")
     got = html_text.extract_text(frame)
     assert got.columns == ["page_id", "html", "text", "n_chars"]
     found = {r.page_id: r for r in got.collect()}
     assert found[1].text == want and found[1].n_chars == len(want)
-    assert [found[i].text for i in (2, 3, 4, 6, 7, 8)] == ["", "", "plain < text", "", "deep", "x y"]
+    assert [found[i].text for i in (2, 3, 4, 6, 7, 8)] == ["", "", "plain < text", "", "deep", "x y it's"]
     assert found[5].text == "open tags\nnext"
 
 

@@ -50,7 +50,13 @@ OTHER = re.compile(
 )
 PAGE_HEADER = re.compile(r"(?:^|[\s_-])(?:header|masthead|topbar)(?:$|[\s_-])", re.I)
 
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>\"']*(?:(?:\"[^\"]*\"|'[^']*'|[\"'])[^>\"']*)*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S)
+TAG = re.compile(
+    r"<!--.*?(?:-->|\Z)"
+    # Quotes hold a value only behind an equals sign.
+    r"|<(/?)([a-zA-Z][^\s/>]*)([^>=]*(?:=\s*(?:\"[^\"]*\"|'[^']*'|)[^>=]*)*)(?:>|\Z)"
+    r"|<[!?/][^>]*(?:>|\Z)",
+    re.S,
+)
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 SPACE = re.compile(r"\s+")
 

@@ -14,7 +14,6 @@ A character without a piece becomes the pieces of its bytes, at the lowest score
 from __future__ import annotations
 
 import heapq
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -372,8 +371,3 @@ def encode(documents: DataFrame, model: str, text: str = "text", n_best: int = 4
     documents = documents.drop(*[c for c in ("ids", "score", "n_best", "decoded") if c != text])
     own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema)
     return documents.mapInArrow(_encode(model, n_best, documents.columns.index(text)), f"{own}, {RESULT}")
-
-
-def crc32_of_ids(ids: list[int]) -> int:
-    """Unsigned crc32 of ids as little-endian 32-bit integers."""
-    return zlib.crc32(np.array(ids, "<u4").tobytes())
