@@ -58,8 +58,8 @@ def _identity(found: np.ndarray) -> bytes:
 
 
 def _known_limit(threshold: int) -> int:
-    """Shingles with a smaller hash have their frequency counted: twice what a prefix needs."""
-    return min((1 << 64) - 1, int((1 << 64) * 2 * (100 - threshold) / 100))
+    """Shingles with a smaller hash have their frequency counted: a quarter more than a prefix needs."""
+    return min((1 << 64) - 1, int((1 << 64) * 1.25 * (100 - threshold) / 100))
 
 
 def _profiles(size: int, threshold: int):
@@ -141,7 +141,7 @@ def _frequencies(classes: DataFrame, threshold: int, repeats) -> tuple[np.ndarra
 
 
 def _prefix(first: np.ndarray, n: int, threshold: int, limit: np.uint64, tokens: np.ndarray, counts: np.ndarray):
-    """Places of the prefix shingles in the global order, the level of each, the matches asked for, the cost."""
+    """Places of the prefix shingles in the global order, the level of each, the matches asked for."""
     others = np.zeros(len(first), np.int64)
     if len(tokens):
         at = np.minimum(np.searchsorted(tokens, first), len(tokens) - 1)
@@ -166,7 +166,7 @@ def _prefix(first: np.ndarray, n: int, threshold: int, limit: np.uint64, tokens:
     best = int(np.argmin(postings * (1 + VERIFY_COST / matches) + matches)) + 1
     order = order[: spare + best]
     levels = np.maximum(np.arange(len(order)) - spare + 1, 1)
-    return order, levels, best, float(postings[best - 1])
+    return order, levels, best
 
 
 def _postings(threshold: int, frequent, repeats):
@@ -180,11 +180,11 @@ def _postings(threshold: int, frequent, repeats):
                 parts = []
                 for packed, n in zip(firsts[start : start + 500], ns[start : start + 500]):
                     first = np.frombuffer(packed, np.uint64)
-                    order, levels, best, cost = _prefix(first, n, threshold, limit, tokens, counts)
+                    order, levels, best = _prefix(first, n, threshold, limit, tokens, counts)
                     kept = first[order]
                     # A known shingle that no other class has leads to nobody.
                     shared = (kept >= limit) | bloom.passes(repeats.value, mix(kept))
-                    parts.append((kept[shared], levels[shared], best, cost))
+                    parts.append((kept[shared], levels[shared], best))
                 lengths = np.array([len(p[0]) for p in parts])
                 who = np.repeat(np.arange(start, start + len(parts)), lengths)
                 yield pa.RecordBatch.from_arrays(
@@ -194,15 +194,14 @@ def _postings(threshold: int, frequent, repeats):
                         batch.column(1).take(pa.array(who)),
                         pa.array(np.concatenate([p[1] for p in parts]).astype(np.int32)),
                         pa.array(np.repeat(np.array([p[2] for p in parts], np.int32), lengths)),
-                        pa.array(np.repeat(np.array([p[3] for p in parts]), lengths)),
                     ],
-                    names=["token", "set_id", "n", "level", "matches", "weight"],
+                    names=["token", "set_id", "n", "level", "matches"],
                 )
 
     return run
 
 
-POSTINGS = "token long, set_id binary, n long, level int, matches int, weight double"
+POSTINGS = "token long, set_id binary, n long, level int, matches int"
 
 
 def _place(name: bytes, row: int | None) -> bytes:
