@@ -28,7 +28,9 @@ INPUTS = 2 * DIMENSIONS + 2
 WINDOW = 2
 # Word vectors are summed up in rows of so many vocabulary cells.
 CELLS = 1024
-GATHERED_BYTES = 8 << 20
+GATHERED_BYTES = 4 << 20
+# Pooling holds a vector per token of a block.
+POOLED_BYTES = 1 << 19
 # Labelled documents the network is fitted on at most, drawn by a hash of their id.
 TRAINING_ROWS = 20000
 HIDDEN = 16
@@ -133,7 +135,7 @@ def word_vectors(texts: DataFrame) -> np.ndarray:
 def pooled(texts: pa.Array, vectors: np.ndarray) -> np.ndarray:
     """One row per text: mean and spread of its word vectors, share of repeats, log of number; zeros without tokens."""
     out = np.zeros((len(texts), INPUTS), np.float64)
-    for start, stop in slices(texts):
+    for start, stop in slices(texts, POOLED_BYTES):
         cells, bounds = tokens(texts.slice(start, stop - start))
         counts = np.diff(bounds)
         full = np.flatnonzero(counts)

@@ -25,10 +25,10 @@ from tickloom.llm.shingles import _power, mix, slices
 
 UNKNOWN_PENALTY = 10.0
 # Units that are solved together, and units whose result a task keeps.
-LATTICE_CELLS = 1 << 18
-KEPT_UNITS = 2_000_000
-KEPT_ALTERNATIVES = 200_000
-ENCODED_BYTES = 4 << 20
+LATTICE_CELLS = 1 << 16
+KEPT_UNITS = 500_000
+KEPT_ALTERNATIVES = 20_000
+ENCODED_BYTES = 2 << 20
 SLOT_BITS = 20
 
 _RANDOM = np.random.default_rng(5)

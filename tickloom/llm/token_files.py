@@ -34,9 +34,9 @@ MAGIC = b"EFTOK001"
 HEADER = "<8sQQQQqQQ"
 SAMPLE = 256
 # Words whose ids a task remembers before it starts anew.
-REMEMBERED_WORDS = 4_000_000
+REMEMBERED_WORDS = 1_000_000
 # Texts are encoded in blocks of about so many bytes.
-ENCODED_BYTES = 8 << 20
+ENCODED_BYTES = 4 << 20
 
 
 class EliasFano:
