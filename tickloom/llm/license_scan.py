@@ -129,11 +129,16 @@ def find_licenses(
     # What is left is a small part, read three times below.
     texts = store(texts.where(F.arrays_overlap("words", marks)).distinct(), "license-texts")
     texts = texts.select("id", "row_key", shingles(F.col("words")).alias("all"))
-    placed = texts.select("id", "row_key", F.posexplode("all").alias("place", "shingle"))
+    wordings = sorted({g for own in known.values() for g in own})
+    places = F.transform("all", lambda g, i: F.when(g.isin(wordings), i))
+    texts = texts.withColumn("near", F.filter(places, lambda i: i.isNotNull())).where(F.size("near") > 0)
+    placed = texts.select("id", "row_key", "near", F.posexplode("all").alias("place", "shingle"))
     placed = placed.withColumn("hash", F.xxhash64("shingle"))
     classes = sorted({size_class(len(s)) for s in known.values()})
     step = F.expr("shiftleft(2, class)")
     spread = placed.withColumn("class", F.explode(F.array(*[F.lit(c) for c in classes])))
+    # A window without any shingle of a template meets none, so only the surroundings of such shingles count.
+    spread = spread.where(F.exists("near", lambda i: F.abs(i - F.col("place")) < 2 * step)).drop("near")
     slot = F.floor(F.col("place") / step).cast("long")
     spread = spread.withColumn("slot", F.explode(F.array(slot, slot - 1))).where("slot >= 0")
     keys = ["id", "row_key", "class", "slot"]
