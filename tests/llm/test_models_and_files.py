@@ -58,6 +58,34 @@ def test_neighbours_and_recall(spark, sf_dir, lengths):
     assert cross_polytope.nearest(frame.limit(0), F.col("id") % 20 == 0).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["spread", "outlier", "tiny", "far"])
+def test_neighbours_of_unequal_lengths(spark, kind):
+    draw = np.random.default_rng(3)
+    matrix = draw.normal(size=(15 if kind == "tiny" else 2000, 64))
+    matrix /= np.linalg.norm(matrix, axis=1, keepdims=True)
+    if kind == "spread":
+        matrix *= np.exp(0.5 * draw.normal(size=(len(matrix), 1)))
+    elif kind == "far":
+        # Queries that point away from the others, which are all in few buckets.
+        matrix[np.arange(len(matrix)) % 500 > 0] = np.eye(64)[0] + 1e-3 * draw.normal(size=(len(matrix) - 4, 64))
+        matrix[::500] = -np.eye(64)[0] + 1e-3 * draw.normal(size=(4, 64))
+    else:
+        matrix[7] *= 100
+    step = 500 if kind == "far" else 20
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(matrix)], "vec_id long, embedding array<double>")
+    found = {}
+    for r in cross_polytope.nearest(frame, F.col("id") % step == 0).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    queries = range(0, len(matrix), step)
+    assert {q: len(found.get(q, ())) for q in queries} == dict.fromkeys(queries, min(20, len(matrix) - 1))
+    hits = []
+    for q in queries:
+        scores = matrix @ matrix[q]
+        scores[q] = -np.inf
+        hits.append(len(found[q] & set(np.argsort(-scores)[:20].tolist())) / min(20, len(matrix) - 1))
+    assert np.mean(hits) >= 0.95
+
+
 def test_quality_of_held_out_documents(spark):
     folder = "/root/testdata/sf0.01"
     documents, labels = (spark.read.parquet(f"{folder}/{n}.parquet") for n in ("documents", "labels"))
