@@ -127,6 +127,22 @@ def test_main_text_of_pages(spark):
     assert found[5].text == "open tags\nnext"
 
 
+PARAGRAPHS = [f"Paragraph {i} tells a good deal about the matter at hand, and goes on for a while." for i in range(5)]
+LONG = "".join(f"<p>{p}</p>" for p in PARAGRAPHS)
+NAV = "<nav><ul><li><a href=/a>First</a><li><a href=/b>Second</a></ul></nav>"
+
+
+@pytest.mark.parametrize(
+    "wrapper",
+    ["div class='content has-sidebar'", "div class='layout no-sidebar'", "div class='with-menu'", "div class='post comments-open'"]
+    + ["div class='site social'", "div id=widget", "form", "section role=search"],
+)
+@pytest.mark.parametrize("inner", ["article", "div"])
+def test_wrappers_with_names_keep_their_text(wrapper, inner):
+    page = f"<body>{NAV}<{wrapper}><{inner}>{LONG}</{inner}><div class='share ad'>Buy now</div></{wrapper.split()[0]}><footer>Foot</footer>"
+    assert html_text.main_text(page).split("\n") == PARAGRAPHS
+
+
 def brute_segmentations(pieces, text):
     if not text:
         yield 0.0, []

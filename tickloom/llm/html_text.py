@@ -5,7 +5,8 @@ per tag, times a logarithm that shrinks it the more of its text stands in links.
 density sum adds the densities of its child blocks; the block with the largest sum is the core.
 The smallest density on the way from the core up to the body is the threshold: the text is
 that of the core, and of blocks of its kind beside it that are at least as dense. Blocks that
-name themselves as something else (navigation, forms, adverts, comments) are no part of the tree.
+name themselves as something else (navigation, forms, adverts, comments) are taken out, but only if
+their density also speaks against them: see ``veto``.
 """
 
 from __future__ import annotations
@@ -27,7 +28,8 @@ BLOCKS = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template iframe textarea title svg math canvas object select".split())
-UNREAD = frozenset("head nav footer aside form button dialog menu label".split())
+UNREAD = frozenset("head button label".split())
+NAMED = frozenset("nav footer aside form dialog menu".split())
 CLOSED_BY_BLOCK = frozenset(["p"])
 CLOSED_BY_LIKE = {
     "li": frozenset(["li"]),
@@ -40,15 +42,18 @@ CLOSED_BY_LIKE = {
 }
 # Where the search for an element to close stops.
 SCOPES = {"li": frozenset(["ul", "ol", "menu"]), "dt": frozenset(["dl"]), "dd": frozenset(["dl"])}
-# Words of class, id and role that name something other than the article.
+# Whole words of class, id and role that name something other than the article.
 OTHER = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promo(?:tion)?|banner|sidebar|side-bar|nav|navbar|"
-    r"navigation|menu|footer|comments?|commentlist|replies|respond|disqus|cookies?|consent|notice|popup|modal|overlay|"
-    r"share|sharing|social|related|recommended|breadcrumbs?|newsletter|subscribe|login|signup|search|pagination|pager|"
-    r"widget|complementary|contentinfo|toolbar|skip-link)(?:$|[\s_-])",
+    r"ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promo(?:tion)?|banner|side-?bar|nav|nav-?bar|navigation|"
+    r"menu|footer|comments?|comment-?list|replies|respond|disqus|cookies?|cookie-(?:notice|banner|bar|consent)|consent|notice|"
+    r"pop-?up|modal|overlay|share|sharing|social|related|recommended|breadcrumbs?|newsletter|subscribe|log-?in|sign-?up|search|"
+    r"pagination|pager|widget|complementary|contentinfo|toolbar|skip-link",
     re.I,
 )
-PAGE_HEADER = re.compile(r"(?:^|[\s_-])(?:header|masthead|topbar)(?:$|[\s_-])", re.I)
+PAGE_HEADER = re.compile(r"header|masthead|topbar", re.I)
+COMMENT = re.compile(r"comments?", re.I)
+# A named block stays only if it is more times as dense as the densest other one.
+NAME_FACTOR = 4
 
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -62,31 +67,33 @@ SPACE = re.compile(r"\s+")
 
 
 class Block:
-    __slots__ = ("name", "parent", "parts", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("name", "parent", "parts", "chars", "tags", "link_chars", "link_tags", "density", "total", "named", "own")
 
-    def __init__(self, name: str, parent: Block | None) -> None:
-        self.name, self.parent = name, parent
+    def __init__(self, name: str, parent: Block | None, named: bool = False) -> None:
+        self.name, self.parent, self.named = name, parent, named
         self.parts: list[str | Block] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
 
 
-def _is_other(name: str, attributes: str, stack: list[tuple[str, Block | None]]) -> bool:
-    if name in UNREAD:
-        return True
+def _values(attributes: str) -> dict[str, str]:
+    return {k.lower(): v.strip("\"'") for k, v in ATTRIBUTE.findall(attributes)} if attributes else {}
+
+
+def _is_unread(name: str, values: dict[str, str]) -> bool:
+    hidden = "hidden" in values or values.get("aria-hidden") == "true" or "display:none" in values.get("style", "").replace(" ", "")
+    return name in UNREAD or hidden
+
+
+def _is_named(name: str, values: dict[str, str], stack: list[tuple[str, Block | None]]) -> bool:
+    """Whether a block names itself as something other than the article."""
     inside = any(n in ("article", "main") for n, _ in stack)
-    if name == "header" and not inside:
-        return True
-    if not attributes:
-        return False
-    values = {k.lower(): v.strip("\"'") for k, v in ATTRIBUTE.findall(attributes)}
-    if "hidden" in values or values.get("aria-hidden") == "true" or "display:none" in values.get("style", "").replace(" ", ""):
+    if name in NAMED or (name == "header" and not inside):
         return True
-    if name in ("body", "html", "main", "article"):
-        own = values.get("class", "") + " " + values.get("role", "")
-        return name == "article" and bool(re.search(r"(?:^|[\s_-])comments?(?:$|[\s_-])", own, re.I))
-    named = " ".join(values.get(k, "") for k in ("class", "id", "role"))
-    return bool(OTHER.search(named)) or (not inside and bool(PAGE_HEADER.search(named)))
+    words = " ".join(html.unescape(values.get(k, "")) for k in ("class", "id", "role")).split()
+    if name in ("main", "article"):
+        return name == "article" and any(COMMENT.fullmatch(w) for w in words)
+    return any(OTHER.fullmatch(w) or (not inside and PAGE_HEADER.fullmatch(w)) for w in words)
 
 
 def parse(page: str) -> Block:
@@ -157,14 +164,15 @@ def parse(page: str) -> Block:
                 if name in ("br", "hr", "wbr"):
                     block.parts.append(" " if name != "wbr" else "")
             continue
-        if skipped or _is_other(name, found[3], stack):
+        values = {} if skipped else _values(found[3])
+        if skipped or _is_unread(name, values):
             skipped += 1
             stack.append(("!" + name, None))
             continue
         if name in ("html", "body"):
             stack.append((name, None))
         elif name in BLOCKS:
-            own = Block(name, block)
+            own = Block(name, block, _is_named(name, values, stack))
             block.parts.append(own)
             block = own
             stack.append((name, own))
@@ -174,6 +182,8 @@ def parse(page: str) -> Block:
                 links += 1
                 block.link_tags += 1
             stack.append((name, None))
+    for own in _in_order(root):
+        own.own = (own.chars, own.tags, own.link_chars, own.link_tags)
     return root
 
 
@@ -189,6 +199,9 @@ def _in_order(root: Block) -> list[Block]:
 def measure(root: Block) -> list[Block]:
     """All blocks in page order with their density and density sum."""
     blocks = _in_order(root)
+    for block in blocks:
+        block.density = 0.0
+        block.chars, block.tags, block.link_chars, block.link_tags = block.own
     for block in reversed(blocks):
         for child in block.parts:
             if isinstance(child, Block):
@@ -208,6 +221,34 @@ def measure(root: Block) -> list[Block]:
     return blocks
 
 
+def veto(root: Block) -> None:
+    """Takes named blocks out of the tree.
+
+    One stays that holds an article, a main or the core of the page, or at least half of the
+    unlinked text; on pages without article and main also one that is more than ``NAME_FACTOR`` times
+    as dense as the densest other block. Beside an article or main, a nav or footer never stays by its size.
+    Those inside of one that stays are judged alike.
+    """
+    blocks = measure(root)
+    core = max(blocks, key=lambda b: b.total)
+    kept = {id(b) for b in _path(core)} if core.total else set()
+    hints = [b for b in blocks if b.name == "main" or (b.name == "article" and not b.named)]
+    for block in hints:
+        kept |= {id(b) for b in _path(block)}
+    inside: set[int] = set()
+    for block in blocks:
+        if block.named or id(block.parent) in inside:
+            inside.add(id(block))
+    bar = NAME_FACTOR * max((b.density for b in blocks if id(b) not in inside and b is not root), default=0.0)
+    unlinked = root.chars - root.link_chars
+    for block in blocks:
+        large = 0 < unlinked <= 2 * (block.chars - block.link_chars)
+        stays = (large and block.name not in ("nav", "footer")) if hints else (large or block.density > bar > 0)
+        if block.named and id(block) not in kept and not stays:
+            # What is left beside it stays apart.
+            block.parent.parts = [" " if p is block else p for p in block.parent.parts]
+
+
 def _path(block: Block) -> list[Block]:
     out = [block]
     while out[-1].parent is not None:
@@ -217,6 +258,7 @@ def _path(block: Block) -> list[Block]:
 
 def chosen(root: Block) -> list[Block]:
     """The core and the blocks of its kind beside it, in page order."""
+    veto(root)
     blocks = measure(root)
     core = max(blocks, key=lambda b: b.total)
     path = _path(core)
