@@ -143,6 +143,24 @@ def test_wrappers_with_names_keep_their_text(wrapper, inner):
     assert html_text.main_text(page).split("\n") == PARAGRAPHS
 
 
+def test_density_chooses_the_text():
+    foot = f"{NAV}<footer>Foot</footer></body>"
+    links = "<div>" + "".join(f"<a href=/{i}>Link {i}</a> " for i in range(20)) + "</div>"
+    part = "<{0}><h2>Head {1}</h2><p>A part with number {1} says what there is to say about it.</p></{0}>"
+    parts = [x for i in range(4) for x in (f"Head {i}", f"A part with number {i} says what there is to say about it.")]
+    cases = [
+        (f"<body><div><h1>Title</h1><p>intro</p><section>{LONG}</section></div>{foot}", ["Title", "intro", *PARAGRAPHS]),
+        (f"<body>{''.join(part.format('article', i) for i in range(4))}{links}{foot}", parts),
+        (f"<body><div>{''.join(part.format('article', i) for i in range(4))}</div>{links}{foot}", parts),
+        (f"<body><div>{''.join(part.format('section', i) for i in range(4))}</div>{links}{foot}", parts),
+        (f"<body><article>{LONG}</article><article><h2>Head</h2><p>Short one.</p></article>{foot}", [*PARAGRAPHS, "Head", "Short one."]),
+        (f"<body>{LONG}{links}{foot}", PARAGRAPHS),
+        (f"<body>{links}<div><p>An introduction that stands alone here.</p></div><div>{LONG}</div>{links}{foot}", ["An introduction that stands alone here.", *PARAGRAPHS]),
+    ]
+    for page, want in cases:
+        assert html_text.main_text(page).split("\n") == want, page
+
+
 def brute_segmentations(pieces, text):
     if not text:
         yield 0.0, []

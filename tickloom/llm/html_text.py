@@ -3,8 +3,10 @@
 A page becomes a tree of its block elements. Every block has a composite density: its characters
 per tag, times a logarithm that shrinks it the more of its text stands in links. A block's
 density sum adds the densities of its child blocks; the block with the largest sum is the core.
-The smallest density on the way from the core up to the body is the threshold: the text is
-that of the core, and of blocks of its kind beside it that are at least as dense. Blocks that
+The smallest density on the way from the core up to the body is the threshold: every block that
+reaches it, and whose parents do, gives the subtree with the largest density sum in it. Headings that
+lead to such a subtree and unlinked blocks between two of them belong to the text. An article
+or main is a hint: one not mostly of links need not reach the threshold, and half is enough inside. Blocks that
 name themselves as something else (navigation, forms, adverts, comments) are taken out, but only if
 their density also speaks against them: see ``veto``.
 """
@@ -40,6 +42,7 @@ CLOSED_BY_LIKE = {
     "th": frozenset(["td", "th"]),
     "body": frozenset(["head"]),
 }
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 header hgroup".split())
 # Where the search for an element to close stops.
 SCOPES = {"li": frozenset(["ul", "ol", "menu"]), "dt": frozenset(["dl"]), "dd": frozenset(["dl"])}
 # Whole words of class, id and role that name something other than the article.
@@ -234,19 +237,22 @@ def veto(root: Block) -> None:
     kept = {id(b) for b in _path(core)} if core.total else set()
     hints = [b for b in blocks if b.name == "main" or (b.name == "article" and not b.named)]
     for block in hints:
-        kept |= {id(b) for b in _path(block)}
+        _add_path(block, kept)
     inside: set[int] = set()
     for block in blocks:
         if block.named or id(block.parent) in inside:
             inside.add(id(block))
     bar = NAME_FACTOR * max((b.density for b in blocks if id(b) not in inside and b is not root), default=0.0)
     unlinked = root.chars - root.link_chars
+    out: set[int] = set()
     for block in blocks:
         large = 0 < unlinked <= 2 * (block.chars - block.link_chars)
         stays = (large and block.name not in ("nav", "footer")) if hints else (large or block.density > bar > 0)
         if block.named and id(block) not in kept and not stays:
-            # What is left beside it stays apart.
-            block.parent.parts = [" " if p is block else p for p in block.parent.parts]
+            out.add(id(block))
+    for block in blocks:
+        # What is left beside one taken out stays apart.
+        block.parts = [" " if id(p) in out else p for p in block.parts]
 
 
 def _path(block: Block) -> list[Block]:
@@ -256,19 +262,71 @@ def _path(block: Block) -> list[Block]:
     return out
 
 
+def _add_path(block: Block | None, known: set[int]) -> None:
+    while block is not None and id(block) not in known:
+        known.add(id(block))
+        block = block.parent
+
+
+def _linked(block: Block) -> bool:
+    return 2 * block.link_chars >= block.chars
+
+
 def chosen(root: Block) -> list[Block]:
-    """The core and the blocks of its kind beside it, in page order."""
+    """The blocks whose whole text belongs to the main text, in page order, none inside another.
+
+    A body that is the core itself gives its own text and all blocks in it but sparse ones mostly of links.
+    """
     veto(root)
     blocks = measure(root)
     core = max(blocks, key=lambda b: b.total)
-    path = _path(core)
-    threshold = min(b.density for b in path)
-    named = [b for b in path if b.name in ("article", "main")]
-    if named:
-        return [named[0]]
-    if core.parent is None:
-        return [core]
-    return [b for b in core.parent.parts if isinstance(b, Block) and (b is core or b.name == core.name and b.density >= threshold and 2 * b.link_chars < b.chars)]
+    threshold = min(b.density for b in _path(core))
+    if core is root:
+        root.parts = [" " if isinstance(p, Block) and _linked(p) and p.density < threshold else p for p in root.parts]
+        return [root]
+    # The block with the largest density sum in each subtree; the outermost of equal ones.
+    best = {id(b): b for b in blocks}
+    for block in reversed(blocks):
+        for part in block.parts:
+            if isinstance(part, Block) and best[id(part)].total > best[id(block)].total:
+                best[id(block)] = best[id(part)]
+    # Blocks with a kept one in them, and kept ones.
+    marked: set[int] = set()
+    holders: set[int] = set()
+    waiting = [(root, False)]
+    while waiting:
+        block, hinted = waiting.pop()
+        own_hint = block.name in ("article", "main")
+        enough = (own_hint and not _linked(block)) or block.density >= (threshold / 2 if hinted else threshold)
+        if id(block) in marked or not block.chars or not enough:
+            continue
+        # Nothing mostly of links is text beside the core.
+        found = best[id(block)]
+        if found is core or not _linked(found):
+            marked.add(id(found))
+            _add_path(found, holders)
+        waiting.extend((p, hinted or own_hint) for p in block.parts if isinstance(p, Block))
+    for block in reversed(blocks):
+        if id(block) in holders and id(block) not in marked:
+            _bridge([p for p in block.parts if isinstance(p, Block)], marked, holders)
+    out, inside = [], set()
+    for block in blocks:
+        if id(block.parent) in inside:
+            inside.add(id(block))
+        elif id(block) in marked:
+            inside.add(id(block))
+            out.append(block)
+    return out
+
+
+def _bridge(beside: list[Block], marked: set[int], holders: set[int]) -> None:
+    """Marks headings before kept blocks, and unlinked ones between kept blocks, of those beside each other."""
+    at = [i for i, b in enumerate(beside) if id(b) in holders]
+    first, last = at[0] if at else 0, at[-1] if at else -1
+    heads = [i for i in range(first) if beside[i].name in HEADINGS and not _linked(beside[i])]
+    for block in beside[min([*heads, first]) : last]:
+        if id(block) not in holders and not _linked(block):
+            marked.add(id(block))
 
 
 def block_texts(top: Block) -> list[str]:
