@@ -178,6 +178,19 @@ def test_rounding_is_half_up_on_the_exact_value(spark):
     assert large.agg(rounded_mean_price("p", 2)).first()[0] == 9.9e10
 
 
+@pytest.mark.parametrize("values", [[2e11, 1.0], [1e300, 3e300], [0.000001, 0.000002], [1.000049, 1.00005], [1e-12, 3e-12], [2e11, None, 1.0]])
+def test_every_price_counts_whole(spark, closes, values):
+    from tickloom.functions.scalars import mean_price, rounded_mean_price
+
+    known = [v for v in values if v is not None]
+    mean, last = sum(known) / len(known), values[-1]
+    row = closes(values).agg(mean_price("close_price"), rounded_mean_price("close_price", 2)).first()
+    assert row[0] == pytest.approx(mean, rel=1e-12) and row[1] == pytest.approx(round(mean, 2), rel=1e-12)
+    shown = ind.with_simple_ema(ind.with_moving_averages(closes(values))).orderBy("trade_date").collect()[-1]
+    assert shown.sma_5 == pytest.approx(round(mean, 4), rel=1e-12)
+    assert shown.ema_12 == pytest.approx(round(mean * 2 / 13 + last * 11 / 13, 4), rel=1e-12)
+
+
 def test_executors_need_not_have_the_package(tmp_path):
     import os
     import subprocess

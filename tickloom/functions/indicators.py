@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 from tickloom.functions.scalars import (
     PRICE_SCALE,
     half_up_ratio,
+    known_price,
     mean_of_steps,
     pct_change,
     price_steps,
@@ -49,16 +50,18 @@ DAILY = Series()
 def rolling_sums(
     periods: Iterable[int], series: Series = DAILY, price: str = "close_price"
 ) -> dict[str, Column]:
-    """Per period the summed price steps and the number of prices in its last rows.
+    """Per period the summed price steps, the numbers of steps and of prices, and the mean in doubles, of its last rows.
 
     They are columns of their own because an indicator uses each several times, and Spark
     evaluates a window function once per mention.
     """
-    steps = price_steps(price)
+    steps, known = price_steps(price), known_price(price)
     sums = {}
     for n in periods:
         sums[f"_total_{n}"] = F.sum(steps).over(series.last(n))
-        sums[f"_count_{n}"] = F.count(steps).over(series.last(n))
+        sums[f"_exact_{n}"] = F.count(steps).over(series.last(n))
+        sums[f"_count_{n}"] = F.count(known).over(series.last(n))
+        sums[f"_mean_{n}"] = F.avg(known).over(series.last(n))
     return sums
 
 
@@ -96,19 +99,22 @@ def log_return() -> Column:
 def sma(n: int, min_periods: int = 1) -> Column:
     """Mean of the last ``n`` rows from ``rolling_sums``; NULL below ``min_periods`` prices."""
     total, count = F.col(f"_total_{n}"), F.col(f"_count_{n}")
-    return F.when(count >= min_periods, mean_of_steps(total, count))
+    mean = F.when(F.col(f"_exact_{n}") == count, mean_of_steps(total, count)).otherwise(F.round(f"_mean_{n}", 4))
+    return F.when(count >= min_periods, mean)
 
 
 def ema_simple(n: int, price: str = "close_price") -> Column:
     """``mean * k + price * (1 - k)`` with ``k = 2 / (n + 1)`` and the mean of the last ``n`` rows.
 
-    Brought to one fraction of whole numbers, so that rounding sees the exact value.
+    Brought to one fraction of exact numbers, so that rounding sees the exact value; in doubles
+    if a price of the window has no exact steps.
     """
-    total, count, steps = F.col(f"_total_{n}"), F.col(f"_count_{n}"), price_steps(price)
+    total, count, steps, known = F.col(f"_total_{n}"), F.col(f"_count_{n}"), price_steps(price), known_price(price)
     numerator = total * 2 + count * steps * (n - 1)
-    return F.when(
-        steps.isNotNull(), half_up_ratio(numerator, count * (n + 1)) / float(PRICE_SCALE)
-    )
+    exact = half_up_ratio(numerator, count * (n + 1)) / float(PRICE_SCALE)
+    k = 2 / (n + 1)
+    rough = F.round(F.col(f"_mean_{n}") * k + known * (1 - k), 4)
+    return F.when(known.isNotNull(), F.when(F.col(f"_exact_{n}") == count, exact).otherwise(rough))
 
 
 def derived_metrics() -> dict[str, Column]:

@@ -6,10 +6,10 @@ from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
-# Price steps per unit: prices carry four decimals.
+# Price steps per unit.
 PRICE_SCALE = 10_000
-# Below this a double shows four decimals exactly, and rolling sums fit a long.
-PRICE_LIMIT = 1e11
+# Prices below 1e14 of up to eight decimals, whose sums are exact.
+EXACT_PRICE = "decimal(22,8)"
 
 
 BLANKS = " \t\r\n\f\v"
@@ -64,14 +64,21 @@ def parseable_timestamp(column: Column | str) -> Column:
     return reduce(lambda a, b: F.coalesce(a, b), tries)
 
 
+def known_price(price: Column | str) -> Column:
+    """The price as a double; NULL for NaN."""
+    price = F.col(price) if isinstance(price, str) else price
+    return F.nanvl(price.cast("double"), F.lit(None).cast("double"))
+
+
 def price_steps(price: Column | str) -> Column:
-    """Price as a whole number of 1/10000 steps; NULL beyond what steps can hold.
+    """Price as an exact number of 1/10000 steps; NULL for what is no ``EXACT_PRICE``.
 
-    Sums of whole numbers do not depend on the order in which rows arrive, so means come out
-    the same however Spark partitions the work.
+    Sums of decimals do not depend on the order in which rows arrive, so means come out
+    the same however Spark partitions the work. Where a price has no steps, the mean is that of doubles.
     """
-    price = F.col(price) if isinstance(price, str) else price
-    return F.when(F.abs(price) < PRICE_LIMIT, F.floor(price * float(PRICE_SCALE) + 0.5))
+    price = known_price(price)
+    exact = price.try_cast(EXACT_PRICE)
+    return F.when(exact.cast("double") == price, (exact * PRICE_SCALE).cast("decimal(22,4)"))
 
 
 def mean_of_steps(total: Column, n: Column, decimals: int = 4) -> Column:
@@ -87,17 +94,14 @@ def half_up_ratio(numerator: Column, denominator: Column) -> Column:
 
 
 def mean_price(price: str) -> Column:
-    """Aggregate: the mean price, not rounded, the same for any order of the rows."""
-    steps = price_steps(price)
-    return _wide_sum(steps).cast("double") / float(PRICE_SCALE) / F.count(steps)
+    """Aggregate: the mean price, not rounded, the same for any order of the rows if all prices are exact."""
+    steps, known = price_steps(price), known_price(price)
+    exact = F.sum(steps).cast("double") / float(PRICE_SCALE) / F.count(steps)
+    return F.when(F.count(steps) == F.count(known), F.when(F.count(steps) > 0, exact)).otherwise(F.avg(known))
 
 
 def rounded_mean_price(price: str, decimals: int) -> Column:
-    """Aggregate: the mean price rounded half up from the exact sum."""
-    steps = price_steps(price)
-    return mean_of_steps(_wide_sum(steps), F.count(steps), decimals)
-
-
-def _wide_sum(steps: Column) -> Column:
-    """A sum over any number of rows: a long would overflow on a large group."""
-    return F.sum(steps.cast("decimal(16,0)"))
+    """Aggregate: the mean price rounded half up, from the exact sum if all prices are exact."""
+    steps, known = price_steps(price), known_price(price)
+    exact = mean_of_steps(F.sum(steps), F.count(steps), decimals)
+    return F.when(F.count(steps) == F.count(known), exact).otherwise(F.round(F.avg(known), decimals))
