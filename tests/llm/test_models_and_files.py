@@ -265,3 +265,13 @@ def test_licenses(spark):
     assert got == {(0, "MIT"): (whole, whole), (1, "MIT-line"): (1, 1), (None, "MIT-line"): (1, 1)}
     assert license_scan.find_licenses(frame, templates={}).count() == 0
     assert license_scan.find_licenses(frame.limit(0)).count() == 0
+
+
+def test_runs_of_a_hot_first_turn_are_even_with_a_far_id(spark):
+    ids = [*range(999), 2**62]
+    frame = spark.createDataFrame([(i, t, r, "same") for i in ids for t, r in ((0, "user"), (1, "assistant"))], "conv_id long, turn int, role string, text string")
+    runs = frame.select("conv_id").distinct()
+    sizes = [r["count"] for r in runs.groupBy(preference_chat._run(runs, 100).alias("run")).count().collect()]
+    assert len(sizes) == 10 and max(sizes) <= 120
+    pairs = preference_chat.neighbour_pairs(frame, part_rows=100).select("chosen_id", "rejected_id").collect()
+    assert sorted(map(tuple, pairs)) == list(zip(ids, ids[1:]))

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 START, END = "<|im_start|>", "<|im_end|>"
 ROLES = ("system", "user", "assistant", "tool")
 LEARNED = "assistant"
+# Bound of the runs, whose borders stand in the plan.
+MOST_RUNS = 1000
 
 TURN = "struct<turn:bigint,role:string,text:string>"
 
@@ -112,13 +114,20 @@ def neighbour_pairs(turns: DataFrame, part_rows: int = 10000) -> DataFrame:
     return _pair(keyed, part_rows)
 
 
+def _run(ids: DataFrame, part_rows: int) -> Column:
+    """The run of a conv_id: the number of borders, quantiles of all ids, that are not above it."""
+    count = min(-(-ids.count() // part_rows), MOST_RUNS)
+    if count < 2:
+        return F.lit(0)
+    shares = [i / count for i in range(1, count)]
+    borders = sorted(set(ids.agg(F.percentile_approx("conv_id", shares, 10 * MOST_RUNS)).first()[0]))
+    return F.size(F.filter(F.lit(borders), lambda b: b <= F.col("conv_id")))
+
+
 def _pair(keyed: DataFrame, part_rows: int) -> DataFrame:
     ids = keyed.select("conv_id", "prompt_key")
     # Runs of conversations of about equal size over all ids; the number of runs follows the rows.
-    stats = ids.agg(F.count("*").alias("n"), F.min("conv_id").alias("low"), F.max("conv_id").alias("high")).first()
-    width = max(1, -(-((stats.high or 0) - (stats.low or 0) + 1) * part_rows // max(stats.n, 1)))
-    run = F.floor((F.col("conv_id") - F.lit(stats.low or 0)) / F.lit(width))
-    runs = ids.withColumn("run", run)
+    runs = ids.withColumn("run", _run(ids, part_rows))
     inside = Window.partitionBy("prompt_key", "run").orderBy("conv_id")
     heads = runs.groupBy("prompt_key", "run").agg(F.min("conv_id").alias("head"))
     # One row per group and run, so this window is short whatever the group holds.
