@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickloom.llm import (
     cross_polytope,
+    cross_tokenizer,
     decontaminate,
     html_text,
     license_scan,
@@ -252,3 +253,9 @@ def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.get("items", F.lit(0))["item_id"].alias("first_item_id"),
         F.array_join(shown, " ").alias("found"),
     )
+
+
+@query("op11_cross_tokenizer_alignment")
+def cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = [tokenizer_path(spark, name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return cross_tokenizer.Alignment(table(spark, sf_dir, "documents"), *paths).scored_documents()
