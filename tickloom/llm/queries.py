@@ -18,6 +18,7 @@ from tickloom.llm import (
     license_scan,
     line_dedup,
     preference_chat,
+    prefix_trie,
     quality_classifier,
     sentencepiece_nbest,
     token_files,
@@ -259,3 +260,51 @@ def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = [tokenizer_path(spark, name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
     return cross_tokenizer.Alignment(table(spark, sf_dir, "documents"), *paths).scored_documents()
+
+
+TRIE_SQL = """WITH RECURSIVE o AS (
+        SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+               row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+        FROM conversations WHERE conv_id IS NOT NULL),
+    bits(b) AS (SELECT range FROM range(8)),
+    crc_table AS (
+        SELECT n, list_reduce(list_prepend(n, range(8)), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS v
+        FROM (SELECT range AS n FROM range(256))),
+    lookup AS (SELECT list(v ORDER BY n) AS t FROM crc_table),
+    ids AS (SELECT conv_id, count(*) AS n, conv_id - conv_id % 20 AS root FROM o GROUP BY conv_id),
+    h AS (
+        SELECT conv_id, n, root, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+                   list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+                   lambda c, x: xor(c // 256, t[CAST(xor(c % 256, x) AS BIGINT) + 1])), CAST(4294967295 AS BIGINT)) % 4 AS h
+        FROM ids, lookup),
+    turns AS (
+        SELECT h.conv_id, 0 AS own, o.place, role, text FROM h JOIN o ON o.conv_id = h.root AND o.place <= h.h
+        UNION ALL SELECT h.conv_id, 1, o.place, role, text FROM h JOIN o ON o.conv_id = h.conv_id AND o.place > h.h),
+    numbered AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY own, place) AS depth, role, text FROM turns),
+    convs AS (
+        SELECT h.conv_id, count(depth) AS len,
+               coalesce(list(sha256(to_json([role, text])) ORDER BY depth) FILTER (depth IS NOT NULL), []) AS s,
+               coalesce(list(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) ORDER BY depth) FILTER (depth IS NOT NULL), []) AS w
+        FROM h LEFT JOIN numbered USING (conv_id) GROUP BY h.conv_id),
+    prefixes AS (
+        SELECT conv_id, len, unnest(range(0, len + 1)) AS depth, s, w FROM convs),
+    nodes AS (
+        SELECT array_to_string(s[1:depth], '/') AS path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+               array_to_string(any_value(s[1:depth - 1]), '/') AS parent, CASE WHEN depth > 0 THEN any_value(w[depth]) ELSE 0 END AS words,
+               sha256(coalesce(string_agg(conv_id, ',' ORDER BY conv_id) FILTER (len = depth), '')) AS ends_sha256, max(len) AS longest
+        FROM prefixes GROUP BY path, depth),
+    under AS (
+        SELECT DISTINCT array_to_string(p.s[1:p.depth], '/') AS path, p.depth, n.path AS low, n.depth AS low_depth, n.n_convs, n.words, n.longest
+        FROM prefixes p JOIN convs c ON c.conv_id = p.conv_id JOIN nodes n ON n.depth >= p.depth AND n.depth <= c.len AND n.path = array_to_string(c.s[1:n.depth], '/')),
+    sums AS (
+        SELECT path, depth, count(*) FILTER (longest = low_depth) AS n_leaves, CAST(sum((n_convs - 1) * words) AS BIGINT) AS saved_tokens,
+               count(*) FILTER (low_depth = depth + 1) AS n_children
+        FROM under GROUP BY path, depth)
+    SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n_children, n_leaves, saved_tokens, n.ends_sha256
+    FROM nodes n JOIN sums s ON s.path = n.path AND s.depth = n.depth LEFT JOIN nodes p ON n.depth > 0 AND p.depth = n.depth - 1 AND p.path = n.parent"""
+
+
+@query("op12_conversation_prefix_trie", TRIE_SQL)
+def conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = prefix_trie.place_turns(table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(*prefix_trie.rebuild(placed))
