@@ -14,6 +14,7 @@ from tickloom.llm import (
     cross_polytope,
     cross_tokenizer,
     decontaminate,
+    disclosure,
     html_text,
     license_scan,
     line_dedup,
@@ -308,3 +309,88 @@ TRIE_SQL = """WITH RECURSIVE o AS (
 def conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = prefix_trie.place_turns(table(spark, sf_dir, "conversations"))
     return prefix_trie.prefix_trie(*prefix_trie.rebuild(placed))
+
+
+def _pii_sql(reach: int = 100, min_contexts: int = 3, generalise_at: float = 0.9, least_chars: int = 3) -> str:
+    """SQL of personal data and of the terms that disclose it, by the plain patterns."""
+    patterns = {
+        "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+        "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+        "card": r"[0-9]([\x20-]?[0-9])+",
+        "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+    }
+    digits = "regexp_replace(value, '[^0-9]', '', 'g')"
+    doubled = "list_transform(range(1, len(d) + 1), lambda i: CASE WHEN i % 2 = 1 THEN CAST(d[i] AS INT) WHEN CAST(d[i] AS INT) < 5 THEN 2 * CAST(d[i] AS INT) ELSE 2 * CAST(d[i] AS INT) - 9 END)"
+    ends = r"^[!-/:-@\[-`{-~]+|[!-/:-@\[-`{-~]+$"
+    low = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    each = " UNION ALL ".join(
+        f"SELECT row, id, text, '{kind}' AS kind, {rank} AS rank, regexp_extract_all(text, '{p}') AS v, string_split_regex(text, '{p}') AS g FROM docs"
+        for rank, (kind, p) in enumerate(patterns.items())
+    )
+    def terms(words: str) -> str:
+        return f"list_filter(list_distinct(list_transform({words}, lambda w: regexp_replace({low.format('w')}, '{ends}', '', 'g'))), lambda w: length(w) >= {least_chars})"
+
+    return f"""WITH docs AS (SELECT row_number() OVER () AS row, doc_id AS id, coalesce(text, '') AS text FROM documents),
+    raw AS ({each}),
+    found AS (
+        SELECT row, id, text, kind, rank, unnest(v) AS value, unnest(range(1, len(v) + 1)) AS i, v, g FROM raw WHERE len(v) > 0),
+    placed AS (
+        SELECT row, id, text, kind, rank, value, length(array_to_string(g[1:i], '')) + length(array_to_string(v[1:i - 1], '')) AS start FROM found),
+    tested AS (
+        SELECT *, start + length(value) AS stop, list_reverse(string_split({digits}, '')) AS d FROM placed),
+    base AS (
+        SELECT row, id, text, kind, rank, start, stop,
+               kind || ':' || CASE kind WHEN 'email' THEN {low.format("value")} WHEN 'ip' THEN value ELSE {digits} END AS entity
+        FROM tested WHERE CASE kind WHEN 'email' THEN true
+            WHEN 'ip' THEN len(list_filter(string_split(value, '.'), lambda x: length(ltrim(x, '0')) > 3 OR (length(ltrim(x, '0')) = 3 AND ltrim(x, '0') > '255'))) = 0
+            WHEN 'card' THEN len(d) BETWEEN 14 AND 19 AND list_sum({doubled}) % 10 = 0
+            ELSE len(d) BETWEEN 10 AND 15 END),
+    cut AS (
+        SELECT row, entity, string_split_regex(substring(text, CAST(greatest(start - {reach}, 0) AS BIGINT) + 1, CAST(least(start, {reach}) AS BIGINT)), '[\\x20\\x09-\\x0D]') AS l,
+               CASE WHEN start > {reach} THEN 1 ELSE 0 END AS first,
+               string_split_regex(substring(text, CAST(stop AS BIGINT) + 1, {reach}), '[\\x20\\x09-\\x0D]') AS r,
+               CASE WHEN length(text) > stop + {reach} THEN 1 ELSE 0 END AS last FROM base),
+    mentions AS (
+        SELECT entity, row, list_sort(list_distinct(flatten(list({terms("list_concat(l[first + 1:len(l) - 1], r[2:len(r) - last])")})))) AS terms FROM cut GROUP BY entity, row),
+    known AS (SELECT entity, count(*) AS n_entity FROM mentions GROUP BY entity HAVING count(*) >= {min_contexts}),
+    pairs AS (
+        SELECT entity, n_entity, term, count(*) AS n_both
+        FROM (SELECT entity, n_entity, terms, unnest(terms) AS term FROM mentions JOIN known USING (entity))
+        GROUP BY entity, n_entity, term HAVING count(DISTINCT terms) >= {min_contexts}),
+    words AS (SELECT row, id, unnest({terms("string_split_regex(text, '[\\x20\\x09-\\x0D]')")}) AS term FROM docs),
+    frequency AS (SELECT term, count(*) AS n_term FROM words WHERE term IN (SELECT term FROM pairs) GROUP BY term),
+    disclosing AS (
+        SELECT entity, term FROM pairs JOIN frequency USING (term), (SELECT count(*) AS n FROM docs)
+        WHERE n_entity < n AND 1.0 + ln(n_both / n_term) / ln(CAST(n AS DOUBLE) / n_entity) >= {generalise_at}),
+    wanted AS (SELECT DISTINCT row, term FROM base JOIN disclosing USING (entity)),
+    pieces AS (
+        SELECT row, regexp_extract_all(text, '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+') AS p FROM docs WHERE row IN (SELECT row FROM wanted)),
+    each_piece AS (SELECT row, p, unnest(range(1, len(p) + 1)) AS i FROM pieces),
+    located AS (
+        SELECT row, regexp_replace(p[i], '^[\\x20\\x09-\\x0D]+', '') AS word, length(array_to_string(p[1:i], '')) AS through FROM each_piece),
+    bare AS (
+        SELECT row, regexp_replace({low.format("word")}, '{ends}', '', 'g') AS term,
+               through - length(word) + length(regexp_extract(word, '^[!-/:-@\\[-`{{-~]*')) AS start FROM located),
+    hits AS (
+        SELECT row, 'term' AS kind, 4 AS rank, start, start + length(term) AS stop FROM bare JOIN wanted USING (row, term)
+        WHERE NOT EXISTS (SELECT 1 FROM base WHERE base.row = bare.row AND base.start < bare.start + length(term) AND base.stop > bare.start)),
+    spans AS (SELECT row, kind, rank, start, stop FROM base UNION ALL SELECT * FROM hits)
+    SELECT docs.id AS doc_id, count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip,
+           count(*) FILTER (kind = 'card') AS n_card, count(*) FILTER (kind = 'phone') AS n_phone,
+           sha256(coalesce(string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) FILTER (kind <> 'term'), '')) AS base_sha256,
+           coalesce(string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank), '') AS spans
+    FROM docs LEFT JOIN spans ON spans.row = docs.row GROUP BY docs.row, docs.id"""
+
+
+@query("op13_personal_data_disclosure", _pii_sql())
+def personal_data_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = disclosure.Disclosure(table(spark, sf_dir, "documents").select("doc_id", "text")).find()
+    base = F.filter("pii", lambda s: s["kind"] != disclosure.TERM)
+
+    def count(kind: str):
+        return F.size(F.filter("pii", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(kind) for kind in disclosure.KINDS]
+    return found.select(
+        "doc_id", *counts, F.sha2(disclosure.shown(base), 256).alias("base_sha256"), disclosure.shown(F.col("pii")).alias("spans")
+    )
