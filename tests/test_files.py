@@ -12,6 +12,7 @@ from tickloom.operators.quality import QualityGateError
 from tickloom.plans.jobs import JobConfig, curate, main, parse_arguments, require_date, transform_directory, validate_and_load
 from tickloom.schema import FACT_COLUMNS, RAW_COLUMNS, WAREHOUSE_SCHEMA, decimal_overflows, to_warehouse_types
 from tickloom.sinks import curated, warehouse
+from tickloom.sinks.versioned import open_table
 from tickloom.sources import files, json_bars, payloads
 from tickloom.streaming.ingest import ingest_new_files
 from tests.conftest import RAW_ROW
@@ -126,7 +127,7 @@ def test_curate_writes_once_and_can_be_repeated(spark, landed, tmp_path):
     for _ in range(2):
         summary = curate(spark, config, datetime(2024, 2, 1))
     assert (summary["rows_read"], summary["rows_cleansed"], summary["rows_enriched"]) == (20, 20, 20)
-    processed = spark.read.parquet(f"{tmp_path}/out/processed")
+    processed = open_table(spark, f"{tmp_path}/out/processed").read()
     assert processed.count() == 20 and set(processed.columns) == set(FACT_COLUMNS)
     assert files.read_snapshot(spark, f"{tmp_path}/out", "2024-01-31").count() == 20
     assert files.output_summary(files.read_snapshot(spark, f"{tmp_path}/out", "2024-01-31")).first()["files"] == 1
@@ -137,7 +138,7 @@ def test_curate_keeps_other_months(spark, landed, tmp_path):
     write(f"{landed}/stock_data/date=2024-02-29/a.json", [{**RAW_ROW, "timestamp": "2024-02-05"}])
     for day in ("2024-01-31", "2024-02-29"):
         curate(spark, JobConfig(landed, f"{tmp_path}/out", day))
-    months = spark.read.parquet(f"{tmp_path}/out/processed").groupBy("month").count()
+    months = open_table(spark, f"{tmp_path}/out/processed").read().groupBy("month").count()
     assert {r["month"]: r["count"] for r in months.collect()} == {1: 20, 2: 1}
 
 
@@ -145,7 +146,7 @@ def test_curate_merges_into_a_month(spark, landed, tmp_path):
     write(f"{landed}/stock_data/date=2024-02-01/a.json", [{**RAW_ROW, "timestamp": "2024-01-31"}])
     for day in ("2024-01-31", "2024-02-01"):
         curate(spark, JobConfig(landed, f"{tmp_path}/out", day, merge=True))
-    assert spark.read.parquet(f"{tmp_path}/out/processed").count() == 21
+    assert open_table(spark, f"{tmp_path}/out/processed").read().count() == 21
 
 
 def test_curate_without_input_writes_nothing(spark, landed, tmp_path):
@@ -159,7 +160,7 @@ def test_curate_with_long_series(spark, landed, tmp_path):
     now = datetime(2024, 2, 1)
     curate(spark, JobConfig(landed, f"{tmp_path}/a", "2024-01-31"), now)
     curate(spark, JobConfig(landed, f"{tmp_path}/b", "2024-01-31", rows_per_block=3), now)
-    a, b = (spark.read.parquet(f"{tmp_path}/{n}/processed") for n in "ab")
+    a, b = (open_table(spark, f"{tmp_path}/{n}/processed").read() for n in "ab")
     assert a.count() == b.count() and a.exceptAll(b).isEmpty()
 
 
@@ -174,9 +175,9 @@ def test_gate_blocks_the_load(spark, landed, tmp_path):
     paths = f"{tmp_path}/fact", f"{tmp_path}/audit"
     done = validate_and_load(spark, config, *paths)
     assert done["table_rows"] == 20 and done["evaluated"] == 34
-    assert require_date(spark.read.parquet(paths[0]), "2024-01-05") == 2
+    assert require_date(open_table(spark, paths[0]).read(), "2024-01-05") == 2
     with pytest.raises(warehouse.LoadError):
-        require_date(spark.read.parquet(paths[0]), "2024-03-05")
+        require_date(open_table(spark, paths[0]).read(), "2024-03-05")
     write(f"{landed}/stock_data/date=2024-02-02/bad.json", envelope("AAPL", [2], close_price=None))
     with pytest.raises(QualityGateError, match="close_price"):
         validate_and_load(spark, JobConfig(landed, f"{tmp_path}/out", "2024-02-02"), *paths)
@@ -303,14 +304,14 @@ def test_stream_reads_each_file_once_and_repeats_safely(spark, landed, tmp_path)
         return sum(p["numInputRows"] for p in query.recentProgress)
 
     assert run() == 2
-    assert spark.read.parquet(table).count() == 20
+    assert open_table(spark, table).read().count() == 20
     assert run() == 0
     write(f"{landed}/stock_data/date=2024-02-01/symbol=AAPL/a.json", envelope("AAPL", [11, 12], volume=7))
     assert run() == 1
-    assert spark.read.parquet(table).count() == 21
+    assert open_table(spark, table).read().count() == 21
     # All files once more, as after a lost checkpoint: in an order of its own, but no row twice.
     run(f"{tmp_path}/again")
-    assert spark.read.parquet(table).count() == 21
+    assert open_table(spark, table).read().count() == 21
 
 
 def test_command_line(spark, landed, tmp_path, capsys):

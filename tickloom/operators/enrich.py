@@ -63,8 +63,8 @@ def finish(
     rows: DataFrame,
     run_time: datetime | Column | None = None,
     week_start: str = "sunday",
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Rows with indicators to fact rows: date dimensions, metadata, the fixed columns."""
-    return select_fact_columns(
-        with_metadata(with_date_dimensions(rows, week_start), run_time)
-    )
+    """Rows with indicators to fact rows: date dimensions, metadata, the fixed columns and those to ``keep``."""
+    full = with_metadata(with_date_dimensions(rows, week_start), run_time)
+    return full.select(*select_fact_columns(full).columns, *keep)

@@ -46,12 +46,12 @@ def moving_averages(spark, sf_dir):
 
 @checked(
     "w6_full_window_averages",
-    f"""WITH {SHIP_BARS} SELECT symbol, trade_date, {sma(5, min_periods=5)} AS sma_5,
+    f"""WITH {SHIP_BARS} SELECT symbol, trade_date, {sma(5, min_periods=5)} AS sma_5, {sma(20, min_periods=20)} AS sma_20,
     {sma(50, min_periods=50)} AS sma_50 FROM ship_bars""",
 )
 def full_window_averages(spark, sf_dir):
-    return ind.with_full_window_averages(dated(ship_bars(spark, sf_dir)), (5, 50)).select(
-        *KEY, "sma_5", "sma_50"
+    return ind.with_full_window_averages(dated(ship_bars(spark, sf_dir)), (5, 20, 50)).select(
+        *KEY, "sma_5", "sma_20", "sma_50"
     )
 
 
@@ -141,16 +141,31 @@ def enriched_long_series(spark, sf_dir):
     )
 
 
+def _recursive_with_gaps(span: int) -> str:
+    """The recursion where prices are missing: the average carries on while its weight decays, so that the next
+    price counts k / (k + (1 - k)^(m + 1)) after m missing ones. ``seen`` has the prices and the gaps before them."""
+    k = f"(CAST(2 AS DOUBLE) / {span + 1})"
+    weight = f"({k} / ({k} + (1 - {k}) ** (x.gap + 1)))"
+    return f"""round(list_reduce(seen, lambda a, x: {{'price': {weight} * x.price + (1 - {weight}) * a.price, 'gap': 0::BIGINT}}).price, 4)"""
+
+
 @checked(
     "w8_recursive_ema_long_series",
-    f"""WITH {DATED}, valid AS (SELECT * FROM dated WHERE close_price IS NOT NULL)
-    SELECT symbol, "timestamp", {_recursive(12, BY_TIME)} AS ema_recursive_12 FROM valid""",
+    f"""WITH {DATED}, placed AS (
+      SELECT symbol, "timestamp", trade_date, close_price, row_number() OVER (PARTITION BY symbol ORDER BY {BY_TIME}) AS place FROM dated),
+    gaps AS (
+      SELECT *, CASE WHEN close_price IS NOT NULL THEN {{'price': close_price, 'gap': coalesce(place - 1 - max(CASE WHEN close_price IS NOT NULL THEN place END)
+        OVER (PARTITION BY symbol ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)}} END AS x FROM placed),
+    lists AS (
+      SELECT symbol, "timestamp", list(x) FILTER (x IS NOT NULL) OVER (PARTITION BY symbol ORDER BY place ROWS UNBOUNDED PRECEDING) AS seen FROM gaps)
+    SELECT symbol, "timestamp", {_recursive_with_gaps(12)} AS ema_recursive_12, {_recursive_with_gaps(26)} AS ema_recursive_26 FROM lists""",
 )
 def recursive_ema_long_series(spark, sf_dir):
-    bars = standardise_dates(cleanse(dirty_bars(spark, sf_dir))).filter("close_price IS NOT NULL")
+    """All rows, also those without a price, in blocks of few rows."""
+    bars = standardise_dates(cleanse(dirty_bars(spark, sf_dir)))
     rows = store(bars.select("symbol", "timestamp", "trade_date", "trade_timestamp", "close_price"), "closes")
     blocked = cut_long_series(rows, BAR_SERIES, 0, rows_per_block=32)
-    return with_recursive_ema_blocked(blocked, (12,)).select("symbol", "timestamp", "ema_recursive_12")
+    return with_recursive_ema_blocked(blocked).select("symbol", "timestamp", "ema_recursive_12", "ema_recursive_26")
 
 
 @checked(

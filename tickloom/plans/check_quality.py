@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tickloom.operators import quality as q
+from tickloom.operators import file_gate, quality as q
 from tickloom.operators.enrich import standardise_dates
+from tickloom.plans import landing
 from tickloom.plans.derived import daily_fact, dirty_bars, event_bars, ship_bars, type_bars
-from tickloom.plans.oracle import DIRTY_BARS, EVENT_BARS, SHIP_BARS, TYPE_BARS
+from tickloom.plans.oracle import DIRTY_BARS, EVENT_BARS, RAW_LIST, SHIP_BARS, TYPE_BARS
 from tickloom.plans.registry import checked
+from tickloom.schema import RAW_COLUMNS
+from tickloom.sources import json_bars
 
 OUTCOME = ["rule_no", "expectation_type", "column_name", "success", "considered", "violations", "success_rate"]
 
@@ -133,27 +136,84 @@ def null_percentages(spark, sf_dir):
     return results.select("column_name", details.alias("d")).select("column_name", "d.*")
 
 
-@checked(
-    "v25_results_per_symbol",
-    f"WITH {DIRTY_BARS} {outcomes('dirty_bars', FULL_RULES[2:8], by='symbol')}",
-)
-def results_per_symbol(spark, sf_dir):
-    """The rules per group in one pass, as the gate runs them per source file."""
-    suite = q.Suite("prices", q.FULL_SUITE.rules[3:9])
-    results = q.evaluate(dirty_bars(spark, sf_dir), suite, by=["symbol"])
-    return results.withColumn("rule_no", F.col("rule_no") + 3).select("symbol", *OUTCOME)
+# Files that the gate must judge beside those of the dirty bars: one without fault, one without
+# records, one that is no JSON, and one whose records lack columns.
+ODD_FILES = {
+    "good": '{"meta": {"symbol": "ABC"}, "data": [{"symbol": "ABC", "timestamp": "2024-01-02", "open_price": 1.5, '
+    '"high_price": 2.5, "low_price": 0.5, "close_price": 1.0, "adjusted_close": 1.0, "volume": 5, "dividend_amount": 0.0, '
+    '"split_coefficient": 1.0}]}',
+    "empty": '{"meta": {"symbol": "ABC"}, "data": []}',
+    "broken": '{"meta": {"symbol": "ABC"}, "data": [',
+    "poor": '{"data": [{"symbol": "ABC", "timestamp": "2024-01-02", "open_price": 1.5, "close_price": 1.0, "volume": 5}]}',
+}
+FILE_OF_BAR = "coalesce(right(upper(trim(symbol)), 1), 'none')"
+RAW_NAMES = ", ".join(f"'{c}'" for c in RAW_COLUMNS)
+
+
+def _file_rule(number: int, kind: str, column: str, mostly: float, present: str, violated: str) -> str:
+    needed = [c for c in RAW_COLUMNS if f'{c}' in f"{column},{violated}".replace('"', "").replace(",", " ").split()]
+    lacking = f"len(list_filter([{', '.join(repr(c) for c in needed)}], lambda c: NOT list_contains(columns, c))) > 0"
+    share = "CASE WHEN coalesce(n, 0) > 0 THEN 1 - bad / CAST(n AS DOUBLE) ELSE 1 END"
+    return f"""SELECT file, CAST({number} AS INTEGER) AS rule_no, '{kind}' AS expectation_type, '{column}' AS column_name,
+      CASE WHEN {lacking} THEN FALSE ELSE {share} >= {mostly} END AS success,
+      CASE WHEN NOT {lacking} THEN coalesce(n, 0) END AS considered, CASE WHEN NOT {lacking} THEN coalesce(bad, 0) END AS violations,
+      CASE WHEN NOT {lacking} THEN round({share}, 4) END AS success_rate
+    FROM files LEFT JOIN (SELECT file, count(*) FILTER ({present}) AS n, count(*) FILTER (({present}) AND ({violated})) AS bad
+                          FROM all_bars GROUP BY 1) USING (file)"""
+
+
+def files_suite() -> str:
+    """CTEs and the outcomes of the full suite for every file."""
+    rules = " UNION ALL ".join(_file_rule(*rule) for rule in FULL_RULES)
+    return f"""{DIRTY_BARS}, all_bars AS (
+      SELECT {FILE_OF_BAR} AS file, {RAW_LIST} FROM dirty_bars
+      UNION ALL SELECT 'good', 'ABC', '2024-01-02', 1.5, 2.5, 0.5, 1.0, 1.0, 5, 0.0, 1.0
+      UNION ALL SELECT 'poor', 'ABC', '2024-01-02', 1.5, NULL, NULL, 1.0, NULL, 5, NULL, NULL),
+    files AS (
+      SELECT DISTINCT {FILE_OF_BAR} AS file, [{RAW_NAMES}] AS columns FROM dirty_bars
+      UNION ALL SELECT 'good', [{RAW_NAMES}]
+      UNION ALL SELECT 'poor', ['symbol', 'timestamp', 'open_price', 'close_price', 'volume']
+      UNION ALL SELECT 'empty', [] UNION ALL SELECT 'broken', []),
+    results AS ({rules}
+      UNION ALL SELECT file, 1, '{q.ORDERED_COLUMNS}', NULL, columns = [{RAW_NAMES}], NULL, NULL, NULL FROM files
+      UNION ALL SELECT file, 15, '{q.ROW_COUNT}', NULL, coalesce(n, 0) BETWEEN 1 AND 50000, coalesce(n, 0), NULL, NULL
+        FROM files LEFT JOIN (SELECT file, count(*) AS n FROM all_bars GROUP BY 1) USING (file)
+      UNION ALL SELECT 'broken', 0, '{file_gate.READABLE}', NULL, FALSE, 1, 1, 0.0)"""
+
+
+def _judged_files(spark, sf_dir):
+    """The full suite over a folder of one file per last letter of the symbol, and the odd files."""
+    bars = dirty_bars(spark, sf_dir).withColumn("file", F.expr(FILE_OF_BAR))
+    path = landing.land_named_files(bars, ODD_FILES)
+    rows = json_bars.read_bars(spark, path, pattern="part-*", multi_line=False)
+    results = file_gate.evaluate_files(spark, path, q.FULL_SUITE, rows, pattern="part-*", multi_line=False)
+    return results.withColumn("file", F.regexp_extract("source_file", "file=([^/]*)/", 1)).drop("source_file")
+
+
+@checked("v25_results_per_file", f"WITH {files_suite()} SELECT * FROM results")
+def results_per_file(spark, sf_dir):
+    """All 17 rules for every listed file in one pass, files without rows included."""
+    return _judged_files(spark, sf_dir).select("file", *OUTCOME)
 
 
 @checked(
     "v25_gate_verdict",
-    f"""WITH {DIRTY_BARS}, results AS ({outcomes('dirty_bars', FULL_RULES[2:8], by='symbol')}),
-    files AS (SELECT symbol, bool_and(success) AS success FROM results GROUP BY 1)
+    f"""WITH {files_suite()}, verdicts AS (SELECT file, bool_and(success) AS success FROM results GROUP BY 1)
     SELECT count(*) AS files, count(*) FILTER (success) AS passed_files,
-    count(*) FILTER (NOT success) AS failed_files, bool_and(success) AS overall_success FROM files""",
+    count(*) FILTER (NOT success) AS failed_files, bool_and(success) AS overall_success FROM verdicts""",
 )
 def gate_verdict(spark, sf_dir):
-    suite = q.Suite("prices", q.FULL_SUITE.rules[3:9])
-    return q.verdict(q.report(q.evaluate(dirty_bars(spark, sf_dir), suite, by=["symbol"]), by=["symbol"]))
+    return q.verdict(q.report(_judged_files(spark, sf_dir), by=["file"]))
+
+
+@checked(
+    "v25_results_per_symbol",
+    f"WITH {DIRTY_BARS} {outcomes('dirty_bars', FULL_RULES, by='symbol')}",
+)
+def results_per_symbol(spark, sf_dir):
+    """The row-level rules of the full suite per group in one pass."""
+    results = q.evaluate(dirty_bars(spark, sf_dir), q.FULL_SUITE, by=["symbol"])
+    return results.filter(F.col("column_name").isNotNull()).select("symbol", *OUTCOME)
 
 
 @checked(
@@ -210,10 +270,14 @@ def summary_by_symbol(spark, sf_dir):
 
 @checked(
     "v30_rows_per_date",
-    f"WITH {SHIP_BARS} SELECT trade_date, count(*) AS row_count, count(*) > 0 AS loaded FROM ship_bars GROUP BY 1",
+    f"""WITH {SHIP_BARS}, days AS (SELECT DISTINCT trade_date FROM ship_bars UNION SELECT trade_date + 1 FROM ship_bars)
+    SELECT days.trade_date, count(ship_bars.trade_date) AS row_count, count(ship_bars.trade_date) > 0 AS loaded
+    FROM days LEFT JOIN ship_bars ON ship_bars.trade_date = days.trade_date GROUP BY 1""",
 )
 def rows_per_date(spark, sf_dir):
-    dated = standardise_dates(ship_bars(spark, sf_dir))
-    return dated.groupBy("trade_date").agg(
-        F.count("*").alias("row_count"), (F.count("*") > 0).alias("loaded")
-    )
+    """Rows of every date and of the day after each, which may have none."""
+    dated = standardise_dates(ship_bars(spark, sf_dir)).select("trade_date")
+    days = dated.unionByName(dated.select(F.date_add("trade_date", 1).alias("trade_date"))).distinct()
+    counts = dated.groupBy("trade_date").agg(F.count("*").alias("n"))
+    rows = F.coalesce("n", F.lit(0))
+    return days.join(counts, "trade_date", "left").select("trade_date", rows.alias("row_count"), (rows > 0).alias("loaded"))

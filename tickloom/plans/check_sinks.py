@@ -13,6 +13,7 @@ from tickloom.plans.registry import checked
 from tickloom.schema import FACT_COLUMNS, WAREHOUSE_DECIMALS, to_warehouse_types
 from tickloom.session import partitions_for, scratch_path, store, stored_bytes
 from tickloom.sinks import curated, warehouse
+from tickloom.sinks.versioned import open_table
 from tickloom.sources.files import file_inventory, read_csv_bars
 
 EVENT_FACT = f"{EVENT_BARS}, {fact('event_bars')}"
@@ -136,14 +137,44 @@ UPSERTED = """SELECT price_id, trade_date, CASE WHEN {new} THEN close_price + 1
     + UPSERTED.format(old="trade_date < DATE '1999-07-01'", new="trade_date >= DATE '1999-01-01'"),
 )
 def key_upsert(spark, sf_dir):
-    """The first half is loaded; then rows overlapping it are merged by key."""
-    path = scratch_path(spark, "upserted")
+    """The first half is loaded; then rows overlapping it are merged by key, in one commit."""
     rows = store(ship_fact(spark, sf_dir), "fact")
-    warehouse.append(rows.filter("trade_date < DATE'1999-07-01'"), path)
+    table = open_table(spark, scratch_path(spark, "upserted"))
+    table.append(rows.filter("trade_date < DATE'1999-07-01'"))
     later = rows.filter("trade_date >= DATE'1999-01-01'")
     changed = store(later.withColumn("close_price", F.col("close_price") + 1), "staging")
-    table = warehouse.upsert(changed, path)
-    return table.select("price_id", "trade_date", "close_price", "volume")
+    return table.upsert(changed, fixed_partition=True).read().select("price_id", "trade_date", "close_price", "volume")
+
+
+@checked(
+    "k9_moved_keys",
+    f"""WITH {EVENT_FACT} SELECT price_id, CASE WHEN volume % 3 = 0 THEN trade_date + 40 ELSE trade_date END AS trade_date,
+    CAST(month(CASE WHEN volume % 3 = 0 THEN trade_date + 40 ELSE trade_date END) AS INTEGER) AS month,
+    CASE WHEN volume % 3 = 0 THEN volume + 1000 ELSE volume END AS volume FROM fact""",
+)
+def moved_keys(spark, sf_dir):
+    """Keys whose rows come back with another date: each is found in its old partition and stored once."""
+    rows = store(event_fact(spark, sf_dir).select("price_id", "symbol", "trade_date", "volume", "year", "month"), "fact")
+    table = open_table(spark, scratch_path(spark, "moved")).append(rows)
+    later = F.date_add("trade_date", 40)
+    moved = rows.filter("volume % 3 = 0").withColumns(
+        {"trade_date": later, "year": F.year(later), "month": F.month(later), "volume": F.col("volume") + 1000}
+    )
+    return table.upsert(store(moved, "staging")).read().select("price_id", "trade_date", "month", "volume")
+
+
+@checked(
+    "k9_earlier_version",
+    f"""WITH {EVENT_FACT} SELECT CAST(1 AS INTEGER) AS version, price_id, volume FROM fact
+    UNION ALL SELECT 2, price_id, volume + 1 FROM fact""",
+)
+def earlier_version(spark, sf_dir):
+    """A reader of the version before an upsert still sees all its rows."""
+    rows = store(event_fact(spark, sf_dir).select("price_id", "trade_date", "volume", "year", "month"), "fact")
+    table = open_table(spark, scratch_path(spark, "versions")).append(rows)
+    table.upsert(store(rows.withColumn("volume", F.col("volume") + 1), "staging"), fixed_partition=True)
+    shown = [table.at(n).read().select(F.lit(n).alias("version"), "price_id", "volume") for n in (1, 2)]
+    return shown[0].unionByName(shown[1])
 
 
 @checked(
@@ -152,11 +183,10 @@ def key_upsert(spark, sf_dir):
     ELSE volume END AS volume FROM fact""",
 )
 def date_replace(spark, sf_dir):
-    path = scratch_path(spark, "replaced")
     rows = store(event_fact(spark, sf_dir), "fact")
-    warehouse.append(rows, path)
+    table = open_table(spark, scratch_path(spark, "replaced")).append(rows)
     day = rows.filter("trade_date = DATE'2024-01-15'").withColumn("volume", F.col("volume") + 1000)
-    return warehouse.replace_date(day, path, "2024-01-15").select("price_id", "volume")
+    return table.replace_date(day, "2024-01-15").read().select("price_id", "volume")
 
 
 @checked(
@@ -181,12 +211,10 @@ def repeated_run(spark, sf_dir):
 )
 def insert_if_absent(spark, sf_dir):
     """Rows the table has are left as they are; repeated new rows go in once."""
-    path = scratch_path(spark, "inserted")
     rows = store(event_fact(spark, sf_dir), "fact")
-    warehouse.append(rows.filter("trade_date < DATE'2024-01-20'"), path)
+    table = open_table(spark, scratch_path(spark, "inserted")).append(rows.filter("trade_date < DATE'2024-01-20'"))
     staging = rows.withColumn("volume", F.col("volume") + 1000)
-    warehouse.insert_if_absent(staging.unionByName(staging), path, ("price_id",))
-    return spark.read.schema(rows.schema).parquet(path).select("price_id", "volume")
+    return table.insert_if_absent(staging.unionByName(staging), ("price_id",), fixed_partition=True).read().select("price_id", "volume")
 
 
 @checked("k13_compaction", f"WITH {SHIP_FACT} SELECT * FROM fact")
@@ -198,6 +226,28 @@ def compaction(spark, sf_dir):
     return spark.read.schema(rows.schema).parquet(path).select(FACT_COLUMNS)
 
 
+@checked(
+    "k13_incremental_compaction",
+    f"""WITH {EVENT_FACT} SELECT count(*) AS row_count, CAST(sum(volume) AS BIGINT) AS volume, TRUE AS fewer_units,
+    TRUE AS one_unit_per_partition, TRUE AS older_version_whole, CAST(0 AS BIGINT) AS merged_again FROM fact""",
+)
+def incremental_compaction(spark, sf_dir):
+    """Four appends leave four units a partition; compaction merges them, and once more finds nothing to do."""
+    rows = store(event_fact(spark, sf_dir), "fact")
+    table = open_table(spark, scratch_path(spark, "units"))
+    for part in range(4):
+        table.append(rows.filter(F.pmod(F.hash("price_id"), F.lit(4)) == part))
+    before = table.version
+    merged = table.compact()
+    again = table.compact()
+    units = table.units().agg(F.count("*").alias("units"), F.countDistinct(F.regexp_extract("unit", "/(.*)$", 1)).alias("partitions")).first()
+    older = table.at(before).read().count()
+    return table.read().agg(F.count("*").alias("row_count"), F.sum("volume").alias("volume")).select(
+        "*", F.lit(merged > units.units).alias("fewer_units"), F.lit(units.units == units.partitions).alias("one_unit_per_partition"),
+        (F.col("row_count") == older).alias("older_version_whole"), F.lit(again).cast("long").alias("merged_again"),
+    )
+
+
 @checked(
     "k14_statistics",
     f"WITH {SHIP_BARS} SELECT count(*) AS row_count, count(DISTINCT symbol) > 0 AS has_symbols FROM ship_bars",

@@ -70,10 +70,11 @@ def read_by_extension(spark, sf_dir):
     stored = spark.read.parquet(f"{base}/bars.parquet")
     stored.write.option("header", True).csv(f"{base}/bars.csv")
     stored.write.option("header", True).csv(f"{base}/bars.dat")
-    landing.land_arrays(stored, f"{base}/bars.json")
+    # One envelope per file: there are few symbols.
+    landing.envelopes(stored).write.partitionBy("symbol").json(f"{base}/bars.json")
     read = {
         "csv": files.read_by_extension(spark, f"{base}/bars.csv"),
-        "json": json_bars.read_bars(spark, f"{base}/bars.json", pattern="*.txt"),
+        "json": files.read_by_extension(spark, f"{base}/bars.json"),
         "parquet": files.read_by_extension(spark, f"{base}/bars.parquet"),
         "unknown": files.read_by_extension(spark, f"{base}/bars.dat"),
     }

@@ -5,6 +5,8 @@ from __future__ import annotations
 import argparse
 import math
 import sys
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date, datetime
 
@@ -12,7 +14,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tickloom.functions.indicators import with_indicators
-from tickloom.operators import quality, reports, skew
+from tickloom.operators import incremental, quality, reports, skew
 from tickloom.operators.cleanse import cleanse
 from tickloom.operators.enrich import (
     BAR_SERIES,
@@ -20,10 +22,12 @@ from tickloom.operators.enrich import (
     finish,
     standardise_dates,
 )
+from tickloom.operators.file_gate import evaluate_files
 from tickloom.operators.long_series import ROWS_PER_BLOCK, cut_long_series
 from tickloom.schema import to_warehouse_types
 from tickloom.session import job_session, partitions_for, store, stored_bytes
 from tickloom.sinks import curated, warehouse
+from tickloom.sinks.versioned import VersionedTable
 from tickloom.sources.files import read_snapshot, require_output
 from tickloom.sources.json_bars import date_path, read_date_partition, scan_directory
 
@@ -45,6 +49,8 @@ class JobConfig:
     # A run brings some days of a month; the others stay unless the run replaces whole partitions.
     merge: bool = True
     export_csv: bool = False
+    # A trade date that must have rows once the warehouse is loaded.
+    require_date: str | None = None
 
 
 def fact_rows(
@@ -52,17 +58,27 @@ def fact_rows(
     run_time: datetime,
     cut_long: bool = True,
     rows_per_block: int = ROWS_PER_BLOCK,
+    around: DataFrame | None = None,
 ) -> DataFrame:
-    """Stored cleansed bars to fact rows; series too long for one task are cut into blocks."""
-    dated = standardise_dates(cleansed)
+    """Stored cleansed bars to fact rows; series too long for one task are cut into blocks.
+
+    With the stored rows ``around`` them their windows are those of the whole series; the
+    result then holds these rows too, and the role of each.
+    """
+    dated, keep = standardise_dates(cleansed), ()
+    if around is not None:
+        dated, keep = incremental.together(dated, around), (incremental.ROLE,)
     if not cut_long:
-        return finish(with_indicators(dated, BAR_SERIES), run_time)
+        return finish(with_indicators(dated, BAR_SERIES), run_time, keep=keep)
     blocked = cut_long_series(dated, BAR_SERIES, INDICATOR_DEPTH, rows_per_block=rows_per_block)
-    return finish(blocked.apply(with_indicators), run_time)
+    return finish(blocked.apply(with_indicators), run_time, keep=keep)
 
 
 def curate(spark: SparkSession, config: JobConfig, run_time: datetime | None = None) -> dict | None:
-    """Read, cleanse, enrich, and write the snapshot and the curated layer.
+    """Read, cleanse, enrich, and write the snapshot and the curated layer, a versioned table.
+
+    Windows continue from the rows that earlier runs stored, so daily runs give what one run over
+    all days gives; stored rows after late bars get their indicators anew.
 
     Shuffles get as many partitions as the input's size asks for.
 
@@ -71,19 +87,25 @@ def curate(spark: SparkSession, config: JobConfig, run_time: datetime | None = N
     layer is written from the stored snapshot: no step is computed twice.
     """
     try:
-        _size_shuffles(spark, config)
-        raw = _raw_bars(spark, config)
+        with _sized_shuffles(spark, config):
+            raw = _raw_bars(spark, config)
+            return _curate(spark, raw, config, run_time or datetime.now())
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
-    return _curate(spark, raw, config, run_time or datetime.now())
 
 
-def _size_shuffles(spark: SparkSession, config: JobConfig) -> None:
+@contextmanager
+def _sized_shuffles(spark: SparkSession, config: JobConfig) -> Iterator[None]:
+    """Shuffle partitions by the size of the input, as long as the job runs."""
     path = date_path(config.source_path, config.execution_date, config.prefix)
-    partitions = partitions_for(spark, stored_bytes(spark, path))
-    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions_for(spark, stored_bytes(spark, path)))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 def _raw_bars(spark: SparkSession, config: JobConfig) -> DataFrame:
@@ -103,16 +125,31 @@ def _curate(spark, raw, config, run_time):
     )
     block_rows = _block_rows(config, verdict)
     has_long_series = verdict is not None and verdict["max_records"] > block_rows
-    fact = fact_rows(cleansed, run_time, has_long_series, block_rows)
+    processed = VersionedTable(spark, f"{config.target_path}/processed", config.partition_by)
+    tail = VersionedTable(spark, f"{config.target_path}/tail", ())
+    around = _around(processed, tail, standardise_dates(cleansed)) if config.merge else None
+    fact = fact_rows(cleansed, run_time, has_long_series, block_rows, around)
+    if around is None:
+        fresh, staging = fact, None
+    else:
+        enriched = store(fact, "enriched")
+        role = F.col(incremental.ROLE)
+        fresh = enriched.filter(role == incremental.INCOMING).drop(incremental.ROLE)
+        staging = enriched.filter(role != incremental.LEAD).drop(incremental.ROLE)
     snapshot_path = curated.write_snapshot(
-        fact.observe(made, rows), config.target_path, config.execution_date, kept.get["rows"]
+        fresh.observe(made, rows), config.target_path, config.execution_date, kept.get["rows"]
     )
-    snapshot = spark.read.schema(fact.schema).parquet(snapshot_path)
-    processed = f"{config.target_path}/processed"
+    snapshot = spark.read.schema(fresh.schema).parquet(snapshot_path)
+    staging = snapshot if staging is None else staging
+    current = _tail_is_current(processed, tail)
     if config.merge:
-        warehouse.upsert(snapshot, processed, partition_by=config.partition_by)
+        processed.upsert(staging, fixed_partition=_keys_fix(config.partition_by))
     else:
-        curated.write_curated(snapshot, processed, config.partition_by)
+        processed.replace_partitions(snapshot)
+    # Replaced partitions may have lost rows of the tail, which then comes from the whole table.
+    added = staging if config.merge and (current or processed.version == 1) else processed.read()
+    newest = incremental.merge_tails(tail.read() if config.merge and current else None, added)
+    tail.replace_all(newest, _tail_of(processed))
     if config.export_csv:
         curated.write_csv(snapshot, f"{config.target_path}/export/date={config.execution_date}")
     return {
@@ -121,10 +158,31 @@ def _curate(spark, raw, config, run_time):
         "rows_enriched": made.get["rows"],
         "skew": verdict,
         "snapshot_path": snapshot_path,
-        "processed_path": processed,
+        "processed_path": processed.path,
     }
 
 
+def _keys_fix(partition_by: tuple[str, ...]) -> bool:
+    """Whether the key of a fact row, its symbol and date, determines its partition."""
+    return set(partition_by) <= {"symbol", "trade_date", "year", "quarter", "month", "day", "day_of_week"}
+
+
+def _tail_of(processed: VersionedTable) -> str:
+    return f"tail of version {processed.version}"
+
+
+def _tail_is_current(processed: VersionedTable, tail: VersionedTable) -> bool:
+    """A run that ended between the table's commit and the tail's leaves a tail of an older version."""
+    return processed.exists and tail.exists and tail.state["operation"] == _tail_of(processed)
+
+
+def _around(processed: VersionedTable, tail: VersionedTable, incoming: DataFrame) -> DataFrame | None:
+    if not processed.exists:
+        return None
+    ends = tail.read() if _tail_is_current(processed, tail) else None
+    return incremental.context(incoming, processed.read(), ends)
+
+
 def _block_rows(config: JobConfig, verdict: dict | None) -> int:
     """How many rows a symbol may have before it is cut.
 
@@ -167,10 +225,15 @@ def validate_and_load(
     max_failed_ratio: float = 0.0,
     run_time: datetime | None = None,
 ) -> dict:
-    """Validate every file, stop if the gate fails, else curate, load and verify."""
-    _size_shuffles(spark, config)
+    """Validate every listed file, stop if the gate fails, else curate, load and verify."""
+    with _sized_shuffles(spark, config):
+        return _validate_and_load(spark, config, table_path, audit_path, suite, max_failed_ratio, run_time)
+
+
+def _validate_and_load(spark, config, table_path, audit_path, suite, max_failed_ratio, run_time):
     raw = store(_raw_bars(spark, config), "raw")
-    results = store(quality.evaluate(raw, suite, by=["source_file"]), "validation")
+    path = date_path(config.source_path, config.execution_date, config.prefix)
+    results = store(evaluate_files(spark, path, suite, raw, multi_line=config.multi_line), "validation")
     curated.write_audit(results, audit_path, config.execution_date)
     checked = quality.gate(results, max_failed_ratio)
 
@@ -179,8 +242,12 @@ def validate_and_load(
         raise warehouse.LoadError(f"no bars for {config.execution_date}")
     snapshot = read_snapshot(spark, config.target_path, config.execution_date)
     output = require_output(snapshot)
-    loaded = warehouse.upsert(to_warehouse_types(snapshot), table_path, partition_by=config.partition_by)
-    verified = verify_load(loaded, snapshot, config.partition_by)
+    table = VersionedTable(spark, table_path, config.partition_by)
+    table.upsert(to_warehouse_types(snapshot), fixed_partition=_keys_fix(config.partition_by))
+    verified = verify_load(table.read(), snapshot, config.partition_by)
+    require_dates(table.read(), snapshot)
+    if config.require_date:
+        require_date(table.read(), config.require_date)
     return {**checked, **summary, **output, **verified}
 
 
@@ -195,6 +262,15 @@ def verify_load(
     return {"table_rows": table.count()}
 
 
+def require_dates(table: DataFrame, staged: DataFrame) -> None:
+    """Every trade date of the staged rows must have at least as many rows in the table."""
+    wanted = staged.groupBy("trade_date").agg(F.count("*").alias("staged"))
+    loaded = table.join(wanted, "trade_date", "left_semi").groupBy("trade_date").agg(F.count("*").alias("loaded"))
+    short = wanted.join(loaded, "trade_date", "left").filter(F.coalesce("loaded", F.lit(0)) < F.col("staged")).limit(5).collect()
+    if short:
+        raise warehouse.LoadError(f"dates with too few rows: {[str(r['trade_date']) for r in short]}")
+
+
 def require_date(table: DataFrame, trade_date: str) -> int:
     """Rows of a trade date in the table; raises if there are none."""
     rows = reports.row_count(table, trade_date).first()["cnt"]
@@ -219,6 +295,7 @@ def parse_arguments(arguments: list[str]) -> JobConfig:
     parser.add_argument("--rows-per-block", type=int, default=JobConfig.rows_per_block)
     parser.add_argument("--replace-partitions", action="store_false", dest="merge")
     parser.add_argument("--export-csv", action="store_true")
+    parser.add_argument("--require-date", help="a trade date that must have rows after a load")
     return JobConfig(**vars(parser.parse_args(arguments)))
 
 

@@ -9,6 +9,7 @@ from tickloom.session import scratch_path
 from tickloom.sources.payloads import DAILY_KEYS
 
 PAYLOAD_EVENTS = 10_000
+FILE_DOCUMENTS = 1_000
 
 
 def envelopes(bars: DataFrame) -> DataFrame:
@@ -31,7 +32,20 @@ def land_envelopes(bars: DataFrame, execution_date: str, base: str | None = None
     """Envelopes as JSON lines under ``stock_data/date=``: many to a file, and no file per symbol."""
     base = base or scratch_path(bars.sparkSession, "landed")
     documents = envelopes(bars).drop("symbol").withColumn("date", F.lit(execution_date))
-    documents.write.mode("append").partitionBy("date").json(f"{base}/stock_data")
+    # Daily bars, so that no file exceeds the rows that the suite allows a file.
+    writer = documents.write.mode("append").option("maxRecordsPerFile", FILE_DOCUMENTS)
+    writer.partitionBy("date").json(f"{base}/stock_data")
+    return base
+
+
+def land_named_files(bars: DataFrame, more: dict[str, str]) -> str:
+    """One file of JSON lines, a bar each, for every value of ``file``, and files of the given texts."""
+    spark = bars.sparkSession
+    base = scratch_path(spark, "landed")
+    rows = bars.select("file", *RAW_COLUMNS).repartition("file")
+    rows.write.partitionBy("file").option("ignoreNullFields", False).json(base)
+    texts = spark.createDataFrame(list(more.items()), "file string, value string")
+    texts.write.mode("append").partitionBy("file").text(base)
     return base
 
 

@@ -280,6 +280,10 @@ class VersionedTable:
         self._require_columns(rows)
         return self._commit(rows, self._units_of_partitions(rows) if self.exists else [], "replace partitions")
 
+    def replace_all(self, rows: DataFrame, operation: str = "replace") -> VersionedTable:
+        """Replace the whole table; its earlier rows stay in earlier versions."""
+        return self._commit(rows, [r.unit for r in self.units().select("unit").collect()], operation)
+
     def replace_date(self, rows: DataFrame, trade_date: str, column: str = "trade_date") -> VersionedTable:
         """Replace one trade date. All rows must be of that date, and there must be some.
 
