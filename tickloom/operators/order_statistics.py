@@ -1,9 +1,9 @@
 """Exact quartiles and a describe table without sorting or collecting a column.
 
 Each pass counts the values of every open interval in a fixed number of equal buckets, in one
-aggregation that combines before the shuffle. The bucket that holds a wanted rank becomes
-the next interval. A few passes narrow any range down to one value; the driver only ever
-sees bucket counts.
+aggregation that combines before the shuffle. Running sums over the buckets, made in Spark, tell
+which of them holds a wanted rank; it becomes the next interval. A few passes narrow any range
+down to one value; the driver sees one row per wanted rank and pass.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ import sys
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 # Two passes tell apart a quarter of a billion evenly spread values.
 BUCKETS = 16_384
@@ -94,19 +94,17 @@ def _select_ranks(df, ranks):
         if not ranks:
             break
         intervals = sorted({iv for iv, _ in ranks.values()}, key=lambda iv: (iv.column, iv.low, iv.high))
-        histogram = _histogram(df, intervals)
-        for key, (interval, rank) in ranks.items():
-            below = 0
-            for low, high, n in histogram[interval]:
-                if rank < below + n:
-                    ranks[key] = (_Interval(interval.column, low, high), rank - below)
-                    break
-                below += n
+        places = {iv: i for i, iv in enumerate(intervals)}
+        narrowed = _narrow(df, intervals, sorted({(places[iv], rank) for iv, rank in ranks.values()}))
+        # Ranks of one column that meet in an interval are told apart by their own place in it.
+        for key, (iv, rank) in list(ranks.items()):
+            low, high, inside = narrowed[places[iv], rank]
+            ranks[key] = (_Interval(iv.column, low, high), inside)
     return found
 
 
-def _histogram(df, intervals):
-    """Per interval its non-empty buckets in order: least value, greatest value, count."""
+def _narrow(df, intervals, wanted):
+    """For each (interval, rank) the bucket that holds the rank: least value, greatest value, rank inside."""
     entries = []
     for i, iv in enumerate(intervals):
         value = F.col(iv.column).cast("double")
@@ -127,11 +125,16 @@ def _histogram(df, intervals):
         .groupBy("e.i", "e.bucket")
         .agg(F.min("e.value").alias("low"), F.max("e.value").alias("high"), F.count("*").alias("n"))
     )
-    histogram = {iv: [] for iv in intervals}
-    # At most BUCKETS rows per interval.
-    for row in counted.collect():
-        histogram[intervals[row["i"]]].append((row["low"], row["high"], row["n"]))
-    return {iv: sorted(buckets) for iv, buckets in histogram.items()}
+    # At most BUCKETS rows per interval, so this window is short however long the column is.
+    along = Window.partitionBy("i").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
+    summed = counted.withColumn("through", F.sum("n").over(along))
+    sought = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(rank).cast("long").alias("rank")) for i, rank in wanted])
+    inside = F.filter(
+        sought, lambda w: (w["i"] == F.col("i")) & (w["rank"] >= F.col("through") - F.col("n")) & (w["rank"] < F.col("through"))
+    )
+    held = summed.select("i", "low", "high", (F.col("through") - F.col("n")).alias("below"), F.explode(inside).alias("w"))
+    # One row per wanted rank.
+    return {(r["i"], r["w"]["rank"]): (r["low"], r["high"], r["w"]["rank"] - r["below"]) for r in held.collect()}
 
 
 DESCRIPTION = (

@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from tickloom.functions.indicators import DAILY, EMA_PERIODS, Series
 from tickloom.operators.long_series import BlockedSeries
+from tickloom.session import store
 
 # Send the functions below with the tasks, so that executors need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -59,6 +60,41 @@ def with_recursive_ema_blocked(
     return averaged.drop("_block", NULLS_SINCE, *[_start_column(s) for s in spans])
 
 
+def continue_recursive_ema(
+    df: DataFrame,
+    states: DataFrame | None = None,
+    spans: tuple[int, ...] = EMA_PERIODS,
+    series: Series = DAILY,
+    price: str = "close_price",
+) -> tuple[DataFrame, DataFrame]:
+    """The averages of rows that come after those of ``states``, and the states after them.
+
+    A state is one row per series: for each span the unrounded average, and how many rows ago the last
+    price was. Rows of increments one after the other get the averages of a single run over
+    all. Series that do not occur keep their state. Increments must not reach back in time.
+    """
+    keys, order = list(series.keys), list(series.order)
+    starts = [_start_column(s) for s in spans]
+    if states is None:
+        fields = [df.schema[k] for k in keys] + [T.StructField(NULLS_SINCE, T.LongType())]
+        states = df.sparkSession.createDataFrame([], T.StructType(fields + [T.StructField(c, T.DoubleType()) for c in starts]))
+    averages = {f"ema_recursive_{s}": (s, price) for s in spans}
+    rows = store(_run(df.join(states, keys, "left"), averages, series), "averaged")
+    ordered = Window.partitionBy(*keys).orderBy(*order)
+    priced = F.count(price).over(ordered)
+    # A row after the last price has seen as many prices as there are.
+    ends = rows.withColumn("_seen", priced).groupBy(*keys, "_seen").agg(
+        F.count("*").alias("_rows"), F.max(NULLS_SINCE).alias("_before"),
+        *[F.max_by(name, F.struct(*order)).alias(c) for name, c in zip(averages, starts)],
+    )
+    ends = ends.groupBy(*keys).agg(F.max_by(F.struct("_seen", "_rows", "_before", *starts), "_seen").alias("e"))
+    # Without a price the rows add to those missing before; else the price's own row is not missing.
+    missing = F.when(F.col("e._seen") > 0, F.col("e._rows") - 1).otherwise(F.coalesce("e._before", F.lit(0)) + F.col("e._rows"))
+    ended = ends.select(*keys, missing.cast("long").alias(NULLS_SINCE), *[F.col(f"e.{c}").alias(c) for c in starts])
+    new_states = states.join(ended.select(*keys), keys, "left_anti").unionByName(ended)
+    return rows.drop(NULLS_SINCE, *starts).withColumns({n: F.round(n, 4) for n in averages}), new_states
+
+
 def _run(
     df: DataFrame, averages: dict[str, tuple[int, str]], series: Series, arranged: bool = False
 ) -> DataFrame:

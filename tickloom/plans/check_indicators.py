@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from tickloom.functions import indicators as ind
 from tickloom.operators.cleanse import cleanse
 from tickloom.operators.enrich import BAR_SERIES, INDICATOR_DEPTH, finish, standardise_dates
 from tickloom.operators.long_series import cut_long_series
 from tickloom.operators.quality import check_return_behaviour
-from tickloom.operators.recursive_ema import with_recursive_ema, with_recursive_ema_blocked
+from tickloom.operators.recursive_ema import continue_recursive_ema, with_recursive_ema, with_recursive_ema_blocked
 from tickloom.plans.derived import daily_fact, dirty_bars, event_bars, ship_bars
 from tickloom.plans.oracle import (
     CLEANSED, EVENT_BARS, SHIP_BARS, ema_simple, fact, frame, metrics, previous, sma,
@@ -149,17 +151,17 @@ def _recursive_with_gaps(span: int) -> str:
     return f"""round(list_reduce(seen, lambda a, x: {{'price': {weight} * x.price + (1 - {weight}) * a.price, 'gap': 0::BIGINT}}).price, 4)"""
 
 
-@checked(
-    "w8_recursive_ema_long_series",
-    f"""WITH {DATED}, placed AS (
+GAPPED_AVERAGES = f"""WITH {DATED}, placed AS (
       SELECT symbol, "timestamp", trade_date, close_price, row_number() OVER (PARTITION BY symbol ORDER BY {BY_TIME}) AS place FROM dated),
     gaps AS (
       SELECT *, CASE WHEN close_price IS NOT NULL THEN {{'price': close_price, 'gap': coalesce(place - 1 - max(CASE WHEN close_price IS NOT NULL THEN place END)
         OVER (PARTITION BY symbol ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)}} END AS x FROM placed),
     lists AS (
       SELECT symbol, "timestamp", list(x) FILTER (x IS NOT NULL) OVER (PARTITION BY symbol ORDER BY place ROWS UNBOUNDED PRECEDING) AS seen FROM gaps)
-    SELECT symbol, "timestamp", {_recursive_with_gaps(12)} AS ema_recursive_12, {_recursive_with_gaps(26)} AS ema_recursive_26 FROM lists""",
-)
+    SELECT symbol, "timestamp", {_recursive_with_gaps(12)} AS ema_recursive_12, {_recursive_with_gaps(26)} AS ema_recursive_26 FROM lists"""
+
+
+@checked("w8_recursive_ema_long_series", GAPPED_AVERAGES)
 def recursive_ema_long_series(spark, sf_dir):
     """All rows, also those without a price, in blocks of few rows."""
     bars = standardise_dates(cleanse(dirty_bars(spark, sf_dir)))
@@ -168,6 +170,20 @@ def recursive_ema_long_series(spark, sf_dir):
     return with_recursive_ema_blocked(blocked).select("symbol", "timestamp", "ema_recursive_12", "ema_recursive_26")
 
 
+@checked("w8_recursive_ema_increments", GAPPED_AVERAGES)
+def recursive_ema_increments(spark, sf_dir):
+    """Four increments, each from the states that the one before left."""
+    bars = standardise_dates(cleanse(dirty_bars(spark, sf_dir)))
+    rows = store(bars.select("symbol", "timestamp", "trade_date", "trade_timestamp", "close_price"), "closes")
+    states, done = None, []
+    for part in ("timestamp < '2024-01-05'", "timestamp >= '2024-01-05' AND timestamp < '2024-01-06'",
+                 "timestamp >= '2024-01-06' AND timestamp < '2024-01-20'", "timestamp >= '2024-01-20'"):
+        averaged, after = continue_recursive_ema(rows.filter(part), states, series=BAR_SERIES)
+        states = store(after, "states")
+        done.append(averaged.select("symbol", "timestamp", "ema_recursive_12", "ema_recursive_26"))
+    return reduce(DataFrame.unionByName, done)
+
+
 @checked(
     "a16_return_diagnostics",
     f"""WITH {SHIP_BARS}, moves AS (SELECT symbol, close_price,

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import io
+from contextlib import redirect_stdout
 from datetime import datetime
 
 from pyspark.sql import functions as F
 
 from tickloom.plans import landing
 from tickloom.plans.derived import event_bars
-from tickloom.plans.jobs import JobConfig, curate, transform_directory, validate_and_load
+from tickloom.plans.jobs import JobConfig, curate, main, transform_directory, validate_and_load
 from tickloom.plans.oracle import EVENT_BARS, RAW_LIST, fact
 from tickloom.plans.registry import checked
 from tickloom.schema import FACT_COLUMNS, RAW_COLUMNS
@@ -88,3 +90,15 @@ def late_older_files(spark, sf_dir):
         landing.land_envelopes(rows, run_date, base)
         ingest_new_files(spark, base, f"{base}-table", f"{base}-progress", multi_line=False).awaitTermination()
     return open_table(spark, f"{base}-table").read().select(RAW_COLUMNS)
+
+
+@checked("e4_command_line", f"WITH {EVENT_FACT} SELECT * EXCLUDE (processing_timestamp) FROM fact")
+def command_line(spark, sf_dir):
+    """The job as its command line starts it: arguments in, snapshot and curated layer out."""
+    source = landing.land_envelopes(event_bars(spark, sf_dir), RUN_DATE)
+    target = scratch_path(spark, "target")
+    arguments = ["--source-path", source, "--target-path", target, "--execution-date", RUN_DATE, "--json-lines"]
+    with redirect_stdout(io.StringIO()):
+        if main([*arguments, "--enable-skew-handling", "true", "--salt-buckets", "4"]) != 0:
+            raise RuntimeError("the job failed")
+    return open_table(spark, f"{target}/processed").read().select(FACT_COLUMNS).drop("processing_timestamp")
