@@ -237,6 +237,34 @@ def test_word_encoder_equals_the_library():
             assert ids[a:b].tolist() == library.encode(text or "", add_special_tokens=False).ids
 
 
+def test_letters_that_come_apart_join_the_marks_behind_them():
+    import random
+    import unicodedata
+
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(WORDS)
+    encode = token_files.WordEncoder(WORDS, 2)
+    letters = [c for c in map(chr, range(0x80, 0x3100)) if c.isalpha() and library.normalizer.normalize_str(c) != c]
+    texts = [f"{c}. x{c}! {c}y,; {c}?a" for c in letters]
+    rnd = random.Random(7)
+    alphabet = [chr(c) for c in range(32, 0x3100) if unicodedata.category(chr(c)) not in ("Cs", "Cn")]
+    texts += ["".join(rnd.choices(alphabet, k=12)) + rnd.choice(".,;:!?") for _ in range(3000)]
+    ids, bounds = encode(pa.array(texts))
+    for text, a, b in zip(texts, bounds[:-1], bounds[1:]):
+        assert ids[a:b].tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+
+def test_one_id_on_many_rows_spans_shards(spark):
+    rows = [(1, f"text number {i}") for i in range(2000)] + [(0, "first"), (2, "last")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    folder, shards = token_files.write_shards(frame, WORDS)
+    assert shards.count() > 1 and shards.agg({"documents": "max"}).first()[0] < 2000
+    got = token_files.read_documents(folder, shards).orderBy("start").collect()
+    assert [r.id for r in got] == [0] + [1] * 2000 + [2]
+    assert all(a.start + a.n_tokens == b.start for a, b in zip(got, got[1:]))
+
+
 def test_preference_pairs(spark):
     t = [(1, 0, "user", "hi"), (1, 1, "assistant", "a"), (1, 2, "user", "more"), (1, 3, "assistant", "b<|im_end|>")]
     t += [(2, 0, "user", "hi"), (2, 1, "assistant", "a"), (2, 2, "user", "less"), (3, 0, "User ", "hi"), (3, 0, "User ", "hi")]

@@ -6,16 +6,20 @@ sequence of n values up to u takes about n * (2 + log2(u / n)) bits: the low bit
 stand side by side, the high bits are a unary bit vector, and the place of every 256th of its ones
 is noted, so that a value is found without reading those before it and without 64-bit tables.
 
-File format, little-endian: the magic ``EFTOK001``; then as unsigned 64-bit integers the width of
-an id in bytes, the number of documents, of ids, of documents with a null id (which stand first),
-the smallest document id as a signed integer, and the byte lengths of the two sequences; then the
-sequence of ends, that of document ids less the smallest, and the ids.
+File format, little-endian: the ids of all documents; the sequence of ends; that of document ids less the
+smallest; and a footer of fixed size: as unsigned 64-bit integers the width of an id in bytes, the number of
+documents, of ids, of documents with a null id (which stand first), the smallest document id as a signed
+integer, the byte lengths of the two sequences, and the magic ``EFTOK002``. With all that is small at
+the end, ids are written as they come and a task never holds a file's ids.
 """
 
 from __future__ import annotations
 
+import io
 import os
 import struct
+import sys
+import types
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -30,13 +34,17 @@ from tickloom.llm.batches import bound_batches
 from tickloom.llm.shingles import slices, word_spans
 from tickloom.session import partitions_for, scratch_path, store
 
-MAGIC = b"EFTOK001"
-HEADER = "<8sQQQQqQQ"
+MAGIC = b"EFTOK002"
+FOOTER = "<QQQQqQQ8s"
 SAMPLE = 256
 # Words whose ids a task remembers before it starts anew.
 REMEMBERED_WORDS = 1_000_000
 # Texts are encoded in blocks of about so many bytes.
-ENCODED_BYTES = 4 << 20
+ENCODED_BYTES = 2 << 20
+# Runs of words that go to the tokenizer at once, and the ids that are read at once.
+RUNS_AT_ONCE = 32
+READ_IDS = 1 << 20
+RANGE_CHARS = 32
 
 
 class EliasFano:
@@ -95,31 +103,43 @@ class EliasFano:
         return ((places - np.arange(self.count)).astype(np.uint64) << np.uint64(self.low_bits)) | self._low(0, self.count)
 
 
-def encode_shard(ids: list[int | None], counts: np.ndarray, tokens: bytes, width: int) -> bytes:
-    """A shard file of documents in ascending id order, nulls first."""
+def boundaries(ids: list[int | None], counts: np.ndarray, n_ids: int, width: int) -> bytes:
+    """What stands behind the ids of a shard file of documents in ascending id order, nulls first."""
     known = np.array([i for i in ids if i is not None], np.int64)
     least = int(known[0]) if len(known) else 0
     ends = EliasFano.encode(np.cumsum(counts))
     names = EliasFano.encode((known - least).astype(np.uint64))
-    head = struct.pack(HEADER, MAGIC, width, len(ids), len(tokens) // width, len(ids) - len(known), least, len(ends), len(names))
-    return head + ends + names + tokens
+    return ends + names + struct.pack(FOOTER, width, len(ids), n_ids, len(ids) - len(known), least, len(ends), len(names), MAGIC)
 
 
 class Shard:
-    """A shard file read back."""
+    """A shard file read back, of which only the boundaries are in memory.
 
-    def __init__(self, data: bytes | memoryview) -> None:
-        magic, width, self.documents, self.ids, self.nulls, self.least, ends, names = struct.unpack_from(HEADER, data)
+    ``source`` is a seekable binary file, or its content; ids are read where they are asked for.
+    """
+
+    def __init__(self, source) -> None:
+        self.source = source = io.BytesIO(source) if isinstance(source, bytes) else source
+        size, footer = source.seek(0, 2), struct.calcsize(FOOTER)
+        if size < footer:
+            raise ValueError("not a token shard")
+        self.width, self.documents, self.ids, self.nulls, self.least, ends, names, magic = struct.unpack(FOOTER, self._bytes(size - footer, footer))
         if magic != MAGIC:
             raise ValueError("not a token shard")
-        at = struct.calcsize(HEADER)
-        self.ends = EliasFano(memoryview(data)[at : at + ends])
-        self.names = EliasFano(memoryview(data)[at + ends : at + ends + names])
-        self.tokens = np.frombuffer(data, f"<u{width}", self.ids, at + ends + names)
+        data = memoryview(self._bytes(size - footer - ends - names, ends + names))
+        self.ends, self.names = EliasFano(data[:ends]), EliasFano(data[ends:])
+
+    def _bytes(self, start: int, count: int) -> bytes:
+        self.source.seek(start)
+        return self.source.read(count)
+
+    def tokens(self, start: int, stop: int) -> np.ndarray:
+        """The ids from one place to another."""
+        return np.frombuffer(self._bytes(start * self.width, (stop - start) * self.width), f"<u{self.width}")
 
     def document(self, index: int) -> np.ndarray:
         """The ids of one document, found by two selections."""
-        return self.tokens[self.ends.select(index - 1) if index else 0 : self.ends.select(index)]
+        return self.tokens(self.ends.select(index - 1) if index else 0, self.ends.select(index))
 
     def document_ids(self) -> list[int | None]:
         return [None] * self.nulls + (self.names.values().astype(np.int64) + self.least).tolist()
@@ -130,9 +150,11 @@ class WordEncoder:
 
     The tokenizer splits at white space and drops it, takes A-Z as a-z, and nothing it does looks
     across: the ids of a text are those of its words between ASCII white space, one after the other.
-    Texts repeat words, so every task keeps the ids of the words it met, by their hash. New words
+    Texts repeat words, so the ids of the words that were met are kept, by their hash. New words
     go to the tokenizer many at a time. A word of letters with marks behind it is two runs to the
-    tokenizer, so these are encoded apart; the last id of a run of letters is known by its ``</w>``.
+    tokenizer, so these are encoded apart; the last id of a run of letters is known by its ``</w>``. A word counts
+    as letters only if it still is so once normalised: a letter that comes apart into letter and mark
+    would join the marks behind it.
     """
 
     MARKS = ".,;:!?"
@@ -155,16 +177,19 @@ class WordEncoder:
         self.ids = np.zeros(0, self.kind)
         self.tails: dict[str, bytes] = {"": b""}
 
+    def _batches(self, texts: list[str]) -> Iterator[np.ndarray]:
+        for i in range(0, len(texts), RUNS_AT_ONCE):
+            for x in self.tokenizer.encode_batch_fast(texts[i : i + RUNS_AT_ONCE], add_special_tokens=False):
+                yield np.array(x.ids, self.kind)
+
     def _alone(self, words: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(x.ids, self.kind).tobytes() for x in found]
+        return [x.tobytes() for x in self._batches(words)]
 
     def _runs(self, runs: list[str]) -> dict[str, bytes]:
         """Ids of runs of letters."""
         out: dict[str, bytes] = {}
         groups = [runs[i : i + 512] for i in range(0, len(runs), 512)]
-        for group, found in zip(groups, self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)):
-            ids = np.array(found.ids, self.kind)
+        for group, ids in zip(groups, self._batches([" ".join(g) for g in groups])):
             ends = (np.flatnonzero(self.last[ids]) + 1) * ids.itemsize
             if len(ends) == len(group):
                 data, ends = ids.tobytes(), ends.tolist()
@@ -173,9 +198,14 @@ class WordEncoder:
                 out.update(zip(group, self._alone(group)))
         return out
 
+    def _is_letters(self, core: str) -> bool:
+        if core.isascii():
+            return core.isalpha()
+        return core.isalpha() and self.tokenizer.normalizer.normalize_str(core).isalpha()
+
     def _encode(self, words: list[str]) -> list[bytes]:
         cores = [w.rstrip(self.MARKS) for w in words]
-        plain = [c.isalpha() for c in cores]
+        plain = [self._is_letters(c) for c in cores]
         cores = [c.lower() if c.isascii() else c for c in cores]
         runs = self._runs(list({c for c, p in zip(cores, plain) if p}))
         other = [w for w, p in zip(words, plain) if not p]
@@ -220,11 +250,26 @@ def _filesystem(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
     return pyarrow.fs.FileSystem.from_uri(path)
 
 
+def _encoder(path: str, width: int) -> WordEncoder:
+    """The encoder of this Python worker: Spark gives it task after task, and words come again."""
+    state = sys.modules.setdefault("_word_encoders", types.ModuleType("_word_encoders"))
+    key = f"{path} {width}"
+    if not hasattr(state, key):
+        setattr(state, key, WordEncoder(path, width))
+    return getattr(state, key)
+
+
 def _write(folder: str, tokenizer: str, end_id: int, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = WordEncoder(tokenizer, width)
-        ids, counts, parts = [], [], []
+        encode = _encoder(tokenizer, width)
+        number = TaskContext.get().partitionId()
+        files, root = _filesystem(folder)
+        draft = f"{root}/.draft-{number:06d}-{uuid.uuid4().hex}"
+        ids, counts, out = [], [], None
         for batch in batches:
+            if out is None:
+                files.create_dir(root, recursive=True)
+                out = files.open_output_stream(draft)
             ids += batch.column(0).to_pylist()
             for start, stop in slices(batch.column(1), ENCODED_BYTES):
                 found, bounds = encode(batch.column(1).slice(start, stop - start))
@@ -236,20 +281,16 @@ def _write(folder: str, tokenizer: str, end_id: int, width: int):
                 body[last] = False
                 data[last] = end_id
                 data[body] = found
-                parts.append(data.tobytes())
-        if ids:
-            number = TaskContext.get().partitionId()
+                out.write(data.tobytes())
+        if out is not None:
             ends = np.concatenate(counts)
-            data = encode_shard(ids, ends, b"".join(parts), width)
-            files, root = _filesystem(folder)
-            files.create_dir(root, recursive=True)
+            total = int(ends.sum())
+            out.write(boundaries(ids, ends, total, width))
+            out.close()
             # A task that runs again replaces its file by the same content, whole at any moment.
-            draft = f"{root}/.draft-{number:06d}-{uuid.uuid4().hex}"
-            with files.open_output_stream(draft) as out:
-                out.write(data)
             files.move(draft, f"{root}/shard-{number:06d}.eftok")
             yield pa.RecordBatch.from_pydict(
-                {"shard": pa.array([number], pa.int64()), "documents": pa.array([len(ids)], pa.int64()), "ids": pa.array([int(ends.sum())], pa.int64())}
+                {"shard": pa.array([number], pa.int64()), "documents": pa.array([len(ids)], pa.int64()), "ids": pa.array([total], pa.int64())}
             )
 
     return run
@@ -263,47 +304,51 @@ def write_shards(
     ``tokenizer`` is the path of a file of the tokenizers library that splits at white space, the
     same on all executors. Every document gets ``end_id`` behind its ids; a null or empty text has
     only that. ``width`` is the bytes of an id. Documents are in ascending id order over all shards,
-    null ids first, and equal ids in the order of their texts. Only ids and texts are read.
-    An empty table writes no file. Shards are sized by the bytes of the texts.
+    null ids first, and equal ids in the order of their texts; a much repeated id spans several shards.
+    Only ids and texts are read. An empty table writes no file. Shards are sized by the bytes of the texts.
     """
     spark = documents.sparkSession
     bound_batches(spark)
     rows = documents.select(F.col(ids).cast("long").alias("id"), F.col(text).alias("text"))
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     folder = scratch_path(spark, "token-shards")
-    ordered = rows.repartitionByRange(partitions_for(spark, size), "id").sortWithinPartitions("id", "text")
+    # The driver samples the keys of the ranges, so the texts stand in them by their beginnings.
+    ranged = rows.repartitionByRange(partitions_for(spark, size), "id", F.substring("text", 1, RANGE_CHARS))
+    ordered = ranged.sortWithinPartitions("id", "text")
     shards = ordered.mapInArrow(_write(folder, tokenizer, end_id, width), "shard long, documents long, ids long")
     return folder, store(shards, "token-manifest")
 
 
-def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for path, before, data in zip(*(batch.column(i) for i in range(3))):
-            shard = Shard(data.as_buffer())
-            ends = np.concatenate([[0], shard.ends.values().astype(np.int64)])
-            sums = [
-                zlib.crc32(shard.tokens[a:b].astype("<u4").tobytes()) for a, b in zip(ends[:-1], ends[1:])
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(shard.document_ids(), pa.int64()),
-                    pa.array(ends[:-1] + before.as_py(), pa.int64()),
-                    pa.array(np.diff(ends), pa.int64()),
-                    pa.array(sums, pa.int64()),
-                ],
-                names=["id", "start", "n_tokens", "ids_crc32"],
-            )
+def _read(folder: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, root = _filesystem(folder)
+        for batch in batches:
+            for number, before in zip(*(batch.column(i).to_pylist() for i in range(2))):
+                with files.open_input_file(f"{root}/shard-{number:06d}.eftok") as source:
+                    shard = Shard(source)
+                    ends = np.concatenate([[0], shard.ends.values().astype(np.int64)])
+                    ids, first = shard.document_ids(), 0
+                    while first < shard.documents:
+                        stop = int(np.searchsorted(ends, ends[first] + READ_IDS, "right")) - 1
+                        stop = min(max(stop, first + 1), shard.documents)
+                        tokens, edges = shard.tokens(int(ends[first]), int(ends[stop])), ends[first : stop + 1] - ends[first]
+                        sums = [zlib.crc32(tokens[a:b].astype("<u4").tobytes()) for a, b in zip(edges[:-1], edges[1:])]
+                        columns = [ids[first:stop], ends[first:stop] + before, np.diff(edges), sums]
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(c, pa.int64()) for c in columns], names=["id", "start", "n_tokens", "ids_crc32"]
+                        )
+                        first = stop
+
+    return run
 
 
 def read_documents(folder: str, shards: DataFrame) -> DataFrame:
-    """Each document as the shard files have it: id, start (ids of all documents before it), n_tokens, ids_crc32."""
-    spark = shards.sparkSession
+    """Each document as the shard files have it: id, start (ids of all documents before it), n_tokens, ids_crc32.
+
+    One row per shard goes to a task, which reads that file's boundaries and then slices of its ids.
+    """
     # One row per shard file, so the running sum is over few rows.
     before = F.sum("ids").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
     offsets = shards.select("shard", F.coalesce(before, F.lit(0)).alias("before"))
-    if shards.isEmpty():
-        return spark.createDataFrame([], "id long, start long, n_tokens long, ids_crc32 long")
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.eftok").load(folder)
-    number = F.regexp_extract("path", r"shard-(\d+)\.eftok$", 1).cast("long")
-    rows = files.select(number.alias("shard"), "path", "content").join(F.broadcast(offsets), "shard")
-    return rows.select("path", "before", "content").mapInArrow(_read, "id long, start long, n_tokens long, ids_crc32 long")
+    spread = offsets.repartition(max(1, shards.count()), "shard")
+    return spread.mapInArrow(_read(folder), "id long, start long, n_tokens long, ids_crc32 long")
