@@ -136,3 +136,18 @@ def test_an_empty_commit_and_a_missing_table(spark, tmp_path):
     assert table.read().columns == ["price_id", "trade_date", "volume", "year", "month"] and table.read().count() == 0
     table.upsert(keyed(spark, [("a", "2024-01-01", 1)]))
     assert volumes(table) == [("a", 1)]
+
+
+def test_statistics_are_merged_and_only_new_units_are_read(spark, table):
+    assert table.analyze(["price_id", "volume"]) == 2 and table.analyze(["price_id", "volume"]) == 0
+    table.append(keyed(spark, [("a", "2024-03-01", 10), ("z", "2024-03-02", None)]))
+    before = {r.column_name: r for r in table.statistics().collect()}
+    assert before["volume"].stats_off == 40.0 and before["volume"].high == "1"
+    assert table.analyze(["price_id", "volume"]) == 1
+    now = {r.column_name: r for r in table.statistics().collect()}
+    assert [(now[c].row_count, now[c].nulls, now[c].low, now[c].high, now[c].distinct_values) for c in ("price_id", "volume")] == [
+        (5, 0, "a", "z", 4), (5, 1, "1", "10", 2),
+    ]
+    assert now["volume"].stats_off == 0.0
+    table.upsert(keyed(spark, [("c", "2024-02-01", 3)]), fixed_partition=True)
+    assert table.statistics().first().row_count == 4

@@ -264,6 +264,33 @@ def statistics(spark, sf_dir):
     return known.select(rows.alias("row_count"), (rows > 0).alias("has_symbols"))
 
 
+def _statistics_sql(table: str, columns: list[str]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) AS row_count, count(*) FILTER ({c} IS NULL) AS nulls, CAST(min({c}) AS VARCHAR) AS low,"
+        f" CAST(max({c}) AS VARCHAR) AS high, count(DISTINCT {c}) AS distinct_values, TRUE AS close_enough, CAST(0 AS DOUBLE) AS stats_off FROM {table}"
+        for c in columns
+    )
+
+
+ANALYZED = ["symbol", "trade_date", "volume", "month"]
+
+
+@checked("k14_merged_statistics", f"WITH {EVENT_FACT} {_statistics_sql('fact', ANALYZED)}")
+def merged_statistics(spark, sf_dir):
+    """Statistics of two commits, analyzed one after the other, and merged; sketches are within 5 % of the exact counts."""
+    rows = store(event_fact(spark, sf_dir), "fact")
+    table = open_table(spark, scratch_path(spark, "sketched")).append(rows.filter("trade_date < DATE'2024-01-20'"))
+    table.analyze(ANALYZED)
+    table.append(rows.filter("trade_date >= DATE'2024-01-20'"))
+    table.analyze(ANALYZED)
+    exact = table.read().agg(*[F.countDistinct(c).alias(c) for c in ANALYZED])
+    exact = exact.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("exact")) for c in ANALYZED])))
+    close = F.abs(F.col("distinct_values") - F.col("exact")) <= 0.05 * F.col("exact")
+    return table.statistics().join(exact, "column_name").select(
+        "column_name", "row_count", "nulls", "low", "high", F.col("exact").alias("distinct_values"), close.alias("close_enough"), "stats_off"
+    )
+
+
 @checked(
     "k15_table_profile",
     f"WITH {SHIP_BARS} SELECT count(*) AS row_count, CAST(0 AS BIGINT) AS overlapping_files FROM ship_bars",

@@ -194,38 +194,32 @@ class VersionedTable:
         if lacking:
             raise LoadError(f"the table at {self.path} has columns the incoming rows lack: {lacking}")
 
-    def _units_of_partitions(self, rows: DataFrame) -> list[str]:
-        """Units in the partitions that rows fall in."""
-        units = [r.unit for r in self.units().select("unit").collect()]
-        if not self.partition_by or not units:
-            return units
-        # The partitions' values come from the paths, so no row of the table is read.
-        names = self.read(units, rows.schema, True).select(COMMIT, *self.partition_by)
-        wanted = rows.select(*self.partition_by).distinct()
-        hit = names.distinct().alias("t").join(wanted.alias("s"), _same("t", "s", self.partition_by), "left_semi")
-        return self._paths(hit)
-
-    def _paths(self, named: DataFrame) -> list[str]:
-        """Paths of the units of distinct (commit, partition) rows, which are as many as units at most."""
-        found = {tuple(r) for r in named.select(COMMIT, *self.partition_by).distinct().collect()}
-        if not found:
-            return []
-        return [u for u, values in self._values().items() if values in found]
-
-    def _values(self) -> dict[str, tuple]:
-        """Commit and partition values of every unit, as Spark reads them from its path."""
+    def _places(self) -> DataFrame:
+        """Commit and partition values of every unit, typed as in the table, from the units' paths alone."""
         units = [r.unit for r in self.units().select("unit").collect()]
-        commits = {u: u.split("/")[0].partition("=")[2] for u in units}
-        if not self.partition_by:
-            return {u: (c,) for u, c in commits.items()}
         kinds = {f.name: f.dataType for f in self.schema}
-        parts = [[u, commits[u], *[p.partition("=")[2] for p in u.split("/")[1:]]] for u in units]
-        frame = self.spark.createDataFrame(parts, ["unit", COMMIT, *self.partition_by])
+        parts = [[u, *[p.partition("=")[2] for p in u.split("/")]] for u in units]
+        columns = [COMMIT, *self.partition_by]
+        frame = self.spark.createDataFrame(parts, ", ".join(f"`{c}` string" for c in ["unit", *columns]))
         typed = [
             F.when(F.col(c) != "__HIVE_DEFAULT_PARTITION__", F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))).cast(kinds[c]).alias(c)
             for c in self.partition_by
         ]
-        return {r.unit: tuple(r)[1:] for r in frame.select("unit", COMMIT, *typed).collect()}
+        return frame.select("unit", COMMIT, *typed)
+
+    def _units_of_partitions(self, rows: DataFrame) -> list[str]:
+        """Units in the partitions that rows fall in; no row of the table is read."""
+        places = self._places()
+        if self.partition_by:
+            wanted = rows.select(*self.partition_by).distinct()
+            places = places.alias("t").join(wanted.alias("s"), _same("t", "s", self.partition_by), "left_semi")
+        return [r.unit for r in places.select("unit").collect()]
+
+    def _paths(self, named: DataFrame) -> list[str]:
+        """Paths of the units of (commit, partition) rows, distinct ones of which are as many as units at most."""
+        columns = [COMMIT, *self.partition_by]
+        found = {tuple(r) for r in named.select(*columns).distinct().collect()}
+        return [r.unit for r in self._places().collect() if tuple(r)[1:] in found] if found else []
 
     def append(self, rows: DataFrame) -> VersionedTable:
         """Add rows as they are."""
@@ -255,8 +249,8 @@ class VersionedTable:
         older = F.col(f"t.{newer}") > F.col(f"s.{newer}") if newer else F.lit(False)
         staged_keys = staging.select(*dict.fromkeys([*keys, *([newer] if newer else [])]))
         hits = stored_keys.alias("t").join(staged_keys.alias("s"), _same("t", "s", keys)).select("t.*", F.coalesce(older, F.lit(False)).alias("_stays"))
-        hits = store(hits, "matched")
         if newer:
+            hits = store(hits, "matched")
             staying = hits.filter("_stays").select(*keys)
             staging = store(staging.alias("s").join(staying.alias("t"), _same("s", "t", keys), "left_anti"), "staging")
             if staging.isEmpty():
@@ -326,6 +320,67 @@ class VersionedTable:
         self._commit(rows, units, "compact", spread)
         return len(units)
 
+    def analyze(self, columns: Sequence[str]) -> int:
+        """Note statistics of columns for the units that have none yet; how many units these were.
+
+        A unit never changes, so what is known of it stays right: after a change only new units are read.
+        """
+        known = self._statistics()
+        lacking = self.units().select("unit")
+        if known is not None:
+            whole = known.filter(F.col("column_name").isin(list(columns))).groupBy("unit").agg(F.count("*").alias("n")).filter(F.col("n") >= len(columns))
+            lacking = lacking.join(whole, "unit", "left_anti")
+        units = [r.unit for r in lacking.collect()]
+        if not units:
+            return 0
+        kinds = self.schema
+        base = f"{self.path}/data"
+        full = StructType(list(kinds.fields)).add(COMMIT, StringType())
+        files = self.spark.read.schema(full).option("basePath", base).parquet(*[f"{base}/{u}" for u in units])
+        rows = files.select(F.col("_metadata.file_path").alias("file"), *columns)
+        unit = F.regexp_extract(F.url_decode(F.replace("file", F.lit("+"), F.lit("%2B"))), f"/data/({COMMIT}=.*)/[^/]*$", 1)
+        # Lows and highs are kept by value, so that numbers compare as numbers.
+        ranges = [x for c in columns for x in (F.min(c).cast("string").alias(f"low_{c}"), F.max(c).cast("string").alias(f"high_{c}"))]
+        counts = [x for c in columns for x in (F.count_if(F.col(c).isNull()).alias(f"nulls_{c}"), F.hll_sketch_agg(F.col(c).cast("string")).alias(f"sketch_{c}"))]
+        by_unit = rows.withColumn("unit", unit).groupBy("unit").agg(F.count("*").alias("row_count"), *ranges, *counts)
+        lines = F.array(*[
+            F.struct(F.lit(c).alias("column_name"), F.lit(kinds[c].dataType.simpleString()).alias("kind"), *[F.col(f"{n}_{c}").alias(n) for n in ("low", "high", "nulls", "sketch")])
+            for c in columns
+        ])
+        fresh = by_unit.select("unit", "row_count", F.inline(lines))
+        if known is not None:
+            fresh = known.join(fresh.select("unit", "column_name"), ["unit", "column_name"], "left_anti").select(fresh.columns).unionByName(fresh)
+        fresh.coalesce(1).write.parquet(f"{self.path}/_statistics/{self.version:020d}-{uuid.uuid4().hex}")
+        return len(units)
+
+    def _statistics(self) -> DataFrame | None:
+        """What is known of the version's units by the newest finished analysis."""
+        folder = f"{self.path}/_statistics"
+        done = [n for n in self.files.names(folder) if "_SUCCESS" in self.files.names(f"{folder}/{n}")]
+        if not done:
+            return None
+        return self.spark.read.parquet(f"{folder}/{done[-1]}").join(self.units().select("unit"), "unit", "left_semi")
+
+    def statistics(self) -> DataFrame:
+        """Per analyzed column: rows, nulls, least and greatest value, distinct values by merged sketches, and
+        ``stats_off``, the percentage of the table's rows that lie in units not analyzed."""
+        known = self._statistics()
+        if known is None:
+            raise LoadError(f"the table at {self.path} was never analyzed")
+        total = self.units().agg(F.coalesce(F.sum("row_count"), F.lit(0)).alias("total"))
+        number = F.col("kind").rlike("int|decimal|double|float")
+
+        def least(column: str, pick) -> Column:
+            by_number = pick(F.when(number, F.struct(F.col(column).cast("double").alias("n"), F.col(column).alias("s"))))
+            return F.coalesce(by_number["s"], pick(F.when(~number, F.col(column)))).alias(column)
+
+        merged = known.groupBy("column_name").agg(
+            F.sum("row_count").alias("row_count"), F.sum("nulls").alias("nulls"), least("low", F.min), least("high", F.max),
+            F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("distinct_values"),
+        )
+        off = F.when(F.col("total") > 0, F.round((1 - F.col("row_count") / F.col("total")) * 100, 2)).otherwise(0.0)
+        return merged.withColumn("total", total.scalar()).withColumn("stats_off", off).drop("total")
+
     def history(self) -> list[dict]:
         """Number and operation of every version that is kept, oldest first."""
         names = [n for n in self.files.names(f"{self.path}/_versions") if n.isdigit()]
