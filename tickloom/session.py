@@ -83,13 +83,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
+def store(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder, or to a folder in it, and read it back.
 
     Cuts the lineage, survives lost executors, and lets later passes read only the
     columns they need.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = scratch_path(spark, name) if folder is None else f"{folder}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, folder: str) -> None:
+    """Delete a folder made by ``scratch_path`` whose tables nothing reads any more."""
+    if not folder.startswith(f"{shared_folder(spark)}/"):
+        raise ValueError(f"not in the shared folder: {folder}")
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
