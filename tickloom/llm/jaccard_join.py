@@ -29,7 +29,7 @@ from tickloom.llm.batches import bound_batches
 from tickloom.llm import bloom
 from tickloom.llm.components import connected_components
 from tickloom.llm.shingles import mix, shingle_sets, slices
-from tickloom.session import store
+from tickloom.session import discard, scratch_path, store
 
 # The longest prefix asks for so many common shingles.
 MOST_MATCHES = 16
@@ -96,36 +96,20 @@ def _known(batches: Iterator[pa.RecordBatch], limit: np.uint64) -> Iterator[np.n
         yield tokens[tokens < limit]
 
 
-def _repeats(threshold: int, bits: int):
-    """Gathers which known shingles more than one class may have; known hashes are spread over the filter."""
+def _counted(threshold: int):
     limit = np.uint64(_known_limit(threshold))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = bloom.Gathered(bits)
         for tokens in _known(batches, limit):
-            found.add(mix(tokens))
-        yield from found.blocks()
+            yield pa.RecordBatch.from_arrays([pa.array(tokens.view(np.int64))], names=["token"])
 
     return run
 
 
-def _counted(threshold: int, repeats):
-    limit = np.uint64(_known_limit(threshold))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for tokens in _known(batches, limit):
-            kept = tokens[bloom.passes(repeats.value, mix(tokens))]
-            yield pa.RecordBatch.from_arrays([pa.array(kept.view(np.int64))], names=["token"])
-
-    return run
-
-
-def _frequencies(classes: DataFrame, threshold: int, repeats) -> tuple[np.ndarray, np.ndarray]:
+def _frequencies(classes: DataFrame, threshold: int, folder: str) -> tuple[np.ndarray, np.ndarray]:
     """The most frequent of the known shingles, sorted, with the number of classes of each."""
-    counts = (
-        classes.select("first").mapInArrow(_counted(threshold, repeats), "token long").groupBy("token").count().where("count > 1")
-    )
-    counts = store(counts, "shingle-counts")
+    counts = classes.select("first").mapInArrow(_counted(threshold), "token long").groupBy("token").count()
+    counts = store(counts.where("count > 1"), "shingle-counts", folder)
     sizes = counts.groupBy("count").agg(F.count("*").alias("tokens")).orderBy(F.desc("count"))
     # One row per distinct count: far fewer than shingles, and no more than FREQUENT_SHINGLES are read.
     least, total = 2, 0
@@ -169,39 +153,46 @@ def _prefix(first: np.ndarray, n: int, threshold: int, limit: np.uint64, tokens:
     return order, levels, best
 
 
-def _postings(threshold: int, frequent, repeats):
+def _postings(threshold: int, frequent):
     limit = np.uint64(_known_limit(threshold))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, counts = frequent.value
         for batch in batches:
-            names, ns, firsts = (batch.column(i).to_pylist() for i in range(3))
-            for start in range(0, len(names), 500):
+            ns, firsts = (batch.column(i).to_pylist() for i in (1, 2))
+            for start in range(0, len(ns), 500):
                 parts = []
                 for packed, n in zip(firsts[start : start + 500], ns[start : start + 500]):
                     first = np.frombuffer(packed, np.uint64)
                     order, levels, best = _prefix(first, n, threshold, limit, tokens, counts)
-                    kept = first[order]
-                    # A known shingle that no other class has leads to nobody.
-                    shared = (kept >= limit) | bloom.passes(repeats.value, mix(kept))
-                    parts.append((kept[shared], levels[shared], best))
-                lengths = np.array([len(p[0]) for p in parts])
-                who = np.repeat(np.arange(start, start + len(parts)), lengths)
+                    parts.append((first[order], (n << 2 * MATCH_BITS) + (levels << MATCH_BITS) + best))
+                who = np.repeat(np.arange(start, start + len(parts)), [len(p[0]) for p in parts])
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.concatenate([p[0] for p in parts]).view(np.int64)),
                         batch.column(0).take(pa.array(who)),
-                        batch.column(1).take(pa.array(who)),
-                        pa.array(np.concatenate([p[1] for p in parts]).astype(np.int32)),
-                        pa.array(np.repeat(np.array([p[2] for p in parts], np.int32), lengths)),
+                        pa.array(np.concatenate([p[1] for p in parts]).astype(np.int64)),
                     ],
-                    names=["token", "set_id", "n", "level", "matches"],
+                    names=["token", "number", "packed"],
                 )
 
     return run
 
 
-POSTINGS = "token long, set_id binary, n long, level int, matches int"
+# A posting travels as three numbers; the last holds n, the level and the matches asked for.
+MATCH_BITS = 5
+POSTINGS = "token long, number long, packed long"
+_LOW = (1 << MATCH_BITS) - 1
+
+
+def _unpacked(postings: DataFrame) -> DataFrame:
+    return postings.withColumns(
+        {
+            "n": F.shiftright("packed", 2 * MATCH_BITS),
+            "level": F.shiftright("packed", MATCH_BITS).bitwiseAND(F.lit(_LOW)),
+            "matches": F.col("packed").bitwiseAND(F.lit(_LOW)),
+        }
+    ).drop("packed")
 
 
 def _place(name: bytes, row: int | None) -> bytes:
@@ -250,7 +241,7 @@ def _compare_blocks(threshold: int):
     """Links between the sets of two blocks, as a forest with the same connections."""
 
     def run(_key, table):
-        given = dict(zip(table.column("set_id").to_pylist(), table.column("members")))
+        given = dict(zip(table.column("number").to_pylist(), table.column("members")))
         names = list(given)
         sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in given.values()]
         sizes = np.array([len(x) for x in sets])
@@ -285,68 +276,82 @@ def _compare_blocks(threshold: int):
                     pair = sorted((names[member], names[other]))
                     one.append(pair[0])
                     two.append(pair[1])
-        return pa.table({"a": pa.array(one, pa.binary()), "b": pa.array(two, pa.binary())})
+        return pa.table({"a": pa.array(one, pa.int64()), "b": pa.array(two, pa.int64())})
 
     return run
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.col("a").alias("set_id")).union(pairs.select("b"))
+    return pairs.select(F.col("a").alias("number")).union(pairs.select("b"))
 
 
 class JaccardJoin:
-    """The join over one table of documents; intermediate tables are in the shared folder.
+    """The join over one table of documents; intermediate tables are in one folder of the shared folder.
 
     ``ids`` is the long column that results carry and ``text`` the column compared. Other
     columns are not read. A null or empty text, or one without words, has no shingles and
     links with nothing. Repeated rows and repeated ids are members like any other. Rows with a null
     id count as members, but never as the smallest id of a component.
+
+    Classes have numbers, given once when their table is written. ``discard`` deletes all
+    intermediate tables; results that are still to be read must be stored elsewhere before.
     """
 
     def __init__(self, documents: DataFrame, ids: str, text: str, size: int = 5, threshold: int = 80) -> None:
         self.threshold, self.size = threshold, size
         self.spark = documents.sparkSession
         bound_batches(self.spark)
+        self.folder = scratch_path(self.spark, "jaccard")
         self.texts = documents.select(F.col(ids).cast("long").alias("id"), F.col(text).alias("text"))
         profiles = self.texts.mapInArrow(_profiles(size, threshold), "id long, n long, set_id binary, first binary")
         # Two passes over the texts cost less space than keeping the shingles of every copy.
-        self.profiles = store(profiles.select("id", "n", "set_id"), "jaccard-profiles")
-        self.classes = store(
-            profiles.where("n > 0").groupBy("set_id").agg(F.first("n").alias("n"), F.first("first").alias("first")),
-            "jaccard-classes",
+        self.profiles = self._store(profiles.select("id", "n", "set_id"), "profiles")
+        classes = (
+            profiles.where("n > 0")
+            .groupBy("set_id")
+            .agg(F.first("n").alias("n"), F.first("first").alias("first"), F.min("id").alias("least"))
         )
+        self.classes = self._store(classes.withColumn("number", F.monotonically_increasing_id()), "classes")
         self.postings = self._shared_postings()
 
+    def _store(self, df: DataFrame, name: str) -> DataFrame:
+        return store(df, name, self.folder)
+
+    def discard(self) -> None:
+        """Delete the intermediate tables."""
+        discard(self.spark, self.folder)
+
     def _shared_postings(self) -> DataFrame:
-        """Prefix shingles that more than one class has."""
-        seen = self.classes.select("first").mapInArrow(_repeats(self.threshold, bloom.DEFAULT_BITS), bloom.SCHEMA)
-        repeats = self.spark.sparkContext.broadcast(bloom.build(seen, bloom.DEFAULT_BITS)[1])
-        frequent = self.spark.sparkContext.broadcast(_frequencies(self.classes, self.threshold, repeats))
-        made = self.classes.select("set_id", "n", "first").mapInArrow(_postings(self.threshold, frequent, repeats), POSTINGS)
-        lists = made.groupBy("token").agg(F.count("*").alias("length"), F.sum("n").alias("total")).where("length > 1")
-        return store(made.join(lists, "token"), "jaccard-postings")
-
-    def _sets(self, names: DataFrame) -> DataFrame:
-        """The whole shingle sets of the classes named."""
+        """Prefix shingles that more than one class has: token, number, n, level, matches, length of the list."""
+        frequent = self.spark.sparkContext.broadcast(_frequencies(self.classes, self.threshold, self.folder))
+        made = self.classes.select("number", "n", "first").mapInArrow(_postings(self.threshold, frequent), POSTINGS)
+        made = self._store(made, "made")
+        lists = made.groupBy("token").agg(F.count("*").alias("length")).where("length > 1")
+        return _unpacked(self._store(made.join(lists, "token"), "postings"))
+
+    def _sets(self, numbers: DataFrame) -> DataFrame:
+        """The whole shingle sets of the classes named: number, members."""
         # One document of each class gives its set; the filter keeps the others out of the shuffle.
-        one = self.profiles.where("n > 0").groupBy("set_id").agg(F.min("id").alias("id"))
-        names = store(names.select("set_id").distinct(), "jaccard-names")
-        places = names.join(one, "set_id").mapInArrow(_places, "place binary")
-        wanted = self.spark.sparkContext.broadcast(bloom.of_names(places, "place", 24))
+        names = self.classes.select("number", "set_id", F.col("least").alias("id"))
+        names = self._store(names.join(numbers.select("number").distinct(), "number"), "names")
+        places = names.select("set_id", "id").mapInArrow(_places, "place binary")
+        bits = max(18, min(bloom.DEFAULT_BITS, (8 * names.count()).bit_length()))
+        wanted = self.spark.sparkContext.broadcast(bloom.of_names(places, "place", bits))
         sets = self.texts.select("text", "id").mapInArrow(_whole_sets(self.size, wanted), "set_id binary, members binary")
-        return store(sets.groupBy("set_id").agg(F.first("members").alias("members")), "jaccard-sets")
+        sets = sets.groupBy("set_id").agg(F.first("members").alias("members"))
+        return self._store(sets.join(names.select("set_id", "number"), "set_id").select("number", "members"), "sets")
 
     def _candidates(self, met: DataFrame) -> DataFrame:
         """Pairs of rows (a, b, asked), one row for each common prefix shingle, that have enough."""
         pairs = met.groupBy("a", "b").agg(F.count("*").alias("met"), F.first("asked").alias("asked"))
-        return store(pairs.where("met >= asked").select("a", "b"), "jaccard-pairs")
+        return self._store(pairs.where("met >= asked").select("a", "b"), "pairs")
 
     def _verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """The linked ones among pairs (a, b)."""
-        one = sets.select(F.col("set_id").alias("a"), F.col("members").alias("left"))
-        two = sets.select(F.col("set_id").alias("b"), F.col("members").alias("right"))
+        one = sets.select(F.col("number").alias("a"), F.col("members").alias("left"))
+        two = sets.select(F.col("number").alias("b"), F.col("members").alias("right"))
         joined = pairs.join(two, "b").join(one, "a").select("a", "b", "left", "right")
-        return joined.mapInArrow(_verify(self.threshold), "a binary, b binary")
+        return joined.mapInArrow(_verify(self.threshold), "a long, b long")
 
     def _pairs(self, postings: DataFrame, homes: DataFrame | None = None) -> DataFrame:
         """All members of a list that may link, block by block, but for those that met at a home."""
@@ -354,77 +359,99 @@ class JaccardJoin:
         if homes is None:
             postings = postings.withColumn("home", F.lit(None).cast("long")).withColumn("visits", F.array().cast("array<long>"))
         else:
-            postings = postings.join(homes, "set_id", "left")
-        left = postings.withColumn("block", F.pmod(F.hash("set_id"), blocks))
+            postings = postings.join(homes, "number", "left")
+        left = postings.withColumn("block", F.pmod(F.hash("number"), blocks))
         right = postings.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
         met = F.array_contains("q.visits", F.col("p.home")) | F.array_contains("p.visits", F.col("q.home"))
         pair = left.alias("p").join(
             right.alias("q"),
             (F.col("p.token") == F.col("q.token"))
             & (F.col("p.block") == F.col("q.block"))
-            & (F.col("p.set_id") < F.col("q.set_id"))
+            & (F.col("p.number") < F.col("q.number"))
             & (F.greatest("p.level", "q.level") <= F.least("p.matches", "q.matches"))
             & (F.col("p.n") * 100 >= F.col("q.n") * self.threshold)
             & (F.col("q.n") * 100 >= F.col("p.n") * self.threshold)
             & ~F.coalesce(met, F.lit(False)),
         )
         return pair.select(
-            F.col("p.set_id").alias("a"), F.col("q.set_id").alias("b"), F.least("p.matches", "q.matches").alias("asked")
+            F.col("p.number").alias("a"), F.col("q.number").alias("b"), F.least("p.matches", "q.matches").alias("asked")
         )
 
     def links(self) -> DataFrame:
-        """All linked pairs of classes: a, b, the set_id of ``members``."""
+        """All linked pairs of classes: a, b, the numbers of ``members``."""
         pairs = self._candidates(self._pairs(self.postings))
         return self._verified(pairs, self._sets(_ends(pairs)))
 
     def members(self) -> DataFrame:
-        """Each document with the name of its class: id, n_shingles, set_id (null without shingles)."""
-        return self.profiles.select("id", F.col("n").alias("n_shingles"), "set_id")
+        """Each document with the number of its class: id, n_shingles, number (null without shingles)."""
+        found = self.profiles.join(self.classes.select("set_id", "number"), "set_id", "left")
+        return found.select("id", F.col("n").alias("n_shingles"), "number")
+
+    def _apart(self, visits: DataFrame) -> DataFrame:
+        """The postings of short lists, and those of long lists whose members have not all met at one home.
+
+        All members of a long list have a home. Those at home there have met every member, and
+        members with the same home have met each other.
+        """
+        guests = visits.where("token <> home")
+        mixed = guests.groupBy("token").agg(
+            F.count("*").alias("guests"), F.min("home").alias("one"), F.max("home").alias("other")
+        )
+        mixed = mixed.where("one <> other").select("token", "guests")
+        kept = guests.join(mixed, "token").withColumn("length", F.col("guests"))
+        columns = ["token", "number", "n", "level", "matches", "length"]
+        return self.postings.where(F.col("length") <= LONG_LIST).select(columns).unionByName(kept.select(columns))
 
     def _connections(self) -> DataFrame:
         """Links that connect the same classes as all links do."""
         long_lists = self.postings.where(F.col("length") > LONG_LIST)
-        homes = long_lists.groupBy("set_id").agg(F.max(F.struct("length", "token"))["token"].alias("home"))
-        visits = store(long_lists.select("token", "set_id", "n", "length", "total").join(homes, "set_id"), "jaccard-visits")
-        at_home = visits.where("token = home").groupBy("token").agg(F.count("*").alias("homes"), F.sum("n").alias("home_total"))
-        inside = store(visits.join(at_home, "token"), "jaccard-inside")
+        homes = long_lists.groupBy("number").agg(F.max(F.struct("length", "token"))["token"].alias("home"))
+        visits = self._store(long_lists.join(homes, "number"), "visits")
+        at_home = F.col("token") == F.col("home")
+        totals = visits.groupBy("token").agg(
+            F.count(F.when(at_home, 1)).alias("homes"),
+            F.sum(F.when(at_home, F.col("n"))).alias("home_total"),
+            F.count(F.when(~at_home, 1)).alias("others"),
+            F.coalesce(F.sum(F.when(~at_home, F.col("n"))), F.lit(0)).alias("other_total"),
+        )
+        inside = visits.select("token", "number", "home").join(totals.where("homes > 0"), "token")
+        inside = self._store(inside, "inside")
 
         def parts(count: str, total: str):
             return F.greatest(F.ceil(F.col(count) / BLOCK_MEMBERS), F.ceil(F.col(total) / BLOCK_SHINGLES)).cast("int")
 
-        rows, columns = parts("homes", "home_total"), parts("length", "total")
-        own_row, own_column = F.pmod(F.hash("set_id"), rows), F.pmod(F.hash("set_id"), columns)
-        hosts = inside.where("token = home").select(
-            "token", "set_id", own_row.alias("x"), F.explode(F.sequence(F.lit(0), columns - 1)).alias("y")
-        )
-        guests = inside.select(
-            "token", "set_id", F.explode(F.sequence(F.lit(0), rows - 1)).alias("x"), own_column.alias("y")
-        )
-        met = inside.groupBy("set_id").agg(F.first("home").alias("home"), F.collect_list("token").alias("visits"))
-        pairs = self._candidates(self._pairs(self.postings, met))
-        sets = self._sets(_ends(pairs).union(inside.select("set_id")))
+        # Members at home lie in the first blocks, the others in blocks behind them. Every block at
+        # home meets each block once: itself, those at home in unordered pairs, and those behind.
+        host_blocks, guest_blocks = parts("homes", "home_total"), parts("others", "other_total")
+        own_host, own_guest = F.pmod(F.hash("number"), host_blocks), F.pmod(F.hash("number"), guest_blocks)
+        own = F.when(at_home, own_host).otherwise(host_blocks + own_guest)
+        last = F.when(at_home, host_blocks + guest_blocks).otherwise(host_blocks) - 1
+        cells = inside.select("token", "number", own.alias("own"), F.explode(F.sequence(F.lit(0), last)).alias("other"))
+        cells = cells.select("token", "number", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
+        met = inside.groupBy("number").agg(F.first("home").alias("home"), F.collect_list("token").alias("visits"))
+        pairs = self._candidates(self._pairs(self._apart(visits), met))
+        sets = self._sets(_ends(pairs).union(inside.select("number")))
         forest = (
-            hosts.union(guests)
-            .distinct()
-            .join(sets, "set_id")
+            cells.join(sets, "number")
             .groupBy("token", "x", "y")
-            .applyInArrow(_compare_blocks(self.threshold), "a binary, b binary")
+            .applyInArrow(_compare_blocks(self.threshold), "a long, b long")
         )
         return forest.union(self._verified(pairs, sets))
 
     def components(self) -> DataFrame:
-        """One row per document: id, n_shingles, component_id (smallest id reachable by links)."""
-        links = store(self._connections(), "jaccard-links")
-        members = self.members()
-        full = members.where("set_id IS NOT NULL")
-        smallest = full.groupBy("set_id").agg(F.min("id").alias("least"))
-        if not links.isEmpty():
-            labels = connected_components(links, "jaccard-components").withColumnRenamed("id", "set_id")
-            smallest = smallest.join(labels, "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
-            groups = smallest.groupBy("component").agg(F.min("least").alias("component_id"))
-            smallest = smallest.join(groups, "component").select("set_id", "component_id")
-        else:
-            smallest = smallest.withColumnRenamed("least", "component_id")
-        empty = members.where("set_id IS NULL").withColumn("component_id", F.col("id"))
-        columns = ["id", "n_shingles", "component_id"]
-        return full.join(smallest, "set_id").select(columns).unionByName(empty.select(columns))
+        """One row per document: id, n_shingles, component_id (smallest id reachable by links).
+
+        The result is stored and the intermediate tables are deleted, so it is the last call.
+        """
+        links = self._store(self._connections(), "links")
+        smallest = self.classes.select("number", "set_id", "least")
+        labels = connected_components(links, "components", self.folder).withColumnRenamed("id", "number")
+        smallest = smallest.join(labels, "number", "left").withColumn("component", F.coalesce("component", "number"))
+        groups = smallest.groupBy("component").agg(F.min("least").alias("component_id"))
+        smallest = smallest.join(groups, "component").select("set_id", "component_id")
+        full = self.profiles.where("set_id IS NOT NULL").join(smallest, "set_id")
+        empty = self.profiles.where("set_id IS NULL").withColumn("component_id", F.col("id"))
+        columns = ["id", F.col("n").alias("n_shingles"), "component_id"]
+        found = store(full.select(columns).unionByName(empty.select(columns)), "jaccard-members")
+        self.discard()
+        return found
