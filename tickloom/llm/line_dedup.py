@@ -173,11 +173,12 @@ def drop_common_lines(
         .where(F.col("found_in") >= min_documents)
     )
     common = store(common, "line-common")
-    # The join on a key that very many documents have is split into so many parts.
-    most = common.agg(F.max("found_in")).first()[0] or 0
-    parts = -(-most // PART_DOCUMENTS) or 1
-    spread = common.select("h1", "h2", "first", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
-    hits = suspects.withColumn("part", F.pmod(F.hash("row_key"), F.lit(parts))).join(spread, ["h1", "h2", "part"])
+    # A key that very many documents have is split into as many parts as its own count asks for.
+    parts = F.ceil(F.col("found_in") / PART_DOCUMENTS).cast("int")
+    hot = common.where(parts > 1).select("h1", "h2", parts.alias("parts"))
+    spread = common.select("h1", "h2", "first", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+    part = F.pmod(F.hash("row_key"), F.coalesce("parts", F.lit(1))).alias("part")
+    hits = suspects.join(hot, ["h1", "h2"], "left").select("h1", "h2", "row_key", part).join(spread, ["h1", "h2", "part"])
     verdict = hits.groupBy("row_key").agg(
         F.collect_set("h1").alias("cut"),
         F.collect_set(F.when((F.col("first.row_key") == F.col("row_key")), F.col("first.line"))).alias("first"),
