@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tickloom.llm import decontaminate, line_dedup, quality_classifier, sentencepiece_nbest
 from tickloom.llm.jaccard_join import JaccardJoin
 from tickloom.llm.queries import tokenizer_path
-from tickloom.session import scratch_path
+from tickloom.session import scratch_path, store
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -29,24 +29,32 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that ten or more documents have go, and n_chars follows; every document stays."""
     kept = line_dedup.drop_common_lines(docs, min_documents=10, least_chars=1)
-    length = F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return kept.withColumn("n_chars", length).select(*docs.columns)
+    if "n_chars" in docs.columns:
+        length = F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+        kept = kept.withColumn("n_chars", length)
+    return kept.select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by five-word shingles at 0.8 stays: that with the smallest id.
 
-    Of fully repeated rows one stays. A row with a null id cannot be named as a duplicate and stays.
+    Rows are told apart by id and content, so a repeated or null id keeps no copy; null ids come last.
+    Of rows with the same id and text one stays. Null and empty texts are linked with nothing and stay.
     """
-    groups = JaccardJoin(docs, "doc_id", "text", size=5, threshold=80).components()
-    first = groups.where("id = component_id").groupBy(F.col("id").alias("first_id")).agg(F.count("*").alias("copies"))
-    kept = docs.join(first, F.col("doc_id") == F.col("first_id"))
-    single = kept.where("copies = 1").select(*docs.columns)
-    repeated = first.where("copies > 1")
-    if not repeated.isEmpty():
-        several = docs.join(repeated, F.col("doc_id") == F.col("first_id")).select(*docs.columns)
-        single = single.unionByName(several.dropDuplicates(["doc_id", "text"]))
-    return single.unionByName(docs.where("doc_id IS NULL"))
+    key = F.xxhash64("doc_id", F.coalesce("text", F.lit("")))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), key.alias("key"))
+    groups = JaccardJoin(rows.select("key", "row.text"), "key", "text", size=5, threshold=80).components()
+    groups = groups.groupBy(F.col("id").alias("key")).agg(F.first("component_id").alias("group"), F.count("*").alias("copies"))
+    ids = rows.groupBy("key").agg(F.first("row.doc_id").alias("id"))
+    place = F.struct(F.isnull("id"), "id", "key", "copies").alias("place")
+    chosen = ids.join(groups, "key").groupBy("group").agg(F.min(place).alias("place")).select("place.key", "place.copies")
+    chosen = store(chosen, "pipeline-chosen")
+    single = rows.join(chosen.where("copies = 1"), "key").select("row.*")
+    repeated = chosen.where("copies > 1")
+    if repeated.isEmpty():
+        return single
+    several = rows.join(repeated, "key").dropDuplicates(["key"]).select("row.*")
+    return single.unionByName(several)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
