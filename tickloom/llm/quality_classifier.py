@@ -28,7 +28,7 @@ INPUTS = 2 * DIMENSIONS + 2
 WINDOW = 2
 # Word vectors are summed up in rows of so many vocabulary cells.
 CELLS = 1024
-GATHERED_BYTES = 4 << 20
+GATHERED_BYTES = 1 << 20
 # Pooling holds a vector per token of a block.
 POOLED_BYTES = 1 << 19
 # Labelled documents the network is fitted on at most, drawn by a hash of their id.
@@ -39,7 +39,7 @@ DECAY = 1e-3
 
 _RANDOM = np.random.default_rng(7)
 _TOKEN_BYTES = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_KIND = np.arange(256)
+_KIND = np.arange(256, dtype=np.uint8)
 _KIND[[32, 9, 10, 11, 12, 13]] = 0
 _KIND[48:58] = 1
 _KIND[65:91] = 2

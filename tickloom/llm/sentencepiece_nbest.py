@@ -28,7 +28,7 @@ UNKNOWN_PENALTY = 10.0
 LATTICE_CELLS = 1 << 16
 KEPT_UNITS = 500_000
 KEPT_ALTERNATIVES = 20_000
-ENCODED_BYTES = 2 << 20
+ENCODED_BYTES = 1 << 19
 SLOT_BITS = 20
 
 _RANDOM = np.random.default_rng(5)

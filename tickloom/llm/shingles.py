@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Texts are hashed in blocks of about so many bytes, which bounds a task's working memory.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 19
 
 _RANDOM = np.random.default_rng(20240131)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
