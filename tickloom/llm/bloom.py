@@ -23,28 +23,26 @@ ARROW_SCHEMA = pa.schema([("block", pa.int32()), ("seen", pa.binary()), ("repeat
 
 
 class Gathered:
-    """The two filters of one task."""
+    """The two filters of one task, as a byte per cell: 1 if it was set, 3 if more than once."""
 
     def __init__(self, bits: int) -> None:
         self.shift = np.uint64(64 - bits)
-        self.seen = np.zeros(1 << bits, dtype=bool)
-        self.repeats = np.zeros(1 << bits, dtype=bool)
+        self.cells = np.zeros(1 << bits, np.uint8)
 
     def add(self, hashes: np.ndarray) -> None:
         """Add the distinct hashes of one document."""
-        at = hashes.astype(np.uint64) >> self.shift
-        self.repeats[at[self.seen[at]]] = True
-        if len(at) > 1:
-            ordered = np.sort(at)
-            self.repeats[ordered[1:][ordered[1:] == ordered[:-1]]] = True
-        self.seen[at] = True
+        at = np.sort(hashes.astype(np.uint64) >> self.shift)
+        again = self.cells[at] > 0
+        again[1:] |= at[1:] == at[:-1]
+        self.cells[at] |= np.uint8(1)
+        self.cells[at[again]] = 3
 
     def blocks(self) -> Iterator[pa.RecordBatch]:
         size = 1 << BLOCK_BITS
-        for block in range(len(self.seen) // size):
-            part = slice(block * size, (block + 1) * size)
-            if self.seen[part].any():
-                packed = [zlib.compress(np.packbits(x[part]).tobytes(), 1) for x in (self.seen, self.repeats)]
+        for block in range(len(self.cells) // size):
+            part = self.cells[block * size : (block + 1) * size]
+            if part.any():
+                packed = [zlib.compress(np.packbits(part >= least).tobytes(), 1) for least in (1, 3)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([block], pa.int32()), pa.array(packed[:1], pa.binary()), pa.array(packed[1:], pa.binary())],
                     schema=ARROW_SCHEMA,
