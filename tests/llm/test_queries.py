@@ -48,3 +48,13 @@ def test_stages_handle_nulls_repeats_and_empty_tables(spark, sf_dir):
         if name == "near duplicates":
             assert out.where("doc_id = 900002").count() == 1
             assert out.where("doc_id IS NULL").count() == 2
+
+
+def test_near_duplicates_are_rows_not_ids(spark):
+    """Copies under a repeated or null id go; columns may have any name."""
+    long = " ".join(f"word{i}" for i in range(60))
+    rows = [(1, long, 5, 0), (1, long + " tail", 6, 0), (None, long, 7, 0), (1, "other words than those above", 8, 0), (2, long, 9, 0)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, copies long, key long")
+    kept = corpus_pipeline.drop_near_duplicates(spark, frame, "").collect()
+    assert len(kept) == 2 and {r.doc_id for r in kept} == {1}
+    assert sum(r.text.startswith(long) for r in kept) == 1
