@@ -286,13 +286,19 @@ def test_statistics_reach_the_optimizer(spark, tmp_path):
         spark.conf.unset("spark.sql.cbo.enabled")
 
 
-def test_large_snapshot_is_not_one_file(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(curated, "SINGLE_FILE_ROWS", 10)
-    rows = spark.range(100_000).repartition(4)
-    plan = rows.hint("rebalance")._jdf.queryExecution().optimizedPlan().toString()
-    assert "Rebalance" in plan
-    path = curated.write_snapshot(rows, str(tmp_path), "2024-01-01")
-    assert spark.read.parquet(path).count() == 100_000
+def test_files_of_a_snapshot_and_an_export(spark, tmp_path):
+    rows = spark.range(1000).withColumn("name", F.concat(F.lit('a, "b" '), "id"))
+    for wanted in (4, 1):
+        snapshot = spark.read.parquet(curated.write_snapshot(rows, str(tmp_path), "2024-01-01", files=wanted))
+        assert files.output_summary(snapshot).first()["files"] == wanted
+        assert snapshot.orderBy("id").collect() == rows.collect()
+        curated.write_csv(rows, f"{tmp_path}/csv", files=wanted)
+        back = spark.read.option("header", True).option("escape", "\\").csv(f"{tmp_path}/csv")
+        assert files.output_summary(back).first()["files"] == wanted
+        assert {(int(r["id"]), r["name"]) for r in back.collect()} == {tuple(r) for r in rows.collect()}
+    none = spark.read.parquet(curated.write_snapshot(rows.limit(0), str(tmp_path), "2024-01-02"))
+    assert none.columns == ["id", "name"] and none.isEmpty()
+    assert [curated.files_for(n, 10) for n in (0, 1, 10, 11, 100)] == [1, 1, 1, 2, 10]
 
 
 def test_stream_reads_each_file_once_and_repeats_safely(spark, landed, tmp_path):

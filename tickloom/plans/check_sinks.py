@@ -14,7 +14,7 @@ from tickloom.schema import FACT_COLUMNS, WAREHOUSE_DECIMALS, to_warehouse_types
 from tickloom.session import partitions_for, scratch_path, store, stored_bytes
 from tickloom.sinks import curated, warehouse
 from tickloom.sinks.versioned import open_table
-from tickloom.sources.files import file_inventory, read_csv_bars
+from tickloom.sources.files import file_inventory, output_summary, read_csv_bars
 
 EVENT_FACT = f"{EVENT_BARS}, {fact('event_bars')}"
 SHIP_FACT = f"{SHIP_BARS}, {fact('ship_bars')}"
@@ -43,13 +43,25 @@ def sized_files(spark, sf_dir):
     )
 
 
-@checked("k3_daily_snapshot", f"WITH {EVENT_FACT} SELECT count(*) AS row_count, TRUE AS one_file_if_small FROM fact")
+@checked(
+    "k3_daily_snapshot",
+    f"""WITH {EVENT_FACT} SELECT files, symbol, trade_date, close_price, volume, files AS file_count
+    FROM fact, (VALUES (1), (4)) f(files)""",
+)
 def daily_snapshot(spark, sf_dir):
-    path = curated.write_snapshot(event_fact(spark, sf_dir), scratch_path(spark, "target"), RUN_DATE)
-    return file_inventory(spark.read.parquet(path)).agg(
-        F.sum("row_count").alias("row_count"),
-        ((F.count("*") == 1) | (F.sum("row_count") > curated.SINGLE_FILE_ROWS)).alias("one_file_if_small"),
-    )
+    """The rows of a snapshot in one file and in four, each written over an earlier one in another number of files."""
+    fact = store(event_fact(spark, sf_dir), "fact")
+    together = None
+    for wanted, before in ((1, 4), (4, 1)):
+        target = scratch_path(spark, "target")
+        curated.write_snapshot(fact, target, RUN_DATE, files=before)
+        snapshot = spark.read.parquet(curated.write_snapshot(fact, target, RUN_DATE, files=wanted))
+        count = output_summary(snapshot).first()["files"]
+        rows = snapshot.select(
+            F.lit(wanted).alias("files"), "symbol", "trade_date", "close_price", "volume", F.lit(count).cast("int").alias("file_count")
+        )
+        together = rows if together is None else together.unionByName(rows)
+    return together
 
 
 @checked(
@@ -65,7 +77,7 @@ def partitioned_write(spark, sf_dir):
 @checked("k5_csv_export", f"WITH {SHIP_BARS} SELECT {RAW_LIST} FROM ship_bars")
 def csv_export(spark, sf_dir):
     path = scratch_path(spark, "export")
-    curated.write_csv(ship_bars(spark, sf_dir), path)
+    curated.write_csv(ship_bars(spark, sf_dir), path, files=3)
     return read_csv_bars(spark, path)
 
 

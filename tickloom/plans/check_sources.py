@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tickloom.plans import landing
 from tickloom.plans.derived import (
@@ -13,10 +14,10 @@ from tickloom.plans.oracle import (
 )
 from tickloom.plans.oracle import letters as sql_letters
 from tickloom.plans.registry import checked
-from tickloom.schema import RAW_COLUMNS
+from tickloom.schema import RAW_COLUMNS, RAW_SCHEMA
 from tickloom.session import scratch_path
 from tickloom.sinks.curated import write_curated, write_snapshot
-from tickloom.sources import files, json_bars, payloads
+from tickloom.sources import files, json_bars, payloads, text_tables
 
 RUN_DATE = "2024-01-31"
 
@@ -64,12 +65,16 @@ def directory_scan(spark, sf_dir):
     FROM type_bars, (VALUES ('csv'), ('json'), ('parquet'), ('unknown')) f(format) GROUP BY 1""",
 )
 def read_by_extension(spark, sf_dir):
+    """Each format by the same operator; CSV files differ in the order of their columns."""
     bars = type_bars(spark, sf_dir)
     base = scratch_path(spark, "formats")
     bars.write.parquet(f"{base}/bars.parquet")
     stored = spark.read.parquet(f"{base}/bars.parquet")
-    stored.write.option("header", True).csv(f"{base}/bars.csv")
-    stored.write.option("header", True).csv(f"{base}/bars.dat")
+    # Files with the same columns in another order stand beside each other.
+    odd = F.col("volume") % 2 == 1
+    for name in ("csv", "dat"):
+        stored.where(odd).write.option("header", True).csv(f"{base}/bars.{name}")
+        stored.where(~odd).select(RAW_COLUMNS[::-1]).write.mode("append").option("header", True).csv(f"{base}/bars.{name}")
     # One envelope per file: there are few symbols.
     landing.envelopes(stored).write.partitionBy("symbol").json(f"{base}/bars.json")
     read = {
@@ -143,24 +148,25 @@ def symbol_dimension(spark, sf_dir):
 
 @checked(
     "s9_load_formats",
-    f"""WITH {EVENT_BARS} SELECT format, count(*) AS row_count, CAST(sum(volume) AS BIGINT) AS volume
-    FROM event_bars, (VALUES ('CSV'), ('JSON'), ('PARQUET')) f(format) GROUP BY 1""",
+    f"""WITH {EVENT_BARS} SELECT format, {RAW_LIST}
+    FROM event_bars, (VALUES ('CSV'), ('JSON'), ('PARQUET')) f(format)""",
 )
 def load_formats(spark, sf_dir):
+    """Loads by the table's schema: every column of every row in its type, whatever the format."""
     bars = event_bars(spark, sf_dir)
     base = scratch_path(spark, "loads")
     bars.write.parquet(f"{base}/parquet")
     stored = spark.read.parquet(f"{base}/parquet")
-    stored.write.option("header", True).option("sep", "|").csv(f"{base}/csv")
+    odd = F.col("volume") % 2 == 1
+    stored.where(odd).write.option("header", True).option("sep", "|").csv(f"{base}/csv")
+    stored.where(~odd).select(RAW_COLUMNS[::-1]).write.mode("append").option("header", True).option("sep", "|").csv(f"{base}/csv")
     stored.write.json(f"{base}/json")
     together = None
     for name in ("PARQUET", "CSV", "JSON"):
-        rows = files.read_for_load(spark, f"{base}/{name.lower()}", name, delimiter="|")
-        part = rows.select(F.lit(name).alias("format"), F.col("volume").cast("long").alias("volume"))
+        rows = files.read_for_load(spark, f"{base}/{name.lower()}", name, delimiter="|", schema=RAW_SCHEMA)
+        part = rows.select(F.lit(name).alias("format"), *RAW_COLUMNS)
         together = part if together is None else together.unionByName(part)
-    return together.groupBy("format").agg(
-        F.count("*").alias("row_count"), F.sum("volume").alias("volume")
-    )
+    return together
 
 
 @checked(
@@ -199,6 +205,45 @@ def file_inventory(spark, sf_dir):
     )
 
 
+LOADED = "symbol string, timestamp string, volume bigint, close_price double"
+
+
+@checked(
+    "s13_error_positions",
+    f"""WITH {EVENT_BARS}, lines AS (
+      SELECT symbol, "timestamp", day(trade_date) AS d, row_number() OVER (ORDER BY symbol, "timestamp") AS line FROM event_bars),
+    errors AS (
+      SELECT TIMESTAMP '2024-02-02 00:00:00' AS load_time, 'json' AS file, line,
+             CASE WHEN d % 7 <> 0 THEN 'volume' END AS column_name,
+             CASE WHEN d % 7 <> 0 THEN length('{{"symbol":"' || symbol || '","timestamp":"' || "timestamp" || '","volume":') + 1 END AS position,
+             CASE WHEN d % 7 = 0 THEN '{{ "symbol": ' || symbol ELSE 'many' END AS raw_value,
+             CASE WHEN d % 7 = 0 THEN 'no JSON' ELSE 'not a bigint' END AS reason
+      FROM lines WHERE d % 7 = 0 OR d % 5 = 0
+      UNION ALL
+      SELECT TIMESTAMP '2024-02-01 00:00:00', 'csv', line + 1, 'volume', length(symbol) + length("timestamp") + 3, 'many', 'not a bigint'
+      FROM lines WHERE d % 5 = 0)
+    SELECT load_time, file, CAST(line AS BIGINT) AS line, column_name, CAST(position AS INTEGER) AS position, raw_value, reason
+    FROM errors""",
+)
+def error_positions(spark, sf_dir):
+    """Volumes spelled as a word and broken lines of two loads, with file, line, column and place in the line."""
+    base = scratch_path(spark, "rejects")
+    day = F.dayofmonth(F.to_date("timestamp"))
+    volume = F.when(day % 5 == 0, "many").otherwise(F.col("volume").cast("string")).alias("volume")
+    bars = event_bars(spark, sf_dir).select("symbol", "timestamp", volume, "close_price")
+    # One file each, so that SQL knows the line numbers.
+    bars = bars.repartition(1).sortWithinPartitions("symbol", "timestamp")
+    bars.write.option("header", True).csv(f"{base}/csv")
+    broken = F.concat(F.lit('{ "symbol": '), "symbol")
+    bars.select(F.when(day % 7 == 0, broken).otherwise(F.to_json(F.struct(*bars.columns)))).write.text(f"{base}/json")
+    schema = StructType.fromDDL(LOADED)
+    older, newer = (F.to_timestamp(F.lit(f"2024-02-0{n} 00:00:00")) for n in (1, 2))
+    errors = text_tables.load_errors(spark, f"{base}/json", schema, newer, "JSON").unionByName(
+        text_tables.load_errors(spark, f"{base}/csv", schema, older, "CSV")
+    )
+    return errors.withColumn("file", F.regexp_extract("source_file", "/(csv|json)/[^/]*$", 1)).drop("source_file")
+
+
 @checked(
     "s13_load_errors",
     f"""WITH {DIRTY_BARS} SELECT "timestamp", 'volume' AS column_name, 'many' AS raw_value,

@@ -49,6 +49,8 @@ class JobConfig:
     # A run brings some days of a month; the others stay unless the run replaces whole partitions.
     merge: bool = True
     export_csv: bool = False
+    # Files of the snapshot and of the export; None: by the size of the input.
+    output_files: int | None = None
     # A trade date that must have rows once the warehouse is loaded.
     require_date: str | None = None
 
@@ -87,9 +89,9 @@ def curate(spark: SparkSession, config: JobConfig, run_time: datetime | None = N
     layer is written from the stored snapshot: no step is computed twice.
     """
     try:
-        with _sized_shuffles(spark, config):
+        with _sized_shuffles(spark, config) as size:
             raw = _raw_bars(spark, config)
-            return _curate(spark, raw, config, run_time or datetime.now())
+            return _curate(spark, raw, config, run_time or datetime.now(), size)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -97,13 +99,14 @@ def curate(spark: SparkSession, config: JobConfig, run_time: datetime | None = N
 
 
 @contextmanager
-def _sized_shuffles(spark: SparkSession, config: JobConfig) -> Iterator[None]:
-    """Shuffle partitions by the size of the input, as long as the job runs."""
+def _sized_shuffles(spark: SparkSession, config: JobConfig) -> Iterator[int]:
+    """Shuffle partitions by the size of the input, as long as the job runs; gives that size."""
     path = date_path(config.source_path, config.execution_date, config.prefix)
     before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", partitions_for(spark, stored_bytes(spark, path)))
+    size = stored_bytes(spark, path)
+    spark.conf.set("spark.sql.shuffle.partitions", partitions_for(spark, size))
     try:
-        yield
+        yield size
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
@@ -114,7 +117,8 @@ def _raw_bars(spark: SparkSession, config: JobConfig) -> DataFrame:
     )
 
 
-def _curate(spark, raw, config, run_time):
+def _curate(spark, raw, config, run_time, size):
+    files = config.output_files or curated.files_for(size)
     read, kept, made = Observation("read"), Observation("cleansed"), Observation("enriched")
     rows = F.count(F.lit(1)).alias("rows")
     cleansed = store(cleanse(raw.observe(read, rows)).observe(kept, rows), "cleansed")
@@ -137,7 +141,7 @@ def _curate(spark, raw, config, run_time):
         fresh = enriched.filter(role == incremental.INCOMING).drop(incremental.ROLE)
         staging = enriched.filter(role != incremental.LEAD).drop(incremental.ROLE)
     snapshot_path = curated.write_snapshot(
-        fresh.observe(made, rows), config.target_path, config.execution_date, kept.get["rows"]
+        fresh.observe(made, rows), config.target_path, config.execution_date, files
     )
     snapshot = spark.read.schema(fresh.schema).parquet(snapshot_path)
     staging = snapshot if staging is None else staging
@@ -151,7 +155,7 @@ def _curate(spark, raw, config, run_time):
     newest = incremental.merge_tails(tail.read() if config.merge and current else None, added)
     tail.replace_all(newest, _tail_of(processed))
     if config.export_csv:
-        curated.write_csv(snapshot, f"{config.target_path}/export/date={config.execution_date}")
+        curated.write_csv(snapshot, f"{config.target_path}/export/date={config.execution_date}", files)
     return {
         "rows_read": read.get["rows"],
         "rows_cleansed": kept.get["rows"],
@@ -209,7 +213,8 @@ def transform_directory(
     fact = store(fact_rows(cleansed, run_time or datetime.now()), "fact")
     curated.write_curated(fact, target_path, partition_by)
     if export_csv:
-        curated.write_csv(fact, f"{target_path.rstrip('/')}_csv")
+        files = curated.files_for(stored_bytes(spark, source_path))
+        curated.write_csv(fact, f"{target_path.rstrip('/')}_csv", files)
     return {
         **reports.dataset_stats(fact).first().asDict(),
         "rollup": [r.asDict() for r in reports.daily_rollup(fact, 10).collect()],
@@ -226,18 +231,18 @@ def validate_and_load(
     run_time: datetime | None = None,
 ) -> dict:
     """Validate every listed file, stop if the gate fails, else curate, load and verify."""
-    with _sized_shuffles(spark, config):
-        return _validate_and_load(spark, config, table_path, audit_path, suite, max_failed_ratio, run_time)
+    with _sized_shuffles(spark, config) as size:
+        return _validate_and_load(spark, config, table_path, audit_path, suite, max_failed_ratio, run_time, size)
 
 
-def _validate_and_load(spark, config, table_path, audit_path, suite, max_failed_ratio, run_time):
+def _validate_and_load(spark, config, table_path, audit_path, suite, max_failed_ratio, run_time, size):
     raw = store(_raw_bars(spark, config), "raw")
     path = date_path(config.source_path, config.execution_date, config.prefix)
     results = store(evaluate_files(spark, path, suite, raw, multi_line=config.multi_line), "validation")
     curated.write_audit(results, audit_path, config.execution_date)
     checked = quality.gate(results, max_failed_ratio)
 
-    summary = _curate(spark, raw, config, run_time or datetime.now())
+    summary = _curate(spark, raw, config, run_time or datetime.now(), size)
     if summary is None:
         raise warehouse.LoadError(f"no bars for {config.execution_date}")
     snapshot = read_snapshot(spark, config.target_path, config.execution_date)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 PARTITION_COLUMNS = ("year", "month")
-SINGLE_FILE_ROWS = 1_000_000
+FILE_BYTES = 512 * 1024 * 1024
 
 
 def write_curated(
@@ -40,31 +40,25 @@ def write_sized(df: DataFrame, path: str, rows_per_file: int = 100_000) -> None:
     write_curated(df, path, (), rows_per_file=rows_per_file)
 
 
-def write_snapshot(
-    df: DataFrame, target_path: str, execution_date: str, rows: int | None = None
-) -> str:
-    """One execution date's snapshot, replacing an earlier run's.
+def write_snapshot(df: DataFrame, target_path: str, execution_date: str, files: int = 1) -> str:
+    """One execution date's snapshot in ``files`` files of about equal rows, replacing an earlier run's.
 
-    It is a single file up to ``SINGLE_FILE_ROWS`` rows; a larger one would put all data
-    through one task, so it becomes a folder of balanced files.
+    A file is written by one task: name more than one for a table that a task cannot write in time
+    (``files_for`` tells how many by its size). An empty table keeps its schema in one file.
     """
     path = f"{target_path}/daily_snapshots/date={execution_date}"
-    if rows is None:
-        rows = df.count()
-    _few_files(df, rows).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    df.repartition(files).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
     return path
 
 
-def write_csv(df: DataFrame, path: str, rows: int | None = None) -> None:
-    """CSV with a header: one file while small, else balanced files with a header each."""
-    if rows is None:
-        rows = df.count()
-    _few_files(df, rows).write.mode("overwrite").option("header", True).csv(path)
+def write_csv(df: DataFrame, path: str, files: int = 1) -> None:
+    """CSV in ``files`` files of about equal rows with a header each; one task writes one file."""
+    df.repartition(files).write.mode("overwrite").option("header", True).csv(path)
 
 
-def _few_files(df: DataFrame, rows: int) -> DataFrame:
-    """One partition while small. The shuffle keeps the work before it parallel."""
-    return df.repartition(1) if rows <= SINGLE_FILE_ROWS else df.hint("rebalance")
+def files_for(size: int, bytes_per_file: int = FILE_BYTES) -> int:
+    """How many files of about ``bytes_per_file`` bytes hold ``size`` bytes of data."""
+    return max(1, -(-size // bytes_per_file))
 
 
 def write_audit(results: DataFrame, path: str, execution_date: str) -> None:

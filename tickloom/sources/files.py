@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from pyspark.sql import types as T
+
 from tickloom.operators.cleanse import coerce_types
+from tickloom.sources import text_tables
 from tickloom.sources.json_bars import read_bars
 
 
 def read_csv_bars(spark: SparkSession, path: str, delimiter: str = ",") -> DataFrame:
-    """Raw bars from CSV with a header; columns go by name, values convert or become NULL."""
-    rows = spark.read.option("header", True).option("sep", delimiter).csv(path)
-    return coerce_types(rows)
+    """Raw bars from CSV; columns go by each file's own header, values convert or become NULL."""
+    return coerce_types(text_tables.read_csv_by_name(spark, path, delimiter=delimiter))
 
 
 def read_by_extension(spark: SparkSession, path: str) -> DataFrame:
@@ -38,20 +40,29 @@ def read_for_load(
     file_format: str = "PARQUET",
     delimiter: str = ",",
     json_paths: dict[str, str] | None = None,
+    schema: T.StructType | None = None,
 ) -> DataFrame:
-    """What a table load reads: Parquet, CSV with a header line, or JSON lines.
+    """What a table load reads: Parquet, CSV by each file's header line, or JSON lines.
 
-    JSON goes by field names, or by a JSON path per column, such as ``{"close": "$.bar.c"}``.
+    JSON goes by field names, or by a JSON path per column, such as ``{"close": "$.bar.c"}``. With the
+    ``schema`` of the table, the result has its columns and types: what does not convert is NULL, and
+    ``text_tables.load_errors`` reports it. Without, CSV is text and JSON types are inferred by a pass
+    of their own.
     """
+    names = None if schema is None else schema.names
     if file_format == "PARQUET":
-        return spark.read.parquet(path)
-    if file_format == "CSV":
-        return spark.read.option("header", True).option("sep", delimiter).csv(path)
-    if file_format == "JSON" and json_paths:
+        rows = spark.read.parquet(path)
+    elif file_format == "CSV":
+        rows = text_tables.read_csv_by_name(spark, path, names, delimiter)
+    elif file_format == "JSON" and json_paths:
         picked = [F.get_json_object("value", p).alias(c) for c, p in json_paths.items()]
-        return spark.read.text(path).select(picked)
-    if file_format == "JSON":
-        return spark.read.json(path)
+        rows = spark.read.text(path).select(picked)
+    elif file_format == "JSON":
+        rows = spark.read.json(path) if names is None else text_tables.read_json_by_name(spark, path, names)
+    else:
+        rows = None
+    if rows is not None:
+        return rows if schema is None else text_tables.typed(rows, schema)
     raise ValueError(f"file format must be PARQUET, CSV or JSON, not {file_format!r}")
 
 
