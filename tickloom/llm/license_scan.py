@@ -6,6 +6,11 @@ and a window that has 80 percent of it have a Jaccard similarity of at least abo
 bands of one MinHash value each they meet in a band with a chance above 99.99 percent. What meets is verified
 by the exact share of the template's shingles in the window.
 
+A window meets a template in a band only where its smallest value is that of the template, hence only
+at a shingle that gives the template its MinHash value there. So the bands' values are looked up at the
+shingles first, and windows are hashed whole only around such a place. Shingles of a template are then counted
+in the windows that a band has retrieved, and in no others.
+
 Before that, texts without any anchor are left out: anchors are words chosen so that every shingle
 of every template has one, hence a text without them has no shingle of any template.
 """
@@ -104,6 +109,13 @@ def _minima() -> list[Column]:
     return [F.min(F.xxhash64(F.lit(k), "hash")).alias(f"m{k}") for k in range(BANDS)]
 
 
+def _firing_shingles(rows: DataFrame) -> list[str]:
+    """The shingles that give a template the value of one of its bands; a constant of the templates."""
+    least = [F.min_by("shingle", F.xxhash64(F.lit(k), "hash")) for k in range(BANDS)]
+    found = rows.groupBy("license").agg(F.array_distinct(F.array(*least)).alias("s")).select(F.explode("s").alias("s"))
+    return sorted({r["s"] for r in found.collect()})
+
+
 def find_licenses(
     documents: DataFrame, ids: str = "doc_id", text: str = "text", templates: dict[str, str] | None = None, threshold: int = 80
 ) -> DataFrame:
@@ -126,18 +138,20 @@ def find_licenses(
     marks = F.array(*[F.lit(w) for w in anchors(templates)])
     # The words are a column of their own, so that they are split once and not for every shingle.
     texts = documents.select(F.col(ids).alias("id"), F.xxhash64(text).alias("row_key"), words(F.col(text)).alias("words"))
-    # What is left is a small part, read three times below.
-    texts = store(texts.where(F.arrays_overlap("words", marks)).distinct(), "license-texts")
-    texts = texts.select("id", "row_key", shingles(F.col("words")).alias("all"))
-    wordings = sorted({g for own in known.values() for g in own})
-    places = F.transform("all", lambda g, i: F.when(g.isin(wordings), i))
-    texts = texts.withColumn("near", F.filter(places, lambda i: i.isNotNull())).where(F.size("near") > 0)
+    firing = _firing_shingles(rows)
+    places = F.filter(F.transform(shingles(F.col("words")), lambda g, i: F.when(g.isin(firing), i)), lambda i: i.isNotNull())
+    near = F.when(F.arrays_overlap("words", marks), places).otherwise(F.array().cast("array<int>"))
+    # As a filter the places would be found twice, once to test and once to keep them; a generator finds them once.
+    met = F.filter(F.array(F.struct(near.alias("near"), "words")), lambda t: F.size(t["near"]) > 0)
+    # What is left is a small part, read twice below.
+    texts = store(texts.select("id", "row_key", F.inline(met)), "license-texts")
+    texts = texts.select("id", "row_key", "near", shingles(F.col("words")).alias("all"))
     placed = texts.select("id", "row_key", "near", F.posexplode("all").alias("place", "shingle"))
     placed = placed.withColumn("hash", F.xxhash64("shingle"))
     classes = sorted({size_class(len(s)) for s in known.values()})
     step = F.expr("shiftleft(2, class)")
     spread = placed.withColumn("class", F.explode(F.array(*[F.lit(c) for c in classes])))
-    # A window without any shingle of a template meets none, so only the surroundings of such shingles count.
+    # A window without any value of a band meets no template, so only the surroundings of such places are hashed.
     spread = spread.where(F.exists("near", lambda i: F.abs(i - F.col("place")) < 2 * step)).drop("near")
     slot = F.floor(F.col("place") / step).cast("long")
     spread = spread.withColumn("slot", F.explode(F.array(slot, slot - 1))).where("slot >= 0")
@@ -156,9 +170,7 @@ def find_licenses(
     candidates = met.join(F.broadcast(table), ["class", "band", "value"]).select(*keys, "license").distinct()
 
     inside = spread.join(F.broadcast(rows.select("class", "shingle", "license", "n")), ["class", "shingle"])
-    hits = inside.groupBy(*keys, "license", "n").agg(F.countDistinct("shingle").alias("found"))
-    hits = hits.where(F.col("found") * 100 >= F.col("n") * threshold)
-    verified = hits.alias("h").join(
+    retrieved = inside.alias("h").join(
         candidates.alias("c"),
         F.col("h.id").eqNullSafe(F.col("c.id"))
         & (F.col("h.row_key") == F.col("c.row_key"))
@@ -167,6 +179,8 @@ def find_licenses(
         & (F.col("h.license") == F.col("c.license")),
         "left_semi",
     )
+    hits = retrieved.groupBy(*keys, "license", "n").agg(F.countDistinct("shingle").alias("found"))
+    verified = hits.where(F.col("found") * 100 >= F.col("n") * threshold)
     first = F.min(F.struct((-F.col("found")).alias("less"), (F.col("slot") * step).alias("window"), "n")).alias("best")
     best = verified.groupBy("id", "row_key", "license").agg(first)
     return best.select(
