@@ -303,3 +303,43 @@ def test_runs_of_a_hot_first_turn_are_even_with_a_far_id(spark):
     assert len(sizes) == 10 and max(sizes) <= 120
     pairs = preference_chat.neighbour_pairs(frame, part_rows=100).select("chosen_id", "rejected_id").collect()
     assert sorted(map(tuple, pairs)) == list(zip(ids, ids[1:]))
+
+
+STORY = "".join(f"<p>Paragraph {i} of a long story, with words enough that its text is dense and clearly the core.</p>" for i in range(6))
+TOLD = "\n".join(f"Paragraph {i} of a long story, with words enough that its text is dense and clearly the core." for i in range(6))
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        # Reader comments under names that say which box they are in.
+        f"<body><article>{STORY}</article><section class='comments-area'><p>I liked this story very much, well told.</p></section></body>",
+        f"<body><article>{STORY}<div id='disqus_thread'><p>I liked this story very much, well told.</p></div></article></body>",
+        f"<body><article>{STORY}<div class='pageComments'><p>Nice.</p></div><div class='commentsList'><p>Nice.</p></div></article></body>",
+        # A teaser of another story, and page furniture without an article.
+        f"<body><article>{STORY}</article><article class='teaser'><h3><a href='/x'>Another story</a></h3><p>It tells of other things.</p></article></body>",
+        f"<body><div>{STORY}</div><div class=foot><p>All rights reserved by the owners of this page.</p></div></body>",
+        f"<body><div>{STORY}</div><div class='site-footer'><p>All rights reserved by the owners of this page.</p></div></body>",
+        # Wrappers whose names only speak of such parts keep their text.
+        f"<body><div class='content has-sidebar'><div class='post comments-open'>{STORY}</div></div></body>",
+    ],
+)
+def test_pages_with_comments_teasers_and_wrappers(page):
+    assert html_text.main_text(page) == TOLD
+
+
+def test_labels_in_a_paragraph_and_pages_without_rows(spark):
+    page = f"<body><article>{STORY}<p>A word with a <label>label</label> in the middle of the text.</p></article></body>"
+    assert html_text.main_text(page) == f"{TOLD}\nA word with a label in the middle of the text."
+    none = spark.createDataFrame([], "page_id long, html string, text string")
+    assert html_text.extract_text(none).columns == ["page_id", "html", "text", "n_chars"]
+    assert html_text.extract_text(none).count() == 0
+
+
+def test_articles_of_equal_rank_all_stay():
+    """Articles whose headings are all links, or none, are parts of one page."""
+    plain = "".join(f"<article><h2>Part {i}</h2>{STORY}</article>" for i in range(3))
+    linked = plain.replace("<h2>", "<h2><a href='#'>").replace("</h2>", "</a></h2>")
+    for page in (plain, linked):
+        text = html_text.main_text(f"<body>{page}</body>")
+        assert all(f"Part {i}" in text for i in range(3)) and text.count(TOLD) == 3

@@ -30,7 +30,7 @@ BLOCKS = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template iframe textarea title svg math canvas object select".split())
-UNREAD = frozenset("head button label".split())
+UNREAD = frozenset("head button".split())
 NAMED = frozenset("nav footer aside form dialog menu".split())
 CLOSED_BY_BLOCK = frozenset(["p"])
 CLOSED_BY_LIKE = {
@@ -45,14 +45,20 @@ CLOSED_BY_LIKE = {
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 header hgroup".split())
 # Where the search for an element to close stops.
 SCOPES = {"li": frozenset(["ul", "ol", "menu"]), "dt": frozenset(["dl"]), "dd": frozenset(["dl"])}
-# Whole words of class, id and role that name something other than the article.
+# Words of class, id and role that name something other than the article.
 OTHER = re.compile(
     r"ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promo(?:tion)?|banner|side-?bar|nav|nav-?bar|navigation|"
-    r"menu|footer|comments?|comment-?list|replies|respond|disqus|cookies?|cookie-(?:notice|banner|bar|consent)|consent|notice|"
+    r"menu|foot(?:er)?|comments?|comment-?list|replies|respond|disqus|cookies?|cookie-(?:notice|banner|bar|consent)|consent|notice|"
     r"pop-?up|modal|overlay|share|sharing|social|related|recommended|breadcrumbs?|newsletter|subscribe|log-?in|sign-?up|search|"
     r"pagination|pager|widget|complementary|contentinfo|toolbar|skip-link",
     re.I,
 )
+# Parts of a name that say where or what kind of box it is, but not what is in it.
+BOX_PARTS = frozenset(
+    "area bar block body bottom box buttons col column container content global holder inner left links list main outer page panel posts primary "
+    "right root row secondary section site slot thread top wrap wrapper".split()
+)
+NAME_PARTS = re.compile(r"[-_]+|(?<=[a-z])(?=[A-Z])")
 PAGE_HEADER = re.compile(r"header|masthead|topbar", re.I)
 COMMENT = re.compile(r"comments?", re.I)
 # A named block stays only if it is more times as dense as the densest other one.
@@ -96,7 +102,19 @@ def _is_named(name: str, values: dict[str, str], stack: list[tuple[str, Block |
     words = " ".join(html.unescape(values.get(k, "")) for k in ("class", "id", "role")).split()
     if name in ("main", "article"):
         return name == "article" and any(COMMENT.fullmatch(w) for w in words)
-    return any(OTHER.fullmatch(w) or (not inside and PAGE_HEADER.fullmatch(w)) for w in words)
+    return any(_names_other(w) or (not inside and PAGE_HEADER.fullmatch(w)) for w in words)
+
+
+def _names_other(word: str) -> bool:
+    """Whether a name says something other than the article, by itself or once the parts for boxes are left out.
+
+    ``comments-area`` and ``site-footer`` do; ``has-sidebar`` and ``comments-open`` say something of their own.
+    """
+    if OTHER.fullmatch(word):
+        return True
+    parts = NAME_PARTS.split(word)
+    told = [p for p in parts if p.lower() not in BOX_PARTS]
+    return 0 < len(told) < len(parts) and OTHER.fullmatch("-".join(told)) is not None
 
 
 def parse(page: str) -> Block:
@@ -230,12 +248,15 @@ def veto(root: Block) -> None:
     One stays that holds an article, a main or the core of the page, or at least half of the
     unlinked text; on pages without article and main also one that is more than ``NAME_FACTOR`` times
     as dense as the densest other block. Beside an article or main, a nav or footer never stays by its size.
-    Those inside of one that stays are judged alike.
+    Those inside of one that stays are judged alike. So is a teaser: an article beside that of the core whose first
+    heading is a link, as of a story told elsewhere, if the core's own article has no such heading.
     """
     blocks = measure(root)
     core = max(blocks, key=lambda b: b.total)
     kept = {id(b) for b in _path(core)} if core.total else set()
     hints = [b for b in blocks if b.name == "main" or (b.name == "article" and not b.named)]
+    teasers = _teasers(blocks, core, hints)
+    hints = [b for b in hints if id(b) not in teasers]
     for block in hints:
         _add_path(block, kept)
     inside: set[int] = set()
@@ -244,7 +265,7 @@ def veto(root: Block) -> None:
             inside.add(id(block))
     bar = NAME_FACTOR * max((b.density for b in blocks if id(b) not in inside and b is not root), default=0.0)
     unlinked = root.chars - root.link_chars
-    out: set[int] = set()
+    out: set[int] = set(teasers)
     for block in blocks:
         large = 0 < unlinked <= 2 * (block.chars - block.link_chars)
         stays = (large and block.name not in ("nav", "footer")) if hints else (large or block.density > bar > 0)
@@ -255,6 +276,25 @@ def veto(root: Block) -> None:
         block.parts = [" " if id(p) in out else p for p in block.parts]
 
 
+def _teasers(blocks: list[Block], core: Block, hints: list[Block]) -> set[int]:
+    """Articles outside the core's own one, with a linked first heading, if that of the core has none."""
+    path = {id(b) for b in _path(core)}
+    own = next((b for b in _path(core) if b.name == "article"), None)
+    if own is None or _has_linked_heading(own):
+        return set()
+    within = {id(own)}
+    for block in blocks:
+        if id(block.parent) in within:
+            within.add(id(block))
+    outside = [b for b in hints if b.name == "article" and id(b) not in path and id(b) not in within]
+    return {id(b) for b in outside if _has_linked_heading(b)}
+
+
+def _has_linked_heading(block: Block) -> bool:
+    first = next((b for b in _in_order(block) if b.name in HEADINGS and b.chars), None)
+    return first is not None and _linked(first)
+
+
 def _path(block: Block) -> list[Block]:
     out = [block]
     while out[-1].parent is not None:
