@@ -46,6 +46,16 @@ def test_pair_counts_over_several_chunks(spark, monkeypatch):
     assert len(cross_tokenizer.container(dense)) == cross_tokenizer.BITMAP_BYTES
 
 
+@pytest.mark.parametrize("many", [4095, 4096, 4097])
+def test_a_pair_linked_in_as_many_documents_as_half_a_bitmap_has_bytes(spark, many):
+    rows = [(i, "word") for i in range(many)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = cross_tokenizer.Alignment(frame, *TOKENIZERS).scored_documents().collect()
+    assert ordered(got) == ordered(plain.alignment(rows, *TOKENIZERS))
+    places = cross_tokenizer.np.arange(many) * 3
+    assert cross_tokenizer.members(cross_tokenizer.container(places)).tolist() == places.tolist()
+
+
 def test_alignment_of_an_empty_table(spark):
     aligned = cross_tokenizer.Alignment(spark.createDataFrame([], "doc_id long, text string"), *TOKENIZERS)
     assert aligned.scored_documents().collect() == [] and aligned.pair_counts().collect() == []

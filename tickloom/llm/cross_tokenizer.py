@@ -30,9 +30,10 @@ from tickloom.session import store
 CHUNK_DOCUMENTS = 1 << 16
 # A chunk ends when it holds about so many (document, pair) entries, which bounds a task's memory.
 CHUNK_ENTRIES = 3_000_000
-# Beyond so many numbers in a container, 2**16 bits are smaller.
-ARRAY_MOST = 4096
 BITMAP_BYTES = CHUNK_DOCUMENTS // 8
+# From BITMAP_BYTES on, 2**16 bits are no larger than 16-bit numbers. A container's size tells which it
+# holds, so numbers must stay below it: 4,096 of them would be read as bits.
+ARRAY_MOST = BITMAP_BYTES // 2 - 1
 # Units whose alignment a task remembers, and the longest of them.
 REMEMBERED_UNITS = 400_000
 REMEMBERED_CHARS = 64
@@ -302,7 +303,8 @@ def _index(path_a: str, path_b: str):
         chunk, number = Chunk(), TaskContext.get().partitionId() << 24
         for batch in batches:
             rows: list[tuple] = []
-            for doc_id, (counts, shown, links) in zip(batch.column(0).to_pylist(), align(batch.column(1).to_pylist())):
+            # The texts first: the aligner forgets long units once it is asked for more than there are.
+            for (counts, shown, links), doc_id in zip(align(batch.column(1).to_pylist()), batch.column(0).to_pylist()):
                 digest = hashlib.sha256(shown).hexdigest() if counts[0] else ""
                 rows.append((number, chunk.add(links), doc_id, *counts.tolist(), len(links), digest))
                 if chunk.full:
