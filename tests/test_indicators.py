@@ -210,3 +210,36 @@ print([r[-1] for r in with_recursive_ema(df, (3,)).orderBy("trade_date").collect
         [sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=120
     )
     assert "[0.0, 0.5, 1.25]" in done.stdout, done.stderr[-2000:]
+
+
+def test_prices_of_any_precision_share_a_window(spark, closes):
+    """Whole steps, finer ones, doubles and gaps in one series: each window by the precision of its own prices."""
+    from decimal import ROUND_HALF_UP, Decimal
+
+    rng = random.Random(8)
+    values = [rng.choice([round(rng.uniform(0, 300), 4), 1.23455, 0.0, None, -2.5, 999999.9999, 1e6, 1e9 + 0.00005]) for _ in range(150)]
+    values += [1e-12, 3e300] + [round(rng.uniform(0, 300), 4) for _ in range(80)]
+    rows = ind.with_simple_ema(ind.with_moving_averages(closes(values))).orderBy("trade_date").collect()
+    for i, row in enumerate(rows):
+        for n in ind.SMA_PERIODS:
+            window = [v for v in values[max(0, i - n + 1) : i + 1] if v is not None]
+            if not {1e-12, 3e300} & set(window):
+                exact = sum(Decimal(repr(v)) for v in window) / len(window) if window else None
+                assert row[f"sma_{n}"] == (None if exact is None else float(exact.quantize(Decimal("0.0001"), ROUND_HALF_UP)))
+        for n in ind.EMA_PERIODS:
+            window = [v for v in values[max(0, i - n + 1) : i + 1] if v is not None]
+            if values[i] is None:
+                assert row[f"ema_{n}"] is None
+            elif not {1e-12, 3e300} & set(window):
+                total = sum(Decimal(repr(v)) for v in window)
+                exact = (total * 2 + Decimal(repr(values[i])) * (n - 1) * len(window)) / (len(window) * (n + 1))
+                assert row[f"ema_{n}"] == float(exact.quantize(Decimal("0.0001"), ROUND_HALF_UP))
+
+
+def test_exact_sums_are_not_taken_in_sliding_frames(closes):
+    plan = ind.with_moving_averages(closes([1.0, 2.0]))._jdf.queryExecution().optimizedPlan().toString()
+    import re
+
+    sliding = re.findall(r"(\w+)\(([^()]*)\) windowspecdefinition\([^)]*?RowFrame, -\d+, currentrow", plan)
+    assert {name for name, _ in sliding} == {"avg"}
+    assert "decimal" not in "".join(argument for _, argument in sliding)

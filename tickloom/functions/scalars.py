@@ -10,6 +10,8 @@ from pyspark.sql import Column, functions as F
 PRICE_SCALE = 10_000
 # Prices below 1e14 of up to eight decimals, whose sums are exact.
 EXACT_PRICE = "decimal(22,8)"
+# Prices below this may be summed in whole steps.
+WHOLE_BELOW = 1e6
 
 
 BLANKS = " \t\r\n\f\v"
@@ -81,6 +83,17 @@ def price_steps(price: Column | str) -> Column:
     return F.when(exact.cast("double") == price, (exact * PRICE_SCALE).cast("decimal(22,4)"))
 
 
+def whole_steps(price: Column | str) -> Column:
+    """``price_steps`` as a long integer, where it is a whole number; NULL for others and for prices from ``WHOLE_BELOW`` on.
+
+    Nearly all prices have four decimals, and long integers are summed many times faster than
+    decimals. The bound keeps the sum of a series of 900 million rows within a long.
+    """
+    price = known_price(price)
+    nearest = F.when(F.abs(price) < WHOLE_BELOW, F.rint(price * float(PRICE_SCALE)).cast("long"))
+    return F.when(nearest / float(PRICE_SCALE) == price, nearest)
+
+
 def mean_of_steps(total: Column, n: Column, decimals: int = 4) -> Column:
     """Mean price of ``n`` prices from their summed steps, rounded half up; NULL for no prices."""
     unit = PRICE_SCALE // 10**decimals

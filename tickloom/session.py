@@ -24,6 +24,9 @@ JOB_SETTINGS = {
     # Raw JSON numbers are read as text. Copying their exact spelling would read each of them
     # from the file once more; the spelling does not matter, since they become numbers.
     "spark.sql.json.enableExactStringParsing": "false",
+    # Java never compiles a method beyond 8,000 bytes. Generated code that is longer would be interpreted
+    # row by row, several times slower than the same expressions in methods of their own.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.parquet.compression.codec": "snappy",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
