@@ -344,3 +344,18 @@ def test_the_newest_file_of_a_batch_wins(spark):
     rows = [("X", "2024-01-01", 11.0, "/raw/date=2024-01-01/a.json"), (" x", "2024-01-01", 12.0, "/raw/date=2024-01-02/a.json")]
     frame = spark.createDataFrame(rows, "symbol string, timestamp string, close_price double, source_file string")
     assert [r.close_price for r in newest_bars(frame).collect()] == [12.0]
+
+
+def test_exports_and_snapshots_have_files_by_the_size_of_the_input(spark, sf_dir, monkeypatch):
+    from tickloom.plans import check_sinks, registry
+
+    queries, _ = registry.load()
+    written = []
+    csv, snapshot = check_sinks.curated.write_csv, check_sinks.curated.write_snapshot
+    monkeypatch.setattr(check_sinks, "FILE_BYTES", 10_000)
+    monkeypatch.setattr(check_sinks.curated, "write_csv", lambda df, path, files=1: (written.append(files), csv(df, path, files)))
+    monkeypatch.setattr(check_sinks.curated, "write_snapshot", lambda df, path, day, files=1: (written.append(files), snapshot(df, path, day, files))[1])
+    assert queries["k5_csv_export"](spark, sf_dir).count() == 5334
+    assert written[0] > 3
+    queries["k11_repeated_run"](spark, sf_dir).collect()
+    assert len(written) == 3 and min(written[1:]) > 1

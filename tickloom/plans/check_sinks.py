@@ -19,6 +19,8 @@ from tickloom.sources.files import file_inventory, output_summary, read_csv_bars
 EVENT_FACT = f"{EVENT_BARS}, {fact('event_bars')}"
 SHIP_FACT = f"{SHIP_BARS}, {fact('ship_bars')}"
 RUN_DATE = "2024-01-31"
+# Stored input for each file of an export or a snapshot, which one task writes.
+FILE_BYTES = 128 * 1024 * 1024
 
 
 @checked("k1_curated_write", f"WITH {SHIP_FACT} SELECT * FROM fact")
@@ -77,7 +79,8 @@ def partitioned_write(spark, sf_dir):
 @checked("k5_csv_export", f"WITH {SHIP_BARS} SELECT {RAW_LIST} FROM ship_bars")
 def csv_export(spark, sf_dir):
     path = scratch_path(spark, "export")
-    curated.write_csv(ship_bars(spark, sf_dir), path, files=3)
+    files = max(3, curated.files_for(stored_bytes(spark, f"{sf_dir}/lineitem.parquet"), FILE_BYTES))
+    curated.write_csv(ship_bars(spark, sf_dir), path, files=files)
     return read_csv_bars(spark, path)
 
 
@@ -209,8 +212,9 @@ def repeated_run(spark, sf_dir):
     """Snapshot and curated layer written twice hold each row once."""
     target = scratch_path(spark, "target")
     rows = store(event_fact(spark, sf_dir), "fact")
+    files = curated.files_for(stored_bytes(spark, f"{sf_dir}/events.parquet"), FILE_BYTES)
     for _ in range(2):
-        curated.write_snapshot(rows, target, RUN_DATE)
+        curated.write_snapshot(rows, target, RUN_DATE, files)
         curated.write_curated(rows, f"{target}/processed")
     table = spark.read.schema(rows.schema).parquet(f"{target}/processed")
     return table.groupBy("month").agg(F.count("*").alias("row_count"))
