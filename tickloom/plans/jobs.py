@@ -33,6 +33,8 @@ from tickloom.sources.json_bars import date_path, read_date_partition, scan_dire
 
 
 SMALLEST_BLOCK = 100_000
+SHUFFLES = "spark.sql.shuffle.partitions"
+FIRST_SHUFFLES = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
 @dataclass(frozen=True)
@@ -102,13 +104,16 @@ def curate(spark: SparkSession, config: JobConfig, run_time: datetime | None = N
 def _sized_shuffles(spark: SparkSession, config: JobConfig) -> Iterator[int]:
     """Shuffle partitions by the size of the input, as long as the job runs; gives that size."""
     path = date_path(config.source_path, config.execution_date, config.prefix)
-    before = spark.conf.get("spark.sql.shuffle.partitions")
     size = stored_bytes(spark, path)
-    spark.conf.set("spark.sql.shuffle.partitions", partitions_for(spark, size))
+    wanted = partitions_for(spark, size)
+    before = {name: spark.conf.get(name, None) for name in (SHUFFLES, FIRST_SHUFFLES)}
+    spark.conf.set(SHUFFLES, wanted)
+    spark.conf.set(FIRST_SHUFFLES, max(wanted, int(before[FIRST_SHUFFLES] or 0)))
     try:
         yield size
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def _raw_bars(spark: SparkSession, config: JobConfig) -> DataFrame:

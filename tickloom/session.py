@@ -14,10 +14,14 @@ JOB_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Adaptive execution joins small partitions but never splits those of a window, a grouping or most joins,
+    # so there must be enough of them from the start for one to fit a task.
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "512",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256MB",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
+    # A writer sorts its task's rows by partition: about eleven bytes of memory for each shuffled one.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32MB",
     "spark.sql.autoBroadcastJoinThreshold": "10MB",
     # Lets the planner use the row counts that statistics refreshes leave in the catalog.
     "spark.sql.cbo.enabled": "true",

@@ -19,7 +19,7 @@ from typing import TypeVar
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import DateType, StringType, StructType
 
 from tickloom.operators.cleanse import deduplicate
 from tickloom.session import SHUFFLE_PARTITION_BYTES, store
@@ -161,13 +161,16 @@ class VersionedTable:
         writer = rows.write
         (writer.partitionBy(*self.partition_by) if self.partition_by else writer).parquet(target)
         file = F.col("_metadata.file_path")
-        where = F.url_decode(F.replace(file, F.lit("+"), F.lit("%2B")))
+        where = F.url_decode(F.replace("file", F.lit("+"), F.lit("%2B")))
         unit = F.regexp_extract(where, f"/data/({COMMIT}={commit}.*)/[^/]*$", 1)
-        noted = F.col(self.sort_by).cast("string") if self.sort_by in rows.columns else F.lit(None).cast("string")
+        # Days are compared as days: least and greatest texts would need all rows sorted by file.
+        noted = F.lit(None).cast("string")
+        if self.sort_by in rows.columns:
+            noted = F.col(self.sort_by) if isinstance(rows.schema[self.sort_by].dataType, DateType) else F.col(self.sort_by).cast("string")
         written = self.spark.read.schema(rows.schema).parquet(target)
-        by_file = written.groupBy(unit.alias("unit"), file.alias("file"), F.col("_metadata.file_size").alias("bytes"))
-        by_file = by_file.agg(F.count("*").alias("n"), F.min(noted).alias("low"), F.max(noted).alias("high"))
-        return by_file.groupBy("unit").agg(
+        by_file = written.groupBy(file.alias("file"), F.col("_metadata.file_size").alias("bytes"))
+        by_file = by_file.agg(F.count("*").alias("n"), F.min(noted).cast("string").alias("low"), F.max(noted).cast("string").alias("high"))
+        return by_file.groupBy(unit.alias("unit")).agg(
             F.count("*").alias("files"), F.sum("n").alias("row_count"), F.sum("bytes").alias("bytes"), F.min("low").alias("low"), F.max("high").alias("high")
         )
 

@@ -8,6 +8,9 @@ order and batching of the same files gives the same table.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -47,6 +50,21 @@ def bar_rows(documents: DataFrame) -> DataFrame:
     return dated.withColumns({"year": F.year("trade_date"), "month": F.month("trade_date")})
 
 
+@contextmanager
+def _adaptive(stream: SparkSession) -> Iterator[None]:
+    """Plan a batch's own queries as adaptively as any other.
+
+    A stream's session has a fixed number of shuffle partitions, kept in its checkpoint, which would
+    hold ever more rows each the larger a batch is.
+    """
+    before = stream.conf.get("spark.sql.adaptive.enabled")
+    stream.conf.set("spark.sql.adaptive.enabled", "true")
+    try:
+        yield
+    finally:
+        stream.conf.set("spark.sql.adaptive.enabled", before)
+
+
 def ingest_new_files(
     spark: SparkSession,
     source_path: str,
@@ -58,7 +76,8 @@ def ingest_new_files(
     """Start reading the files that arrived since the last run; it stops when all are merged."""
 
     def merge(documents: DataFrame, _batch: int) -> None:
-        rows = store(bar_rows(documents), "batch")
+        with _adaptive(documents.sparkSession):
+            rows = store(bar_rows(documents), "batch")
         if not rows.isEmpty():
             # Cleansing leaves one row per key, and a bar's date is part of its key.
             retrying(
