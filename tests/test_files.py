@@ -359,3 +359,11 @@ def test_exports_and_snapshots_have_files_by_the_size_of_the_input(spark, sf_dir
     assert written[0] > 3
     queries["k11_repeated_run"](spark, sf_dir).collect()
     assert len(written) == 3 and min(written[1:]) > 1
+
+
+def test_a_task_scans_and_writes_little(spark):
+    from tickloom.session import JOB_SETTINGS
+    from tickloom.sinks import curated
+
+    assert JOB_SETTINGS["spark.sql.files.maxPartitionBytes"] == JOB_SETTINGS["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == "32MB"
+    assert curated.files_for(600 * 1024 * 1024) == 10

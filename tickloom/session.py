@@ -22,6 +22,8 @@ JOB_SETTINGS = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256MB",
     # A writer sorts its task's rows by partition: about eleven bytes of memory for each shuffled one.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32MB",
+    # Rank limits and groupings sort or hash what a task scans, before the shuffle.
+    "spark.sql.files.maxPartitionBytes": "32MB",
     "spark.sql.autoBroadcastJoinThreshold": "10MB",
     # Lets the planner use the row counts that statistics refreshes leave in the catalog.
     "spark.sql.cbo.enabled": "true",

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 PARTITION_COLUMNS = ("year", "month")
-FILE_BYTES = 512 * 1024 * 1024
+# A file is one task's work, and what reads a file of one row group is one task too.
+FILE_BYTES = 64 * 1024 * 1024
 
 
 def write_curated(
