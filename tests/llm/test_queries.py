@@ -1,10 +1,11 @@
 """The subpackage's queries against their SQL, and the pipeline against a plain version."""
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
 from tests.llm import brute
-from tickloom.llm import queries, quality_classifier
+from tickloom.llm import bloom, queries, quality_classifier
 from tools.compare import rows_of
 
 QUERIES, ORACLE = queries.load()
@@ -58,3 +59,32 @@ def test_near_duplicates_are_rows_not_ids(spark):
     kept = corpus_pipeline.drop_near_duplicates(spark, frame, "").collect()
     assert len(kept) == 2 and {r.doc_id for r in kept} == {1}
     assert sum(r.text.startswith(long) for r in kept) == 1
+
+
+def test_texts_of_rows_that_stay_are_not_shuffled(spark, tmp_path):
+    """Rows that no other is near come in the order of their file; only the doubtful ones meet the verdict in a join."""
+    rows = [(i, " ".join(f"word{i}x{k}" for k in range(30))) for i in range(400)]
+    rows += [(1000 + i, rows[i][1]) for i in range(20)] + [rows[i] for i in range(20, 30)]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = corpus_pipeline.drop_near_duplicates(spark, spark.read.parquet(f"{tmp_path}/documents"), "")
+        got = kept.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sorted((r.doc_id, r.text) for r in got) == rows[:400]
+    first = [r.doc_id for r in got[:340]]
+    assert first == sorted(first) and not set(first) & set(range(20, 30))
+
+
+@pytest.mark.parametrize("count", [1, 5_000, 28_766, 300_000])
+def test_filters_let_few_others_pass(count):
+    random = np.random.default_rng(count)
+    held, others = random.integers(0, 1 << 64, (2, count), dtype=np.uint64)
+    found = bloom.Gathered(bloom.bits_for(count))
+    found.add(held)
+    packed = np.packbits(found.cells > 0)
+    assert bloom.passes(packed, held).all()
+    assert bloom.passes(packed, others).mean() <= 0.04
+    assert bloom.bits_for(1 << 40) == bloom.DEFAULT_BITS

@@ -12,9 +12,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 DEFAULT_BITS = 25
+LEAST_BITS = 18
 # Filters are merged block by block, so that no task ever holds a whole column of filters.
 BLOCK_BITS = 16
 
@@ -93,6 +94,11 @@ def passes(packed: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (packed[at >> np.uint64(3)] >> (np.uint8(7) - (at & np.uint64(7)).astype(np.uint8))) & 1 == 1
 
 
+def bits_for(count: int) -> int:
+    """Size of a filter of so many hashes that lets at most one in 32 others pass, but for the largest size."""
+    return max(LEAST_BITS, min(DEFAULT_BITS, (32 * count).bit_length()))
+
+
 def of_names(df: DataFrame, column: str, bits: int = DEFAULT_BITS) -> np.ndarray:
     """The filter of a binary column of hashes, by the first 8 bytes of each."""
 
@@ -103,3 +109,16 @@ def of_names(df: DataFrame, column: str, bits: int = DEFAULT_BITS) -> np.ndarray
         yield from found.blocks()
 
     return build(df.select(column).mapInArrow(gather, SCHEMA), bits)[0]
+
+
+def with_held(rows: DataFrame, hashes: DataFrame, column: str, bits: int = DEFAULT_BITS) -> DataFrame:
+    """Rows with ``held``: whether the filter of the long column in ``hashes`` may hold theirs, which is never null.
+
+    For rows too wide to go through Python: the filter is a table of 64 bits a row, at most 2**bits / 64 rows, which is
+    broadcast, so the rows stay where they were read.
+    """
+    word, bit = f"shiftrightunsigned({column}, {64 - bits + 6})", f"cast(shiftrightunsigned({column}, {64 - bits}) & 63 AS int)"
+    words = hashes.select(F.expr(word).alias("__word"), F.expr(f"shiftleft(1L, {bit})").alias("__bits"))
+    words = words.groupBy("__word").agg(F.bit_or("__bits").alias("__bits"))
+    met = rows.withColumn("__word", F.expr(word)).join(F.broadcast(words), "__word", "left")
+    return met.withColumn("held", F.coalesce(F.expr(f"getbit(__bits, {bit}) = 1"), F.lit(False))).drop("__word", "__bits")

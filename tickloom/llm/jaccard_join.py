@@ -335,8 +335,7 @@ class JaccardJoin:
         names = self.classes.select("number", "set_id", F.col("least").alias("id"))
         names = self._store(names.join(numbers.select("number").distinct(), "number"), "names")
         places = names.select("set_id", "id").mapInArrow(_places, "place binary")
-        bits = max(18, min(bloom.DEFAULT_BITS, (8 * names.count()).bit_length()))
-        wanted = self.spark.sparkContext.broadcast(bloom.of_names(places, "place", bits))
+        wanted = self.spark.sparkContext.broadcast(bloom.of_names(places, "place", bloom.bits_for(names.count())))
         sets = self.texts.select("text", "id").mapInArrow(_whole_sets(self.size, wanted), "set_id binary, members binary")
         sets = sets.groupBy("set_id").agg(F.first("members").alias("members"))
         return self._store(sets.join(names.select("set_id", "number"), "set_id").select("number", "members"), "sets")
