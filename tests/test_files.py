@@ -346,6 +346,24 @@ def test_the_newest_file_of_a_batch_wins(spark):
     assert [r.close_price for r in newest_bars(frame).collect()] == [12.0]
 
 
+def test_the_task_of_a_single_snapshot_file_reads_no_shuffle(spark, tmp_path):
+    import glob
+
+    from tickloom.session import shared_folder
+
+    rows = spark.range(1000, numPartitions=4).groupBy((F.col("id") % 100).alias("id")).agg(F.count("*").alias("rows"))
+    spark.sparkContext.setJobGroup("one-file", "")
+    try:
+        path = curated.write_snapshot(rows, str(tmp_path), "2024-01-01")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    last = tracker.getJobInfo(max(tracker.getJobIdsForGroup("one-file")))
+    assert [tracker.getStageInfo(s).numTasks for s in last.stageIds] == [1]
+    assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == [(i, 10) for i in range(100)]
+    assert not glob.glob(f"{shared_folder(spark).removeprefix('file://')}/snapshot-rows-*")
+
+
 def test_exports_and_snapshots_have_files_by_the_size_of_the_input(spark, sf_dir, monkeypatch):
     from tickloom.plans import check_sinks, registry
 

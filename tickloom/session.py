@@ -92,7 +92,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def store(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+def store(df: DataFrame, name: str, folder: str | None = None, compression: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder, or to a folder in it, and read it back.
 
     Cuts the lineage, survives lost executors, and lets later passes read only the
@@ -100,7 +100,7 @@ def store(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name) if folder is None else f"{folder}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

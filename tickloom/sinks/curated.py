@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from tickloom.session import discard, scratch_path, store
+
 PARTITION_COLUMNS = ("year", "month")
 # A file is one task's work, and what reads a file of one row group is one task too.
 FILE_BYTES = 64 * 1024 * 1024
@@ -46,9 +48,20 @@ def write_snapshot(df: DataFrame, target_path: str, execution_date: str, files:
 
     A file is written by one task: name more than one for a table that a task cannot write in time
     (``files_for`` tells how many by its size). An empty table keeps its schema in one file.
+
+    The task of a single file must read all rows. All tasks store them first, and it reads them as compressed columns,
+    which are a fraction of the same rows in a shuffle.
     """
     path = f"{target_path}/daily_snapshots/date={execution_date}"
-    df.repartition(files).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    folder = None
+    if files == 1:
+        folder = scratch_path(df.sparkSession, "snapshot-rows")
+        rows = store(df, "rows", folder, compression="zstd").coalesce(1)
+    else:
+        rows = df.repartition(files)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    if folder:
+        discard(df.sparkSession, folder)
     return path
 
 
