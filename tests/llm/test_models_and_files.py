@@ -1,6 +1,8 @@
 """Neighbours, classifier, pages, pieces, token files, chats and licenses on small inputs."""
 
 import os
+import subprocess
+import sys
 import zlib
 
 import numpy as np
@@ -196,6 +198,44 @@ def test_pieces_n_best_and_round_trip(spark):
     assert sentencepiece_nbest.encode(frame.limit(0), PIECES).count() == 0
 
 
+HELD = """
+import random, re, sys
+import pyarrow as pa
+from tickloom.llm import sentencepiece_nbest
+
+def held():
+    with open("/proc/self/smaps_rollup") as file:
+        return int(re.search(r"Pss_Anon: *([0-9]+)", file.read())[1]) >> 10
+
+class Frame:
+    columns, sparkSession = ["text"], None
+    schema = []
+    def drop(self, *names):
+        return self
+    def mapInArrow(self, run, schema):
+        return run
+
+sentencepiece_nbest.bound_batches = lambda spark: None
+run = sentencepiece_nbest.encode(Frame(), sys.argv[1])
+draw = random.Random(3)
+words = ["".join(draw.choices("etaoinshrdlu", k=draw.randint(2, 9))) for _ in range(20000)]
+batches = [pa.RecordBatch.from_pydict({"text": [" ".join(draw.choices(words, k=400)) for _ in range(1000)]}) for _ in range(2)]
+before, tables = held(), sentencepiece_nbest.Pieces(sys.argv[1])
+print(sum(x.nbytes for x in vars(tables).values() if hasattr(x, "nbytes")) >> 20)
+del tables
+print(sum(x.num_rows for x in run(iter(batches))), held() - before)
+"""
+
+
+@pytest.mark.skipif(not os.path.exists("/proc/self/smaps_rollup"), reason="memory can't be read here")
+def test_pieces_leave_little_memory_to_their_worker():
+    found = subprocess.run([sys.executable, "-c", HELD, PIECES], capture_output=True, text=True, check=True, cwd=os.path.dirname(os.path.dirname(os.path.dirname(__file__))))
+    tables, rows, held = map(int, found.stdout.split())
+    assert rows == 2000
+    assert tables < 16
+    assert held < 60
+
+
 def test_elias_fano_selects_every_value():
     draw = np.random.default_rng(1)
     for values in ([], [0], [5, 5, 5], [0, 1 << 40], np.sort(draw.integers(0, 10**6, 5000)), np.arange(700)):

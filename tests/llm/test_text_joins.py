@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 
 from tests.llm import brute
-from tickloom.llm import decontaminate, jaccard_join, line_dedup, shingles
+from tickloom.llm import bloom, decontaminate, jaccard_join, line_dedup, shingles
 from tickloom.llm.components import connected_components
 
 ODD = [None, "", "  \n\t ", "one", "One two", "one\x0btwo THREE four", "é à ü ß é à ü", "a" * 5000, "x y z " * 400]
@@ -57,6 +57,22 @@ def test_components_are_those_of_all_pairs(spark, size, threshold):
     assert got == sorted(brute.components(rows, size, threshold), key=repr)
 
 
+def test_filter_of_the_sets_to_verify_takes_one_python_step(spark, monkeypatch):
+    """Two Python steps in a stage take two workers a task, and the executor keeps them all."""
+    plans, build = [], bloom.build
+
+    def seen(gathered, bits):
+        plans.append(gathered._jdf.queryExecution().executedPlan().toString())
+        return build(gathered, bits)
+
+    monkeypatch.setattr(bloom, "build", seen)
+    texts = near_copies(12) + [None, "", "one two"]
+    frame = spark.createDataFrame([(i, t, 0) for i, t in enumerate(texts)], DOCUMENT)
+    got = sorted(map(tuple, jaccard_join.JaccardJoin(frame, "id", "words").components().collect()))
+    assert got == sorted(brute.components(list(enumerate(texts)), 5, 80))
+    assert plans and [p.count("MapInArrow") for p in plans] == [1] * len(plans)
+
+
 def test_join_of_an_empty_table(spark):
     frame = spark.createDataFrame([], DOCUMENT)
     assert jaccard_join.JaccardJoin(frame, "id", "words").components().count() == 0

@@ -8,7 +8,7 @@ follows the data: beyond its capacity it lets more hashes pass, which costs time
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -99,16 +99,20 @@ def bits_for(count: int) -> int:
     return max(LEAST_BITS, min(DEFAULT_BITS, (32 * count).bit_length()))
 
 
-def of_names(df: DataFrame, column: str, bits: int = DEFAULT_BITS) -> np.ndarray:
-    """The filter of a binary column of hashes, by the first 8 bytes of each."""
+def of_rows(rows: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray], bits: int = DEFAULT_BITS) -> np.ndarray:
+    """The filter of the hashes, as 64-bit numbers, that ``hashes`` makes of each batch of ``rows``.
+
+    They are made in the step that gathers them. A Python step of their own before it would give each task a
+    second Python worker, and an executor keeps all workers it ever had, with the memory they once took.
+    """
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = Gathered(bits)
         for batch in batches:
-            found.add(np.frombuffer(b"".join(x[:8] for x in batch.column(0).to_pylist()), np.uint64))
+            found.add(hashes(batch))
         yield from found.blocks()
 
-    return build(df.select(column).mapInArrow(gather, SCHEMA), bits)[0]
+    return build(rows.mapInArrow(gather, SCHEMA), bits)[0]
 
 
 def with_held(rows: DataFrame, hashes: DataFrame, column: str, bits: int = DEFAULT_BITS) -> DataFrame:

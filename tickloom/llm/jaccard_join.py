@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tickloom.llm.batches import bound_batches
+from tickloom.llm.batches import bound_batches, lean
 from tickloom.llm import bloom
 from tickloom.llm.components import connected_components
 from tickloom.llm.shingles import mix, shingle_sets, slices
@@ -200,10 +200,9 @@ def _place(name: bytes, row: int | None) -> bytes:
     return mix(np.frombuffer(name[:8], np.uint64) + np.array([row or 0]).astype(np.uint64)).tobytes()
 
 
-def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        found = [_place(name, row) for name, row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
-        yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], names=["place"])
+def _places(batch: pa.RecordBatch) -> np.ndarray:
+    found = [_place(name, row) for name, row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+    return np.frombuffer(b"".join(found), np.uint64)
 
 
 def _whole_sets(size: int, wanted):
@@ -303,7 +302,7 @@ class JaccardJoin:
         bound_batches(self.spark)
         self.folder = scratch_path(self.spark, "jaccard")
         self.texts = documents.select(F.col(ids).cast("long").alias("id"), F.col(text).alias("text"))
-        profiles = self.texts.mapInArrow(_profiles(size, threshold), "id long, n long, set_id binary, first binary")
+        profiles = self.texts.mapInArrow(lean(_profiles(size, threshold)), "id long, n long, set_id binary, first binary")
         # Two passes over the texts cost less space than keeping the shingles of every copy.
         self.profiles = self._store(profiles.select("id", "n", "set_id"), "profiles")
         classes = (
@@ -324,7 +323,7 @@ class JaccardJoin:
     def _shared_postings(self) -> DataFrame:
         """Prefix shingles that more than one class has: token, number, n, level, matches, length of the list."""
         frequent = self.spark.sparkContext.broadcast(_frequencies(self.classes, self.threshold, self.folder))
-        made = self.classes.select("number", "n", "first").mapInArrow(_postings(self.threshold, frequent), POSTINGS)
+        made = self.classes.select("number", "n", "first").mapInArrow(lean(_postings(self.threshold, frequent)), POSTINGS)
         made = self._store(made, "made")
         lists = made.groupBy("token").agg(F.count("*").alias("length")).where("length > 1")
         return _unpacked(self._store(made.join(lists, "token"), "postings"))
@@ -334,9 +333,9 @@ class JaccardJoin:
         # One document of each class gives its set; the filter keeps the others out of the shuffle.
         names = self.classes.select("number", "set_id", F.col("least").alias("id"))
         names = self._store(names.join(numbers.select("number").distinct(), "number"), "names")
-        places = names.select("set_id", "id").mapInArrow(_places, "place binary")
-        wanted = self.spark.sparkContext.broadcast(bloom.of_names(places, "place", bloom.bits_for(names.count())))
-        sets = self.texts.select("text", "id").mapInArrow(_whole_sets(self.size, wanted), "set_id binary, members binary")
+        filters = bloom.of_rows(names.select("set_id", "id"), _places, bloom.bits_for(names.count()))
+        wanted = self.spark.sparkContext.broadcast(filters)
+        sets = self.texts.select("text", "id").mapInArrow(lean(_whole_sets(self.size, wanted)), "set_id binary, members binary")
         sets = sets.groupBy("set_id").agg(F.first("members").alias("members"))
         return self._store(sets.join(names.select("set_id", "number"), "set_id").select("number", "members"), "sets")
 
@@ -350,7 +349,7 @@ class JaccardJoin:
         one = sets.select(F.col("number").alias("a"), F.col("members").alias("left"))
         two = sets.select(F.col("number").alias("b"), F.col("members").alias("right"))
         joined = pairs.join(two, "b").join(one, "a").select("a", "b", "left", "right")
-        return joined.mapInArrow(_verify(self.threshold), "a long, b long")
+        return joined.mapInArrow(lean(_verify(self.threshold)), "a long, b long")
 
     def _pairs(self, postings: DataFrame, homes: DataFrame | None = None) -> DataFrame:
         """All members of a list that may link, block by block, but for those that met at a home."""

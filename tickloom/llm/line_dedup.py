@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tickloom.llm.batches import bound_batches
+from tickloom.llm.batches import bound_batches, lean
 from tickloom.llm import bloom
 from tickloom.llm.shingles import _IS_WORD, _power, mix, raw_bytes, slices
 from tickloom.session import store
@@ -158,11 +158,11 @@ def drop_common_lines(
     bound_batches(spark)
     documents = documents.drop(*[c for c in ("n_lines", "n_dropped") if c not in (ids, text)])
     key = F.xxhash64(F.col(ids), F.col(text))
-    gathered = documents.select(text).mapInArrow(_gather(least_chars, bits), bloom.SCHEMA)
+    gathered = documents.select(text).mapInArrow(lean(_gather(least_chars, bits)), bloom.SCHEMA)
     filters = spark.sparkContext.broadcast(bloom.build(gathered, bits)[1])
     suspects = store(
         documents.select(F.col(text), key.alias("row_key"), F.col(ids).cast("string").alias("row_id")).mapInArrow(
-            _suspects(least_chars, filters), "row_key long, row_id string, line long, h1 long, h2 long"
+            lean(_suspects(least_chars, filters)), "row_key long, row_id string, line long, h1 long, h2 long"
         ),
         "line-suspects",
     )
@@ -189,4 +189,4 @@ def drop_common_lines(
     ready = joined.select(*names, "__cut", "__first")
     schema = ready.select(*names).schema.add("n_lines", "long").add("n_dropped", "long")
     text_at = names.index(text)
-    return ready.mapInArrow(_cut(least_chars, keep_first, text_at), schema)
+    return ready.mapInArrow(lean(_cut(least_chars, keep_first, text_at)), schema)

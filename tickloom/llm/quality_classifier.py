@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tickloom.llm.batches import bound_batches
+from tickloom.llm.batches import bound_batches, lean
 from tickloom.llm.shingles import _power, mix, raw_bytes, slices
 
 VOCABULARY_BITS = 15
@@ -122,7 +122,7 @@ def word_vectors(texts: DataFrame) -> np.ndarray:
 
     Its size is that of the vocabulary table, 4 MB, whatever the corpus.
     """
-    sums = texts.mapInArrow(_contexts, "block int, sums binary")
+    sums = texts.mapInArrow(lean(_contexts), "block int, sums binary")
     merged = sums.repartition(32, "block").sortWithinPartitions("block").mapInArrow(_add, "block int, sums binary")
     table = np.zeros((1 << VOCABULARY_BITS, DIMENSIONS), np.float32)
     for row in merged.collect():
@@ -268,4 +268,4 @@ def score_documents(
     network = Network(inputs, np.array([r.label for r in rows], np.int64))
     state = spark.sparkContext.broadcast(network.state())
     schema = documents.withColumn("score", F.lit(0.0)).schema
-    return documents.mapInArrow(_score(vectors, state, documents.columns.index(text)), schema)
+    return documents.mapInArrow(lean(_score(vectors, state, documents.columns.index(text))), schema)

@@ -20,12 +20,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tickloom.llm.batches import bound_batches
+from tickloom.llm.batches import bound_batches, lean
 from tickloom.llm.shingles import _power, mix, slices
 
 UNKNOWN_PENALTY = 10.0
 # Units that are solved together, and units whose result a task keeps.
-LATTICE_CELLS = 1 << 16
+LATTICE_CELLS = 1 << 14
 KEPT_UNITS = 500_000
 KEPT_ALTERNATIVES = 20_000
 ENCODED_BYTES = 1 << 19
@@ -60,7 +60,7 @@ class Pieces:
         self.longest = max(map(len, self.score))
         joined = sorted({c for p in self.score if len(p) > 1 for c in p})
         others = sorted({p for p in self.score if len(p) == 1}.difference(joined))
-        self.codes = np.zeros(0x110000, np.int64)
+        self.codes = np.zeros(0x110000, np.int32)
         self.codes[[ord(c) for c in joined + others]] = np.arange(1, len(joined) + len(others) + 1)
         self.joined = len(joined)
         self.together = np.zeros((len(joined) + 1, len(joined) + 1), dtype=bool)
@@ -75,7 +75,7 @@ class Pieces:
         self.scores = np.array([self.score[p][1] for p in names] + [-np.inf])
         # Two tables by different bits of a hash; what collides in the first is in the second.
         self.hashes = np.concatenate([hashes, np.zeros(1, np.uint64)])
-        self.slots = np.full((2, 1 << SLOT_BITS), len(names))
+        self.slots = np.full((2, 1 << SLOT_BITS), len(names), np.int32)
         for number, value in enumerate(hashes.tolist()):
             first, second = value >> (64 - SLOT_BITS), value & ((1 << SLOT_BITS) - 1)
             if self.slots[0, first] == len(names):
@@ -370,4 +370,4 @@ def encode(documents: DataFrame, model: str, text: str = "text", n_best: int = 4
     bound_batches(documents.sparkSession)
     documents = documents.drop(*[c for c in ("ids", "score", "n_best", "decoded") if c != text])
     own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema)
-    return documents.mapInArrow(_encode(model, n_best, documents.columns.index(text)), f"{own}, {RESULT}")
+    return documents.mapInArrow(lean(_encode(model, n_best, documents.columns.index(text))), f"{own}, {RESULT}")
