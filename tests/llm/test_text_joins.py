@@ -1,13 +1,16 @@
 """Shingles, Jaccard join, line dedup and decontamination against plain versions."""
 
 import random
+import tracemalloc
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
 from tests.llm import brute
 from tickloom.llm import bloom, decontaminate, jaccard_join, line_dedup, shingles
 from tickloom.llm.components import connected_components
+from tickloom.session import scratch_path
 
 ODD = [None, "", "  \n\t ", "one", "One two", "one\x0btwo THREE four", "é à ü ß é à ü", "a" * 5000, "x y z " * 400]
 DOCUMENT = "id long, words string, text_length int"
@@ -73,6 +76,25 @@ def test_filter_of_the_sets_to_verify_takes_one_python_step(spark, monkeypatch):
     assert plans and [p.count("MapInArrow") for p in plans] == [1] * len(plans)
 
 
+def test_frequencies_reach_the_driver_as_columns(spark, monkeypatch):
+    """As rows, half a million of them took a few hundred MB of the driver."""
+    shared, own = np.arange(1, 60001, dtype=np.uint64), np.uint64(10**6)
+    firsts = [np.append(shared, own + np.uint64(1)), shared[:40000], shared[:5], np.zeros(0, np.uint64)]
+    frame = spark.createDataFrame([(bytearray(x.tobytes()),) for x in firsts], "first binary")
+    folder = scratch_path(spark, "frequencies")
+    jaccard_join._frequencies(frame.limit(2), 80, folder)  # what is imported or made once
+    tracemalloc.start()
+    tokens, counts = jaccard_join._frequencies(frame, 80, folder)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert tokens.dtype == np.uint64 and tokens.tolist() == list(range(1, 40001))
+    assert counts.dtype == np.int64 and counts.tolist() == [3] * 5 + [2] * 39995
+    assert peak < 64 * len(tokens)
+    monkeypatch.setattr(jaccard_join, "FREQUENT_SHINGLES", 39999)
+    tokens, counts = jaccard_join._frequencies(frame, 80, folder)
+    assert tokens.tolist() == [1, 2, 3, 4, 5] and counts.tolist() == [3] * 5
+
+
 def test_join_of_an_empty_table(spark):
     frame = spark.createDataFrame([], DOCUMENT)
     assert jaccard_join.JaccardJoin(frame, "id", "words").components().count() == 0
