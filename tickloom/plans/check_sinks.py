@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 
 from tickloom.functions.indicators import DAILY
 from tickloom.operators import quality
-from tickloom.operators.enrich import standardise_dates
-from tickloom.plans.derived import event_bars, event_fact, ship_bars, ship_fact, type_bars
+from tickloom.operators.enrich import BAR_SERIES, standardise_dates
+from tickloom.plans.derived import daily_fact, event_bars, event_fact, ship_bars, ship_fact, type_bars
 from tickloom.plans.oracle import EVENT_BARS, RAW_LIST, SHIP_BARS, TYPE_BARS, fact
 from tickloom.plans.registry import checked
 from tickloom.schema import FACT_COLUMNS, WAREHOUSE_DECIMALS, to_warehouse_types
-from tickloom.session import partitions_for, scratch_path, store, stored_bytes
+from tickloom.session import partitions_for, scratch_path, store, store_in_slices, stored_bytes
 from tickloom.sinks import curated, warehouse
 from tickloom.sinks.versioned import open_table
 from tickloom.sources.files import file_inventory, output_summary, read_csv_bars
@@ -21,6 +21,8 @@ SHIP_FACT = f"{SHIP_BARS}, {fact('ship_bars')}"
 RUN_DATE = "2024-01-31"
 # Stored input for each file of an export or a snapshot, which one task writes.
 FILE_BYTES = 128 * 1024 * 1024
+# Stored input whose fact rows are appended at a time; their shuffles are some ten times as large.
+SLICE_BYTES = 256 * 1024 * 1024
 
 
 @checked("k1_curated_write", f"WITH {SHIP_FACT} SELECT * FROM fact")
@@ -233,13 +235,21 @@ def insert_if_absent(spark, sf_dir):
     return table.insert_if_absent(staging.unionByName(staging), ("price_id",), fixed_partition=True).read().select("price_id", "volume")
 
 
+def _append_ship_fact(spark, sf_dir, path):
+    """Append the rows of ``ship_fact`` in slices of whole series, so that the disk holds the shuffles of one; returns their schema."""
+    slices = curated.files_for(stored_bytes(spark, f"{sf_dir}/lineitem.parquet"), SLICE_BYTES)
+    for bars in store_in_slices(ship_bars(spark, sf_dir), "bars", BAR_SERIES.keys, slices):
+        rows = daily_fact(bars)
+        warehouse.append(rows, path)
+    return rows.schema
+
+
 @checked("k13_compaction", f"WITH {SHIP_FACT} SELECT * FROM fact")
 def compaction(spark, sf_dir):
     path = scratch_path(spark, "compacted")
-    rows = ship_fact(spark, sf_dir)
-    warehouse.append(rows, path)
+    schema = _append_ship_fact(spark, sf_dir, path)
     warehouse.compact(spark, path)
-    return spark.read.schema(rows.schema).parquet(path).select(FACT_COLUMNS)
+    return spark.read.schema(schema).parquet(path).select(FACT_COLUMNS)
 
 
 @checked(

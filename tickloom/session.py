@@ -5,8 +5,10 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 # Settings the jobs rely on. Shuffle partitions are only a starting point: adaptive
 # execution coalesces small ones and splits skewed joins and rebalanced writes.
@@ -104,6 +106,45 @@ def store(df: DataFrame, name: str, folder: str | None = None, compression: str
     return spark.read.schema(df.schema).parquet(path)
 
 
+# Folder level of the parts of a table stored in slices.
+SLICE = "stored_slice"
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a write go as it ends; else they stay until the driver happens to collect its garbage.
+
+    For writes only: an action repeated on the same DataFrame would run its stages again.
+    """
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
+def store_in_slices(df: DataFrame, name: str, keys: Sequence[str], slices: int) -> Iterator[DataFrame]:
+    """Store ``df`` and give it back in ``slices`` parts, one after the other; rows of equal keys are in one part.
+
+    For steps that need all rows of a key, but not all keys at once: what they shuffle is then a part's only. A part is
+    deleted when the next one is asked for, so use it up before.
+    """
+    spark = df.sparkSession
+    folder = scratch_path(spark, name)
+    number = F.pmod(F.xxhash64(*keys), F.lit(slices)).cast("int")
+    with shuffles_freed(spark):
+        df.withColumn(SLICE, number).write.partitionBy(SLICE).parquet(folder, compression="zstd")
+    stored = spark.read.schema(T.StructType([*df.schema, T.StructField(SLICE, T.IntegerType())])).parquet(folder)
+    try:
+        for i in range(slices):
+            yield stored.filter(F.col(SLICE) == i).drop(SLICE)
+            discard(spark, f"{folder}/{SLICE}={i}")
+    finally:
+        discard(spark, folder)
+
+
 def discard(spark: SparkSession, folder: str) -> None:
     """Delete a folder made by ``scratch_path`` whose tables nothing reads any more."""
     if not folder.startswith(f"{shared_folder(spark)}/"):

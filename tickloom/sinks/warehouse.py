@@ -7,20 +7,23 @@ partition. Only partitions that incoming rows touch are read and rewritten.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
 from tickloom.operators.cleanse import deduplicate
 from tickloom.schema import WAREHOUSE_SCHEMA
-from tickloom.session import partitions_for, store, stored_bytes
+from tickloom.session import partitions_for, shuffles_freed, store, stored_bytes
 from tickloom.sinks.curated import PARTITION_COLUMNS, write_curated
 from tickloom.sources.files import output_summary
 
 MAX_PARTITION_LITERALS = 1_000
+# Stored bytes that a compaction rewrites at a time, in whole partitions; its shuffle is two to three times as large.
+COMPACTION_BYTES = 1024 * 1024 * 1024
 
 
 class LoadError(Exception):
@@ -54,11 +57,15 @@ def touched(target: DataFrame, incoming: DataFrame, partition_by: Sequence[str])
         values = values.select([F.col(c).alias(f"_{c}") for c in partition_by])
         same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in partition_by]
         return target.join(values, reduce(lambda a, b: a & b, same), "left_semi")
+    return _within(target, few, partition_by)
+
+
+def _within(table: DataFrame, partitions: Sequence[Row], partition_by: Sequence[str]) -> DataFrame:
     wanted = [
         reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(row[c])) for c in partition_by])
-        for row in few
+        for row in partitions
     ]
-    return target.filter(reduce(lambda a, b: a | b, wanted, F.lit(False)))
+    return table.filter(reduce(lambda a, b: a | b, wanted, F.lit(False)))
 
 
 def _replace(rows: DataFrame, path: str, partition_by: Sequence[str]) -> DataFrame:
@@ -82,8 +89,9 @@ def append(
 ) -> int:
     """Append rows; returns how many the whole table then has."""
     writer = df.hint("rebalance", *partition_by).write.mode("append") if partition_by else df.write.mode("append")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     spark = df.sparkSession
+    with shuffles_freed(spark):
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     spark.catalog.refreshByPath(path)
     return spark.read.schema(df.schema).parquet(path).count()
 
@@ -154,22 +162,50 @@ def compact(
 ) -> None:
     """Rewrite the table sorted by its sort key, so that statistics prune row groups.
 
-    Rows are spread by ranges of the sort key: one hot date or symbol spans many tasks.
+    Rows are spread by ranges of the sort key: one hot date or symbol spans many tasks. Partitions are rewritten some at
+    a time: beside the table, the disk holds the shuffle and the new files of about ``COMPACTION_BYTES`` of it, or of a
+    single partition that is larger.
     """
     table = spark.read.parquet(path)
-    spread = partitions_for(spark, stored_bytes(spark, path, "*.parquet"))
-    rows = table.repartitionByRange(spread, *partition_by, *sort_by).sortWithinPartitions(
-        *partition_by, *sort_by
-    )
-    if not partition_by:
-        rows = store(rows, "compacted")
-    writer = rows.write.mode("overwrite").option("compression", compression)
-    if partition_by:
-        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
-    writer.parquet(path)
+    sizes = _partition_sizes(spark, path, partition_by)
+    total = sum(size for _, size in sizes)
+    spread = partitions_for(spark, total)
+    for partitions, size in _runs(sizes, COMPACTION_BYTES):
+        rows = _within(table, partitions, partition_by) if partition_by else table
+        rows = rows.repartitionByRange(math.ceil(spread * size / max(total, 1)) or 1, *partition_by, *sort_by)
+        rows = rows.sortWithinPartitions(*partition_by, *sort_by)
+        with shuffles_freed(spark):
+            if not partition_by:
+                rows = store(rows, "compacted")
+            writer = rows.write.mode("overwrite").option("compression", compression)
+            if partition_by:
+                writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
+            writer.parquet(path)
     spark.catalog.refreshByPath(path)
 
 
+def _partition_sizes(spark: SparkSession, path: str, partition_by: Sequence[str]) -> list[tuple[Row, int]]:
+    """The partitions of a table in their order, each with its stored bytes; only the file listing is read."""
+    if not partition_by:
+        return [(Row(), stored_bytes(spark, path, "*.parquet"))]
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    found = files.groupBy(*partition_by).agg(F.sum("length").alias("_bytes")).orderBy(*partition_by)
+    return [(row, row["_bytes"]) for row in found.collect()]
+
+
+def _runs(sizes: Sequence[tuple[Row, int]], most: int) -> Iterator[tuple[list[Row], int]]:
+    """Partitions one after another, as many at a time as have at most ``most`` bytes together, at least one."""
+    run, held = [], 0
+    for row, size in sizes:
+        if run and (held + size > most or len(run) == MAX_PARTITION_LITERALS):
+            yield run, held
+            run, held = [], 0
+        run.append(row)
+        held += size
+    if run:
+        yield run, held
+
+
 def create_table(
     spark: SparkSession,
     name: str,
