@@ -324,8 +324,7 @@ def merged_statistics(spark, sf_dir):
 def table_profile(spark, sf_dir):
     """After compaction no file of a partition overlaps an earlier one in its sort key."""
     path = scratch_path(spark, "profiled")
-    rows = ship_fact(spark, sf_dir)
-    warehouse.append(rows, path)
+    schema = _append_ship_fact(spark, sf_dir, path)
     warehouse.compact(spark, path)
-    profile = warehouse.profile(spark.read.schema(rows.schema).parquet(path))
+    profile = warehouse.profile(spark.read.schema(schema).parquet(path))
     return profile.select("row_count", "overlapping_files")
